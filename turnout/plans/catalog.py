@@ -51,16 +51,33 @@ def ev_raw(spark: SparkSession, sf: str, cfg: Config, bucket_hours: int = EV_BUC
     return ad.ev_raw_activity(ev, bucket_hours, loads), ad.ev_raw_presence(ev, bucket_hours, loads)
 
 
-def ev_core(spark, sf, cfg: Config, bucket_hours: int = EV_BUCKET_HOURS):
-    ra, rp = ev_raw(spark, sf, cfg, bucket_hours)
-    return pipeline.core_models(spark, pipeline.stage(ra, rp, cfg), cfg)
+def _store(spark, cfg: Config, raw_activity_fn, raw_presence_fn, name: str, **overrides) -> pipeline.Materialized:
+    dims = seeds.dims(spark)
+    b = pipeline.model_builders(cfg, raw_activity_fn, raw_presence_fn, dims)
+    b.update(overrides)
+    b.update({
+        "player_status": lambda m: retention.player_status(*_args(m), cfg),
+        "training_participation": lambda m: participation.training_participation(*_args(m), cfg),
+        "season": lambda m: seeds.season(spark),
+    })
+    return pipeline.Materialized(spark, scratch_path(spark, name), b)
+
+
+def ev_core(spark, sf, cfg: Config, bucket_hours: int = EV_BUCKET_HOURS) -> pipeline.Materialized:
+    """Models over the events adapter; the raw landing tables and each model
+    are written once to the shared folder when first needed."""
+    loads = ("L2",) if cfg.is_local else ("L1", "L2")
+    ev = _events(spark, sf)
+    return _store(spark, cfg, lambda: ad.ev_raw_activity(ev, bucket_hours, loads),
+                  lambda: ad.ev_raw_presence(ev, bucket_hours, loads), f"ev-{cfg.variant}")
 
 
-def or_core(spark, sf, cfg: Config = OR_WAREHOUSE):
+def or_core(spark, sf, cfg: Config = OR_WAREHOUSE) -> pipeline.Materialized:
+    """Models over the orders adapter (flat presence rows, never nested)."""
     orders = ad.read_table(spark, sf, "orders")
-    st = pipeline.Staged(staging.stg_activity(ad.or_raw_activity(orders), cfg),
-                         staging.stage_persons(ad.or_persons(orders), cfg))
-    return pipeline.core_models(spark, st, cfg)
+    return _store(spark, cfg, lambda: ad.or_raw_activity(orders), None, "or",
+                  raw_presence=lambda m: None,
+                  stg_presence=lambda m: staging.stage_persons(ad.or_persons(orders), cfg))
 
 
 def _args(core):
@@ -71,33 +88,32 @@ def _args(core):
 
 def q_stg_activity(cfg):
     def q(spark, sf):
-        ra, _ = ev_raw(spark, sf, cfg)
-        return staging.stg_activity(ra, cfg)
+        return ev_core(spark, sf, cfg).lazy("stg_activity")
     return q
 
 
 def q_stg_presence(cfg):
     def q(spark, sf):
-        _, rp = ev_raw(spark, sf, cfg)
-        return staging.stg_presence(rp, cfg)
+        return ev_core(spark, sf, cfg).lazy("stg_presence")
     return q
 
 
 def q_latest_load(spark, sf):
-    ra, _ = ev_raw(spark, sf, EV_WAREHOUSE)
+    ra = ev_core(spark, sf, EV_WAREHOUSE)["raw_activity"]
     return epochs(staging.latest_load(ra).select(F.col("scheduleId").alias("schedule_id"), "place", "load_id",
                                                  "load_timestamp"))
 
 
 def q_raw_row_count(spark, sf):
-    ra, rp = ev_raw(spark, sf, EV_WAREHOUSE)
+    m = ev_core(spark, sf, EV_WAREHOUSE)
+    ra, rp = m["raw_activity"], m["raw_presence"]
     return (sinks.row_count(ra).select(F.lit("raw_activity").alias("table_name"), "row_count")
             .unionByName(sinks.row_count(rp).select(F.lit("raw_presence").alias("table_name"), "row_count")))
 
 
 def q_model(name, cfg, core_fn=ev_core):
     def q(spark, sf):
-        return epochs(core_fn(spark, sf, cfg)[name])
+        return epochs(core_fn(spark, sf, cfg).lazy(name))
     return q
 
 
@@ -148,67 +164,59 @@ def q_player_status(spark, sf):
 
 
 def q_available_trainings(spark, sf):
-    return participation.available_trainings(or_core(spark, sf)["activity"], OR_WAREHOUSE)
+    return participation.available_trainings(or_core(spark, sf).lazy("activity"), OR_WAREHOUSE)
 
 
 def q_training_participation(spark, sf):
     return participation.training_participation(*_args(or_core(spark, sf)), OR_WAREHOUSE)
 
 
-def _warehouse_models_ev(spark, sf):
-    core = ev_core(spark, sf, EV_WAREHOUSE)
-    att, mem, a = _args(core)
-    return {**core,
-            "player_status": retention.player_status(att, mem, a, EV_WAREHOUSE),
-            "training_participation": participation.training_participation(att, mem, a, EV_WAREHOUSE)}
-
-
 def q_dq_suite(cfg):
     def q(spark, sf):
         if cfg.is_local:
             return quality.run_checks(ev_core(spark, sf, cfg), quality.LOCAL_CHECKS)
-        return quality.run_checks(_warehouse_models_ev(spark, sf), quality.WAREHOUSE_CHECKS)
+        return quality.run_checks(ev_core(spark, sf, cfg), quality.WAREHOUSE_CHECKS)
     return q
 
 
 def q_dq_not_null(spark, sf):
-    a = ev_core(spark, sf, EV_WAREHOUSE)["activity"]
+    a = ev_core(spark, sf, EV_WAREHOUSE).lazy("activity")
     return quality.not_null(a, "activity").select("activity_id", "activity_type_id")
 
 
 def q_dq_not_null_where(spark, sf):
-    a = ev_core(spark, sf, EV_WAREHOUSE)["activity"]
+    a = ev_core(spark, sf, EV_WAREHOUSE).lazy("activity")
     return quality.not_null(a, "result", where="result_type_id IS NOT NULL").select("activity_id", "result_type_id")
 
 
 def q_dq_unique(spark, sf):
-    return quality.unique(ev_core(spark, sf, EV_WAREHOUSE)["member"], "full_name")
+    return quality.unique(ev_core(spark, sf, EV_WAREHOUSE).lazy("member"), "full_name")
 
 
 def q_dq_accepted_values(spark, sf):
-    return quality.accepted_values(ev_core(spark, sf, EV_WAREHOUSE)["activity"], "activity",
+    return quality.accepted_values(ev_core(spark, sf, EV_WAREHOUSE).lazy("activity"), "activity",
                                    ["Training", "Match", "Cup"])
 
 
 def q_dq_unique_combination(spark, sf):
-    st = ev_core(spark, sf, EV_WAREHOUSE)["stg_presence"]
+    st = ev_core(spark, sf, EV_WAREHOUSE).lazy("stg_presence")
     return quality.unique_combination(st.select("team_name", "member_type_id"), ["team_name", "member_type_id"])
 
 
 def q_dq_relationships(spark, sf):
-    a = ev_core(spark, sf, EV_WAREHOUSE)["activity"]
+    a = ev_core(spark, sf, EV_WAREHOUSE).lazy("activity")
     return quality.relationships(a, "season_id", seeds.season(spark).where(F.col("year") >= 2024), "season_id")
 
 
 def q_month_urls(spark, sf):
-    st = ev_core(spark, sf, EV_WAREHOUSE)["stg_activity"]
+    st = ev_core(spark, sf, EV_WAREHOUSE).lazy("stg_activity")
     starts = (st.groupBy(F.concat(F.lit("team-"), F.col("team_id").cast("string")).alias("team_slug"))
                 .agg(F.min(F.col("schedule_date").cast("date")).alias("start_date")))
     return spines.month_urls(starts, EV_WAREHOUSE.as_of, DOMAIN)
 
 
 def q_json_roundtrip(spark, sf):
-    ra, rp = ev_raw(spark, sf, EV_WAREHOUSE)
+    ra = ad.ev_raw_activity(_events(spark, sf), EV_BUCKET_HOURS)
     path = scratch_path(spark, "ndjson")
     sinks.write_ndjson(ra, f"{path}/activity")
     from ..sources.raw import read_raw_activity

@@ -66,6 +66,52 @@ def build(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame,
     return {**core, **derived_models(core, cfg, spark)}
 
 
+class Materialized:
+    """Models written on first use under ``root`` (a folder of the shared
+    checkpoint location) and read back from there.
+
+    Every model the original project builds is a table; here a model becomes
+    a Parquet table the first time a downstream step needs it, so each model
+    is computed once per run however many consumers it has, consumers read
+    only the columns they need, and lost executors never recompute upstream
+    lineage.
+    """
+
+    # models that are only cheap projections of a written table stay lazy
+    PROJECTIONS = frozenset({"stg_activity", "attended_activity"})
+
+    def __init__(self, spark: SparkSession, root: str, builders: dict):
+        self.spark, self.root, self.builders, self._done = spark, root, builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._done:
+            df = self.builders[name](self)
+            self._done[name] = df if name in self.PROJECTIONS else sinks.materialize(df, f"{self.root}/{name}")
+        return self._done[name]
+
+    def lazy(self, name: str) -> DataFrame:
+        """The model's plan without writing it (for a final, consumed-once step)."""
+        return self.builders[name](self)
+
+
+def model_builders(cfg: Config, raw_activity, raw_presence, dims: dict[str, DataFrame]) -> dict:
+    """Builders of the raw landing tables, staging and core models, each
+    reading its inputs from the materialized store ``m``."""
+    b = {
+        "raw_activity": lambda m: raw_activity(),
+        "raw_presence": lambda m: raw_presence(),
+        "stg_activity": lambda m: staging.stg_activity(m["raw_activity"], cfg),
+        "stg_presence": lambda m: staging.stg_presence(m["raw_presence"], cfg),
+        "member": lambda m: members.member(m["stg_presence"], dims["member_types"], cfg),
+        "attended_activity": lambda m: act.attended_activity(m["stg_presence"], cfg),
+    }
+    if cfg.is_local:
+        b["activity"] = lambda m: act.activity(m["stg_activity"], dims, cfg)
+    else:
+        b["activity"] = lambda m: act.activity(m["stg_activity"], dims, cfg, m["stg_presence"], m["member"])
+    return b
+
+
 def materialize_all(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
                     root: str) -> dict[str, DataFrame]:
     """Write every model under ``root`` (a shared folder) in dependency order
