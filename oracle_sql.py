@@ -594,6 +594,7 @@ SELECT team_slug, month_start, CAST(year(month_start) AS BIGINT) AS year,
 FROM m""",
         "json_roundtrip": f"WITH {ev_w} SELECT * FROM stg_activity",
         "load_append": f"WITH {ev_w} SELECT * FROM stg_presence",
+        "load_stream": f"WITH {ev_w} SELECT * FROM stg_activity",
         "csv_export_roundtrip": export_sql(L),
         "page_links": page_links_sql(),
         "team_links": team_links_sql(),

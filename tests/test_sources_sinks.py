@@ -85,3 +85,19 @@ def test_month_urls_swedish_names(spark):
     assert got == [("lag-a", "https://www.x.se/lag-a/kalender/2023/november"),
                    ("lag-a", "https://www.x.se/lag-a/kalender/2023/december"),
                    ("lag-a", "https://www.x.se/lag-a/kalender/2024/januari")]
+
+
+def test_streaming_ingest_is_incremental_and_exactly_once(spark):
+    from turnout.streaming import ingest_loads
+    root = scratch_path(spark, "t-stream")
+    old = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    write_ndjson(raw_activity(spark, [activity_row(1, "2024-01-10", place="old", load="L1", ts=old)]),
+                 f"{root}/landing/L1")
+    t = ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/table", f"{root}/ckpt")
+    assert t.count() == 1
+    # a rerun without new files appends nothing
+    assert ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/table", f"{root}/ckpt").count() == 1
+    write_ndjson(raw_activity(spark, [activity_row(1, "2024-01-10", place="new")]), f"{root}/landing/L2")
+    t = ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/table", f"{root}/ckpt")
+    assert t.count() == 2
+    assert [r.place for r in stg_activity(t, W).collect()] == ["new"]

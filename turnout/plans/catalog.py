@@ -232,6 +232,18 @@ def q_load_append(spark, sf):
     return staging.stg_presence(read_raw_table(spark, path), EV_WAREHOUSE)
 
 
+def q_load_stream(spark, sf):
+    """Two load batches landed as NDJSON one after the other, each ingested by
+    an availableNow streaming run into one raw table; staging keeps the newest."""
+    from ..streaming import ingest_loads
+    ev = _events(spark, sf)
+    root = scratch_path(spark, "stream")
+    for load in ("L1", "L2"):
+        sinks.write_ndjson(ad.ev_raw_activity(ev, EV_BUCKET_HOURS, (load,)), f"{root}/landing/{load}")
+        raw = ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/raw_activity", f"{root}/_checkpoint")
+    return staging.stg_activity(raw, EV_WAREHOUSE)
+
+
 def q_csv_export(spark, sf):
     wide = epochs(act.export_all(*_args(ev_core(spark, sf, EV_LOCAL))))
     path = scratch_path(spark, "export_csv")
@@ -285,6 +297,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "month_urls": q_month_urls,
         "json_roundtrip": q_json_roundtrip,
         "load_append": q_load_append,
+        "load_stream": q_load_stream,
         "csv_export_roundtrip": q_csv_export,
         "page_links": q_pages(pg.page_links_report),
         "team_links": q_pages(pg.team_link_counts_report),
