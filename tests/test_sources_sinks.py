@@ -101,3 +101,22 @@ def test_streaming_ingest_is_incremental_and_exactly_once(spark):
     t = ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/table", f"{root}/ckpt")
     assert t.count() == 2
     assert [r.place for r in stg_activity(t, W).collect()] == ["new"]
+
+
+def test_full_run_writes_models_checks_views_and_export(spark):
+    from turnout.plans.run import run
+    acts = [activity_row(1, "2024-05-06"), activity_row(2, "2024-05-07", etype=3)]
+    pres = [presence_row(1, [person(1, 1, "2014-02-01"), person(2, 1), person(3, 1), person(4, 2)]),
+            presence_row(2, [person(1, 1, "2014-02-01")])]
+    cfg = Config.warehouse(as_of=dt.date(2024, 6, 1))
+    res = run(spark, raw_activity(spark, acts), raw_presence(spark, pres), cfg, scratch_path(spark, "t-run"))
+    assert {"statligt_lok", "kommunalt_lok", "player_status", "training_participation", "export_all",
+            "calendar", "season"} <= set(res.models)
+    fails = {(r.model, r.column, r.test): r.failures for r in res.checks.collect()}
+    assert len(fails) == 30 and fails[("activity", "activity", "not_null")] == 1
+    assert spark.sql("SELECT * FROM member LIMIT 11").count() == 4
+    back = spark.read.option("header", True).csv(res.export_path)
+    assert back.count() == 5 and "full_name" in back.columns
+    loc = run(spark, raw_activity(spark, acts), raw_presence(spark, pres), Config.local(),
+              scratch_path(spark, "t-run-local"))
+    assert set(loc.models) >= {"lok", "export_all", "member"} and loc.checks.count() == 18

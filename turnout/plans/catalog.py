@@ -45,39 +45,21 @@ def _events(spark, sf):
     return ad.read_table(spark, sf, "events")
 
 
-def ev_raw(spark: SparkSession, sf: str, cfg: Config, bucket_hours: int = EV_BUCKET_HOURS):
-    loads = ("L2",) if cfg.is_local else ("L1", "L2")
-    ev = _events(spark, sf)
-    return ad.ev_raw_activity(ev, bucket_hours, loads), ad.ev_raw_presence(ev, bucket_hours, loads)
-
-
-def _store(spark, cfg: Config, raw_activity_fn, raw_presence_fn, name: str, **overrides) -> pipeline.Materialized:
-    dims = seeds.dims(spark)
-    b = pipeline.model_builders(cfg, raw_activity_fn, raw_presence_fn, dims)
-    b.update(overrides)
-    b.update({
-        "player_status": lambda m: retention.player_status(*_args(m), cfg),
-        "training_participation": lambda m: participation.training_participation(*_args(m), cfg),
-        "season": lambda m: seeds.season(spark),
-    })
-    return pipeline.Materialized(spark, scratch_path(spark, name), b)
-
-
 def ev_core(spark, sf, cfg: Config, bucket_hours: int = EV_BUCKET_HOURS) -> pipeline.Materialized:
     """Models over the events adapter; the raw landing tables and each model
-    are written once to the shared folder when first needed."""
+    with several consumers are written once to the shared folder when first needed."""
     loads = ("L2",) if cfg.is_local else ("L1", "L2")
     ev = _events(spark, sf)
-    return _store(spark, cfg, lambda: ad.ev_raw_activity(ev, bucket_hours, loads),
-                  lambda: ad.ev_raw_presence(ev, bucket_hours, loads), f"ev-{cfg.variant}")
+    return pipeline.store(spark, cfg, scratch_path(spark, f"ev-{cfg.variant}"),
+                          lambda: ad.ev_raw_activity(ev, bucket_hours, loads),
+                          lambda: ad.ev_raw_presence(ev, bucket_hours, loads))
 
 
 def or_core(spark, sf, cfg: Config = OR_WAREHOUSE) -> pipeline.Materialized:
     """Models over the orders adapter (flat presence rows, never nested)."""
     orders = ad.read_table(spark, sf, "orders")
-    return _store(spark, cfg, lambda: ad.or_raw_activity(orders), None, "or",
-                  raw_presence=lambda m: None,
-                  stg_presence=lambda m: staging.stage_persons(ad.or_persons(orders), cfg))
+    return pipeline.store(spark, cfg, scratch_path(spark, "or"), lambda: ad.or_raw_activity(orders), None,
+                          stg_presence=lambda m: staging.stage_persons(ad.or_persons(orders), cfg))
 
 
 def _args(core):

@@ -1,14 +1,17 @@
-"""Compose the models: raw loads -> staging -> dimensions/facts -> grants,
+"""The model graph: raw loads -> staging -> dimensions/facts -> grants,
 retention, participation, export.
 
-``build`` returns lazily-defined DataFrames; ``materialize_all`` writes each
-model as a full-refresh table under a shared folder and continues from the
-written tables, so downstream models never recompute upstream lineage.
+``model_builders`` defines each model as a function of the models it reads.
+``Materialized`` evaluates that graph: a model with several consumers is
+written once as a Parquet table under a folder of the shared checkpoint
+location and read back (the original project materializes every model as a
+table too), cheap projections stay lazy.  ``build`` gives the lazy plans,
+``build_all`` writes everything in dependency order.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,71 +19,24 @@ from ..config import Config
 from ..operators import activities as act
 from ..operators import grants, members, participation, retention, staging
 from ..sources import seeds, sinks
+from ..sources.spines import default_calendar
 
-
-@dataclass
-class Staged:
-    stg_activity: DataFrame
-    stg_presence: DataFrame
-
-
-def stage(raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config) -> Staged:
-    return Staged(staging.stg_activity(raw_activity, cfg), staging.stg_presence(raw_presence, cfg))
-
-
-def core_models(spark: SparkSession, st: Staged, cfg: Config) -> dict[str, DataFrame]:
-    """member, attended_activity, activity (+ lookups, season, calendar)."""
-    dims = seeds.dims(spark)
-    member = members.member(st.stg_presence, dims["member_types"], cfg)
-    attended = act.attended_activity(st.stg_presence, cfg)
-    if cfg.is_local:
-        activity = act.activity(st.stg_activity, dims, cfg)
-    else:
-        activity = act.activity(st.stg_activity, dims, cfg, st.stg_presence, member)
-    out = {"stg_activity": st.stg_activity, "stg_presence": st.stg_presence,
-           "member": member, "attended_activity": attended, "activity": activity}
-    if not cfg.is_local:
-        out.update({"activity_type": dims["activity_types"], "member_type": dims["member_types"],
-                    "result_type": dims["result_types"], "season": seeds.season(spark)})
-    return out
-
-
-def derived_models(core: dict[str, DataFrame], cfg: Config, spark: SparkSession | None = None) -> dict[str, DataFrame]:
-    att, mem, a = core["attended_activity"], core["member"], core["activity"]
-    out = {"export_all": act.export_all(att, mem, a)}
-    if cfg.is_local:
-        out["lok"] = grants.state_grant(att, mem, a, cfg)
-        return out
-    out["statligt_lok"] = grants.state_grant(att, mem, a, cfg)
-    out["kommunalt_lok"] = grants.municipal_grant(att, mem, a, cfg)
-    out["player_status"] = retention.player_status(att, mem, a, cfg)
-    out["training_participation"] = participation.training_participation(att, mem, a, cfg)
-    if spark is not None:
-        from ..sources.spines import default_calendar
-        out["calendar"] = default_calendar(spark, cfg.spine_start, cfg.as_of)
-    return out
-
-
-def build(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config) -> dict[str, DataFrame]:
-    core = core_models(spark, stage(raw_activity, raw_presence, cfg), cfg)
-    return {**core, **derived_models(core, cfg, spark)}
+Builder = Callable[["Materialized"], DataFrame]
 
 
 class Materialized:
-    """Models written on first use under ``root`` (a folder of the shared
-    checkpoint location) and read back from there.
-
-    Every model the original project builds is a table; here a model becomes
-    a Parquet table the first time a downstream step needs it, so each model
-    is computed once per run however many consumers it has, consumers read
-    only the columns they need, and lost executors never recompute upstream
-    lineage.
+    """Models written on first use under ``root`` and read back from there.
+
+    Each model is computed once per run however many consumers it has,
+    consumers read only the columns they need, and a lost executor never
+    recomputes upstream lineage.
     """
 
     # models that are only cheap projections of a written table stay lazy
-    PROJECTIONS = frozenset({"stg_activity", "attended_activity"})
+    PROJECTIONS = frozenset({"stg_activity", "attended_activity", "activity_type", "member_type",
+                             "result_type", "season", "calendar"})
 
-    def __init__(self, spark: SparkSession, root: str, builders: dict):
+    def __init__(self, spark: SparkSession, root: str, builders: dict[str, Builder]):
         self.spark, self.root, self.builders, self._done = spark, root, builders, {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -89,37 +45,78 @@ class Materialized:
             self._done[name] = df if name in self.PROJECTIONS else sinks.materialize(df, f"{self.root}/{name}")
         return self._done[name]
 
+    def __contains__(self, name: str) -> bool:
+        return name in self.builders
+
     def lazy(self, name: str) -> DataFrame:
         """The model's plan without writing it (for a final, consumed-once step)."""
         return self.builders[name](self)
 
+    def names(self) -> list[str]:
+        return list(self.builders)
 
-def model_builders(cfg: Config, raw_activity, raw_presence, dims: dict[str, DataFrame]) -> dict:
-    """Builders of the raw landing tables, staging and core models, each
-    reading its inputs from the materialized store ``m``."""
-    b = {
+
+def _args(m):
+    return m["attended_activity"], m["member"], m["activity"]
+
+
+def model_builders(spark: SparkSession, cfg: Config, raw_activity: Callable[[], DataFrame],
+                   raw_presence: Callable[[], DataFrame] | None) -> dict[str, Builder]:
+    """Builders of every model of one family (local or warehouse)."""
+    dims = seeds.dims(spark)
+    b: dict[str, Builder] = {
         "raw_activity": lambda m: raw_activity(),
         "raw_presence": lambda m: raw_presence(),
         "stg_activity": lambda m: staging.stg_activity(m["raw_activity"], cfg),
         "stg_presence": lambda m: staging.stg_presence(m["raw_presence"], cfg),
         "member": lambda m: members.member(m["stg_presence"], dims["member_types"], cfg),
         "attended_activity": lambda m: act.attended_activity(m["stg_presence"], cfg),
+        "export_all": lambda m: act.export_all(*_args(m)),
     }
     if cfg.is_local:
         b["activity"] = lambda m: act.activity(m["stg_activity"], dims, cfg)
-    else:
-        b["activity"] = lambda m: act.activity(m["stg_activity"], dims, cfg, m["stg_presence"], m["member"])
+        b["lok"] = lambda m: grants.state_grant(*_args(m), cfg)
+        return b
+    b.update({
+        "activity_type": lambda m: dims["activity_types"],
+        "member_type": lambda m: dims["member_types"],
+        "result_type": lambda m: dims["result_types"],
+        "season": lambda m: seeds.season(spark),
+        "calendar": lambda m: default_calendar(spark, cfg.spine_start, cfg.as_of),
+        "activity": lambda m: act.activity(m["stg_activity"], dims, cfg, m["stg_presence"], m["member"]),
+        "statligt_lok": lambda m: grants.state_grant(*_args(m), cfg),
+        "kommunalt_lok": lambda m: grants.municipal_grant(*_args(m), cfg),
+        "player_status": lambda m: retention.player_status(*_args(m), cfg),
+        "training_participation": lambda m: participation.training_participation(*_args(m), cfg),
+    })
     return b
 
 
-def materialize_all(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
-                    root: str) -> dict[str, DataFrame]:
-    """Write every model under ``root`` (a shared folder) in dependency order
-    and return the written tables."""
-    st = stage(raw_activity, raw_presence, cfg)
-    st = Staged(sinks.materialize(st.stg_activity, f"{root}/stg_activity"),
-                sinks.materialize(st.stg_presence, f"{root}/stg_presence"))
-    core = {k: (sinks.materialize(v, f"{root}/{k}") if k not in ("stg_activity", "stg_presence") else v)
-            for k, v in core_models(spark, st, cfg).items()}
-    derived = {k: sinks.materialize(v, f"{root}/{k}") for k, v in derived_models(core, cfg, spark).items()}
-    return {**core, **derived}
+def store(spark: SparkSession, cfg: Config, root: str, raw_activity: Callable[[], DataFrame],
+          raw_presence: Callable[[], DataFrame] | None, **overrides: Builder) -> Materialized:
+    b = model_builders(spark, cfg, raw_activity, raw_presence)
+    b.update(overrides)
+    return Materialized(spark, root, b)
+
+
+class _Lazy:
+    def __init__(self, builders: dict[str, Builder]):
+        self.builders, self.memo = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.memo:
+            self.memo[name] = self.builders[name](self)
+        return self.memo[name]
+
+
+def build(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config) -> dict[str, DataFrame]:
+    """Lazy plans of every model over the given raw tables (nothing written)."""
+    lz = _Lazy(model_builders(spark, cfg, lambda: raw_activity, lambda: raw_presence))
+    return {n: lz[n] for n in lz.builders}
+
+
+def build_all(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
+              root: str) -> dict[str, DataFrame]:
+    """Write every model under ``root`` (a shared folder) and return the tables."""
+    m = store(spark, cfg, root, lambda: raw_activity, lambda: raw_presence)
+    return {n: m[n] for n in m.names()}
