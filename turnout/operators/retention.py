@@ -11,8 +11,10 @@ activity" is simply the distance to the run's first day.  So instead of
 joining a members x calendar grid back to the activity counts and searching
 each day's last activity, one window pass over the (few) activity days per
 member yields run boundaries, and one narrow ``explode(sequence(...))``
-writes the runs out.  The only shuffle is the one that clusters the
-attendance rows by member.
+writes the runs out.  No grid, range join or self join is planned: the
+attendance is combined to (member, day) with partial aggregation, clustered
+by member once (the cohort semi join), and the window and the series
+generation reuse that clustering.
 """
 
 from __future__ import annotations
@@ -30,13 +32,18 @@ ACTIVE_MAX_DAYS = 90     # fixed value: active while the last activity is <= 90
 
 
 def daily_activity_counts(attended: DataFrame, member: DataFrame, activity: DataFrame, cfg: Config) -> DataFrame:
-    """(member_id, date_day, activities) for cohort players."""
+    """(member_id, date_day, activities) for cohort players.
+
+    Attendance is aggregated to (member, day) first, with map-side partial
+    aggregation, and only then restricted to the cohort by a semi join: a
+    member with a huge history is combined before any shuffle on member_id.
+    """
     cohort = member.where((F.col("member_type") == "Player") & F.col(cfg.cohort_flag)).select("member_id")
     rows = (attended.select("activity_id", "member_id")
-            .join(activity.select("activity_id", "start_at"), "activity_id", "left")
-            .join(cohort, "member_id", "inner"))
-    return (rows.groupBy("member_id", local_day("start_at", cfg.day_zone).alias("date_day"))
-                .agg(F.count(F.lit(1)).alias("activities")))
+            .join(activity.select("activity_id", "start_at"), "activity_id", "left"))
+    daily = (rows.groupBy("member_id", local_day("start_at", cfg.day_zone).alias("date_day"))
+                 .agg(F.count(F.lit(1)).alias("activities")))
+    return daily.join(cohort, "member_id", "left_semi")
 
 
 def _runs(daily: DataFrame, spine_start: dt.date, as_of: dt.date) -> DataFrame:
