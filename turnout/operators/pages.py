@@ -277,23 +277,31 @@ def find_init_data(script: str) -> str | None:
 
 def _scan_presence(batches):
     for pdf in batches:
-        payload = [find_init_data(s) if isinstance(s, str) else None for s in pdf["script"]]
-        yield pd.DataFrame({"page_id": pdf["page_id"], "script_index": pdf["script_index"],
+        idx, payload = [], []
+        for cands in pdf["cands"]:
+            hit = (None, None)
+            for c in (cands if cands is not None else []):
+                js = find_init_data(c["s"]) if isinstance(c["s"], str) else None
+                if js is not None:
+                    hit = (int(c["i"]), js)
+                    break
+            idx.append(hit[0])
+            payload.append(hit[1])
+        yield pd.DataFrame({"page_id": pdf["page_id"], "n_head_scripts": pdf["n"],
+                            "script_index": pd.Series(idx, dtype="Int32"),
                             "payload": pd.Series(payload, dtype=object)})
 
 
 def presence_scan(pages: DataFrame) -> DataFrame:
-    """Per page: number of head scripts and the first (lowest-index) script
-    whose ``initData`` literal parses: (page_id, n_head_scripts, script_index, payload)."""
-    scripts = pages.select("page_id", head_scripts().alias("scripts"))
-    cand = (scripts.select("page_id", F.posexplode("scripts").alias("script_index", "script"))
-                   .where(F.col("script").contains("initData")))
-    found = (cand.mapInPandas(_scan_presence, "page_id long, script_index int, payload string")
-                 .where(F.col("payload").isNotNull())
-                 .groupBy("page_id").agg(F.min_by("payload", "script_index").alias("payload"),
-                                         F.min("script_index").alias("script_index")))
-    return (scripts.select("page_id", F.size("scripts").cast("bigint").alias("n_head_scripts"))
-                   .join(found, "page_id", "left"))
+    """Per page: the number of head scripts and the first (lowest-index)
+    script whose ``initData`` literal parses: (page_id, n_head_scripts,
+    script_index, payload).  One narrow pass: script extraction and the
+    ``initData`` pre-filter run JVM-side, only candidate scripts reach Python."""
+    scripts = head_scripts()
+    indexed = F.transform(scripts, lambda s, i: F.struct(i.alias("i"), s.alias("s")))
+    cands = F.filter(indexed, lambda c: c["s"].contains("initData"))
+    pre = pages.select("page_id", F.size(scripts).cast("bigint").alias("n"), cands.alias("cands"))
+    return pre.mapInPandas(_scan_presence, "page_id long, n_head_scripts long, script_index int, payload string")
 
 
 def extract_presence(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
