@@ -36,13 +36,19 @@ class Materialized:
     PROJECTIONS = frozenset({"stg_activity", "attended_activity", "activity_type", "member_type",
                              "result_type", "season", "calendar"})
 
-    def __init__(self, spark: SparkSession, root: str, builders: dict[str, Builder]):
+    def __init__(self, spark: SparkSession, root: str, builders: dict[str, Builder],
+                 write: frozenset[str] | None = None):
+        """``write``: the models to write (default: all but projections)."""
         self.spark, self.root, self.builders, self._done = spark, root, builders, {}
+        self.write = write
+
+    def _writes(self, name: str) -> bool:
+        return name in self.write if self.write is not None else name not in self.PROJECTIONS
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._done:
             df = self.builders[name](self)
-            self._done[name] = df if name in self.PROJECTIONS else sinks.materialize(df, f"{self.root}/{name}")
+            self._done[name] = sinks.materialize(df, f"{self.root}/{name}") if self._writes(name) else df
         return self._done[name]
 
     def __contains__(self, name: str) -> bool:
@@ -92,11 +98,15 @@ def model_builders(spark: SparkSession, cfg: Config, raw_activity: Callable[[],
     return b
 
 
+LANDING = frozenset({"raw_activity", "raw_presence"})
+
+
 def store(spark: SparkSession, cfg: Config, root: str, raw_activity: Callable[[], DataFrame],
-          raw_presence: Callable[[], DataFrame] | None, **overrides: Builder) -> Materialized:
+          raw_presence: Callable[[], DataFrame] | None, write: frozenset[str] | None = None,
+          **overrides: Builder) -> Materialized:
     b = model_builders(spark, cfg, raw_activity, raw_presence)
     b.update(overrides)
-    return Materialized(spark, root, b)
+    return Materialized(spark, root, b, write)
 
 
 class _Lazy:
