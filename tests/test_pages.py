@@ -140,3 +140,20 @@ def test_js_literal_subset():
         pg.js_literal_to_json("{a: someVar}")
     assert pg.find_init_data("var x = 1; initData = {k: 1}") == '{"k": 1}'
     assert pg.find_init_data("var x = 1;") is None
+
+
+def test_extract_job_end_to_end(spark):
+    import datetime as dt
+    from turnout.config import Config
+    from turnout.operators.staging import stg_activity, stg_presence
+    from turnout.plans.extract import extract
+    ts = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc)
+    ex = extract(_pages(spark), DOMAIN, SLUG, "L9", ts)
+    assert sorted(r.activity_id for r in ex.requests.collect()) == ["123", "123", "456"]
+    cfg = Config.warehouse()
+    sp = stg_presence(ex.raw_presence, cfg).collect()
+    assert sorted((r.schedule_id, r.user_id) for r in sp) == [(77, 10), (77, 11)]
+    sa = stg_activity(ex.raw_activity, cfg).collect()
+    assert sorted((r.schedule_id, r.place) for r in sa) == [(77, "Hall & Arena"), (78, None)]
+    assert {r.load_id for r in ex.raw_activity.collect()} == {"L9"}
+    assert [r.page_id for r in ex.rejects.collect()] == [3]
