@@ -88,3 +88,24 @@ def test_matches_brute_force_on_random_histories(spark):
             d += dt.timedelta(rng.choice([1, 2, 5, 30, 89, 90, 91, 92, 93, 94, 150]))
     got = {k: (v.status_event, v.status) for k, v in series(spark, rows, as_of).items()}
     assert got == brute_force(rows, as_of)
+
+
+def test_grid_window_form_equals_run_form(spark):
+    from turnout.operators.retention import member_day_metrics_grid
+    rng = random.Random(11)
+    as_of = dt.date(2019, 9, 1)
+    rows = []
+    for mid in range(1, 6):
+        d = SPINE + dt.timedelta(rng.randint(-100, 150))
+        while d < as_of + dt.timedelta(10):
+            rows.append((mid, d, rng.randint(1, 3)))
+            d += dt.timedelta(rng.choice([1, 3, 60, 91, 92, 93, 120]))
+    cfg = Config.warehouse(as_of=as_of, spine_start=SPINE)
+    daily = spark.createDataFrame(rows, SCHEMA)
+    cols = ["member_id", "date_day", "activities", "last_activity_at", "calendar_row", "days_since_last_activity"]
+    runs = sorted(map(tuple, member_day_metrics(daily, cfg).select(*cols).collect()))
+    grid = sorted(map(tuple, member_day_metrics_grid(daily, cfg).select(*cols).collect()))
+    assert runs == grid
+    a = sorted(map(tuple, status_columns(member_day_metrics(daily, cfg)).collect()))
+    b = sorted(map(tuple, status_columns(member_day_metrics_grid(daily, cfg)).collect()))
+    assert a == b

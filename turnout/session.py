@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even when the join feeds an aggregate or
+    # window on the same key (one activity or member may hold a third of the rows)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
