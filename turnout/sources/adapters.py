@@ -83,7 +83,7 @@ def ev_attendance(events: DataFrame, bucket_hours: int) -> DataFrame:
              .withColumn("schedule_id", F.col("bucket") * 1000 + F.col("team")))
 
 
-def _ev_activity_rows(activities: DataFrame, bucket_hours: int, place: Column) -> DataFrame:
+def _ev_activity_rows(activities: DataFrame, bucket_hours: int, place: Column, keep: list[str] = ()) -> DataFrame:
     b = F.col("bucket")
     start_sec = b * (3600 * bucket_hours)
     hour = ((start_sec % 86400) / 3600).cast("bigint")
@@ -110,6 +110,7 @@ def _ev_activity_rows(activities: DataFrame, bucket_hours: int, place: Column) -
         F.concat(F.lit("Activity "), F.col("schedule_id").cast("string")).alias("scheduleText"),
         F.when(etype == 6, F.concat(F.lit("info [matcher="), (b % 5).cast("string"), F.lit("]")))
          .otherwise(F.lit("info")).alias("scheduleInfo"),
+        *keep,
     )
 
 
@@ -118,16 +119,23 @@ def _stamp(df: DataFrame, load_id: str, ts: dt.datetime) -> DataFrame:
                            "load_timestamp": F.timestamp_seconds(F.lit(int(ts.timestamp())))})
 
 
+def _load_stamps(loads: tuple[str, ...]) -> Column:
+    """One struct per load batch; exploding it copies each row into every
+    batch in one narrow step (the rows are computed once)."""
+    ts = {"L1": L1_TIMESTAMP, "L2": L2_TIMESTAMP}
+    return F.array(*[F.struct(F.lit(l).alias("load_id"),
+                              F.timestamp_seconds(F.lit(int(ts[l].timestamp()))).alias("load_timestamp"))
+                     for l in loads])
+
+
 def ev_raw_activity(events: DataFrame, bucket_hours: int = 1, loads: tuple[str, ...] = ("L1", "L2")) -> DataFrame:
+    """Raw activity rows; the older batch L1 has another place than L2."""
     act = ev_attendance(events, bucket_hours).select("bucket", "team", "schedule_id").distinct()
-    out = None
-    for load in loads:
-        place = (F.lit("Old hall") if load == "L1"
-                 else F.concat(F.lit("Hall "), (F.col("team") % 3).cast("string")))
-        ts = L1_TIMESTAMP if load == "L1" else L2_TIMESTAMP
-        part = _stamp(_ev_activity_rows(act, bucket_hours, place), load, ts)
-        out = part if out is None else out.unionByName(part)
-    return out
+    act = act.select("*", F.explode(_load_stamps(loads)).alias("_load"))
+    place = (F.when(F.col("_load.load_id") == "L1", F.lit("Old hall"))
+              .otherwise(F.concat(F.lit("Hall "), (F.col("team") % 3).cast("string"))))
+    rows = _ev_activity_rows(act.withColumn("_place", place), bucket_hours, F.col("_place"), keep=["_load"])
+    return rows.select(*[c for c in rows.columns if c != "_load"], "_load.load_id", "_load.load_timestamp")
 
 
 def ev_raw_presence(events: DataFrame, bucket_hours: int = 1, loads: tuple[str, ...] = ("L1", "L2")) -> DataFrame:
@@ -144,12 +152,8 @@ def ev_raw_presence(events: DataFrame, bucket_hours: int = 1, loads: tuple[str,
                    F.sort_array(F.collect_list(F.when(F.col("t") != 2, F.col("p")))).alias("participants"))
               .select(F.col("schedule_id").alias("scheduleId"),
                       F.array(F.struct("leaders", "participants")).alias("teamPresenceGroups")))
-    out = None
-    for load in loads:
-        ts = L1_TIMESTAMP if load == "L1" else L2_TIMESTAMP
-        part = _stamp(nested, load, ts)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return (nested.select("*", F.explode(_load_stamps(loads)).alias("_load"))
+                  .select("scheduleId", "teamPresenceGroups", "_load.load_id", "_load.load_timestamp"))
 
 
 # ---------------------------------------------------------------- OR adapter
