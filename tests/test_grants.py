@@ -19,9 +19,8 @@ WH = Config.warehouse(as_of=dt.date(2024, 6, 1))
 def models(spark, acts, pres, cfg):
     sa = stg_activity(raw_activity(spark, acts), cfg)
     sp = stg_presence(raw_presence(spark, pres), cfg)
-    dims = seeds.dims(spark)
-    m = member(sp, dims["member_types"], cfg)
-    a = activity(sa, dims, cfg) if cfg.is_local else activity(sa, dims, cfg, sp, m)
+    m = member(sp, cfg)
+    a = activity(sa, cfg) if cfg.is_local else activity(sa, cfg, sp, m)
     return attended_activity(sp, cfg), m, a
 
 

@@ -20,9 +20,8 @@ CFG = Config.warehouse(as_of=AS_OF)
 def models(spark, acts, pres):
     sa = stg_activity(raw_activity(spark, acts), CFG)
     sp = stg_presence(raw_presence(spark, pres), CFG)
-    dims = seeds.dims(spark)
-    m = member(sp, dims["member_types"], CFG)
-    return attended_activity(sp, CFG), m, activity(sa, dims, CFG, sp, m)
+    m = member(sp, CFG)
+    return attended_activity(sp, CFG), m, activity(sa, CFG, sp, m)
 
 
 def test_windows_rates_and_zero_available(spark):

@@ -53,17 +53,17 @@ def test_cup_games_from_info_text(spark):
 def test_member_latest_profile_by_schedule_id(spark):
     rows = [presence_row(5, [person(7, 4)]), presence_row(9, [person(7, 1)]), presence_row(3, [person(7, 2)])]
     st = stg_presence(raw_presence(spark, rows), W)
-    m = member(st, seeds.read_seed(spark, "member_types"), W).collect()
+    m = member(st, W).collect()
     assert len(m) == 1 and m[0].member_type == "Player" and m[0].member_type_id == 1
 
 
 def test_member_names_deleted_and_pseudonym(spark):
     rows = [presence_row(1, [person(5, 1, first="", last=None), person(6, 1, first="Ann", last="")])]
     raw = raw_presence(spark, rows)
-    loc = {r.member_id: r for r in member(stg_presence(raw, L), seeds.read_seed(spark, "member_types"), L).collect()}
+    loc = {r.member_id: r for r in member(stg_presence(raw, L), L).collect()}
     assert (loc[5].first_name, loc[5].last_name) == ("<DELETED>", "<DELETED>")
     assert (loc[6].first_name, loc[6].last_name) == ("Ann", "<DELETED>")
-    wh = {r.member_id: r for r in member(stg_presence(raw, W), seeds.read_seed(spark, "member_types"), W).collect()}
+    wh = {r.member_id: r for r in member(stg_presence(raw, W), W).collect()}
     tag = spark.sql("select left(base64(unhex(md5('5'))), 6)").first()[0]
     assert wh[5].first_name == f"FN-{tag}" and wh[5].last_name == f"EN-{tag}"
     assert wh[5].full_name == f"FN-{tag} EN-{tag}"
@@ -85,5 +85,5 @@ def test_attendance_id_collision_and_styles(spark):
 def test_cohort_flag_null_birth_is_false(spark):
     rows = [presence_row(1, [person(5, 1, dob=None), person(6, 1, dob="2014-03-01")])]
     m = {r.member_id: r.is_f2014 for r in
-         member(stg_presence(raw_presence(spark, rows), W), seeds.read_seed(spark, "member_types"), W).collect()}
+         member(stg_presence(raw_presence(spark, rows), W), W).collect()}
     assert m == {5: False, 6: True}

@@ -71,7 +71,7 @@ def test_activity_model_is_session_zone_independent(spark, session_zone, zone):
                                activity_row(2, "2024-01-10", "23:00", "01:00", etype=3),
                                activity_row(3, "2024-01-10", None, "01:00", etype=7, result=9)])
     cfg = Config.local()
-    a = activity(stg_activity(raw, cfg), seeds.dims(spark), cfg)
+    a = activity(stg_activity(raw, cfg), cfg)
     got = {r.activity_id: r for r in a.select("activity_id", F.unix_seconds("start_at").alias("s"),
                                               "duration_minutes", "event_type_label", "result_label").collect()}
     assert got[1].s == int(dt.datetime(2024, 3, 31, 20, 0, tzinfo=dt.timezone.utc).timestamp())

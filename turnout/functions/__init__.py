@@ -8,6 +8,14 @@ from .time import (calendar_age, cohort_flag, day_text_of_seconds, end_instant,
 from pyspark.sql import functions as _F
 
 
+def label(code, mapping: dict):
+    """Name of a code from a small fixed lookup; NULL for unknown or NULL codes.
+    A literal map inside the expression: no join, no broadcast, codegen'd."""
+    code = _F.col(code) if isinstance(code, str) else code
+    pairs = [x for k, v in sorted(mapping.items()) for x in (_F.lit(k), _F.lit(v))]
+    return _F.try_element_at(_F.create_map(*pairs), code.cast("bigint"))
+
+
 def safe_pct(num, den, digits: int = 1):
     """100 * num / den rounded half away from zero; NULL when den is 0 or NULL."""
     num = _F.col(num) if isinstance(num, str) else num

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions import attendance_id, end_instant, local_instant, minutes_between
+from ..functions import attendance_id, end_instant, label, local_instant, minutes_between
+from ..sources.seeds import labels
 from .members import member_type_col
 
 
@@ -36,8 +37,8 @@ def headcounts(stg_presence: DataFrame, member: DataFrame, cfg: Config) -> DataF
     )
 
 
-def activity(stg_activity: DataFrame, dims: dict[str, DataFrame], cfg: Config,
-             stg_presence: DataFrame | None = None, member: DataFrame | None = None) -> DataFrame:
+def activity(stg_activity: DataFrame, cfg: Config, stg_presence: DataFrame | None = None,
+             member: DataFrame | None = None, lookups: dict[str, dict[int, str]] | None = None) -> DataFrame:
     """Activities with labels, start/end instants and duration.
 
     The warehouse family also carries the season, the cup game count and the
@@ -45,11 +46,9 @@ def activity(stg_activity: DataFrame, dims: dict[str, DataFrame], cfg: Config,
     """
     type_col = "event_type_id" if cfg.is_local else "activity_type_id"
     result_col = "result_id" if cfg.is_local else "result_type_id"
-    types = F.broadcast(dims["activity_types"].select(F.col("activity_type_id").alias(type_col),
-                                                      F.col("name").alias("_type_name")))
-    results = F.broadcast(dims["result_types"].select(F.col("result_type_id").alias(result_col),
-                                                      F.col("name").alias("_result_name")))
-    a = stg_activity.join(types, type_col, "left").join(results, result_col, "left")
+    lk = lookups or {"activity_types": labels("activity_types"), "result_types": labels("result_types")}
+    a = stg_activity.withColumns({"_type_name": label(type_col, lk["activity_types"]),
+                                  "_result_name": label(result_col, lk["result_types"])})
     start = local_instant("schedule_date", "start_time", cfg.zone)
     end = end_instant("schedule_date", "start_time", "end_time", cfg.zone, cfg.midnight)
     a = a.withColumns({"_start": start, "_end": end})

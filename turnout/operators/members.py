@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions import cohort_flag, pseudonym
+from ..functions import cohort_flag, label, pseudonym
+from ..sources.seeds import labels
 from .latest import latest_per_key
 
 # Profile precedence: the highest schedule id wins; equal schedule ids (a user
@@ -18,10 +19,11 @@ def latest_profiles(stg_presence: DataFrame) -> DataFrame:
     return latest_per_key(stg_presence, ["user_id"], PROFILE_ORDER)
 
 
-def member(stg_presence: DataFrame, member_types: DataFrame, cfg: Config) -> DataFrame:
+def member(stg_presence: DataFrame, cfg: Config, member_types: dict[int, str] | None = None) -> DataFrame:
+    """Latest profile per user with the member-type name (from the lookup)."""
     prof = latest_profiles(stg_presence)
-    types = F.broadcast(member_types.select("member_type_id", F.col("name").alias("_type_name")))
-    prof = prof.join(types, "member_type_id", "left")
+    names = labels("member_types") if member_types is None else member_types
+    prof = prof.withColumn("_type_name", label("member_type_id", names))
     if cfg.is_local:
         deleted = F.lit("<DELETED>")
         return prof.select(

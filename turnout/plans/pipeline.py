@@ -75,12 +75,12 @@ def model_builders(spark: SparkSession, cfg: Config, raw_activity: Callable[[],
         "raw_presence": lambda m: raw_presence(),
         "stg_activity": lambda m: staging.stg_activity(m["raw_activity"], cfg),
         "stg_presence": lambda m: staging.stg_presence(m["raw_presence"], cfg),
-        "member": lambda m: members.member(m["stg_presence"], dims["member_types"], cfg),
+        "member": lambda m: members.member(m["stg_presence"], cfg),
         "attended_activity": lambda m: act.attended_activity(m["stg_presence"], cfg),
         "export_all": lambda m: act.export_all(*_args(m)),
     }
     if cfg.is_local:
-        b["activity"] = lambda m: act.activity(m["stg_activity"], dims, cfg)
+        b["activity"] = lambda m: act.activity(m["stg_activity"], cfg)
         b["lok"] = lambda m: grants.state_grant(*_args(m), cfg)
         return b
     b.update({
@@ -89,7 +89,7 @@ def model_builders(spark: SparkSession, cfg: Config, raw_activity: Callable[[],
         "result_type": lambda m: dims["result_types"],
         "season": lambda m: seeds.season(spark),
         "calendar": lambda m: default_calendar(spark, cfg.spine_start, cfg.as_of),
-        "activity": lambda m: act.activity(m["stg_activity"], dims, cfg, m["stg_presence"], m["member"]),
+        "activity": lambda m: act.activity(m["stg_activity"], cfg, m["stg_presence"], m["member"]),
         "statligt_lok": lambda m: grants.state_grant(*_args(m), cfg),
         "kommunalt_lok": lambda m: grants.municipal_grant(*_args(m), cfg),
         "player_status": lambda m: retention.player_status(*_args(m), cfg),

@@ -45,5 +45,10 @@ def season(spark: SparkSession, path: str | None = None) -> DataFrame:
     return read_seed(spark, "seasons", path).select("season_id", "season_name", "year", "difficulty")
 
 
+def labels(name: str) -> dict[int, str]:
+    """A lookup file as {id: name} (fixed, at most a dozen entries)."""
+    return {r[0]: r[1] for r in _rows(name)}
+
+
 def dims(spark: SparkSession) -> dict[str, DataFrame]:
     return {n: F.broadcast(read_seed(spark, n)) for n in SEED_NAMES}
