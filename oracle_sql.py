@@ -602,6 +602,9 @@ FROM m""",
         "page_evidence": page_evidence_sql(),
         "page_auth": page_auth_sql(),
         "presence_scan": presence_scan_sql(),
+        "extract_rejects": ("SELECT page_id, url, 'not authenticated or error status' AS reason FROM pages "
+                            "WHERE NOT (COALESCE(contains(html, 'Logga ut'), FALSE) "
+                            "AND NOT COALESCE(contains(lower(url), 'logga-in'), FALSE))"),
     }
     return {k: v.strip() for k, v in q.items()}
 

@@ -35,12 +35,13 @@ def test_append_loads_with_added_field(spark):
     path = scratch_path(spark, "t-append")
     old = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     first = raw_activity(spark, [activity_row(1, "2024-01-10", place="old", load="L1", ts=old)]).drop("scheduleInfo")
-    replace_table(first, path)
-    append_load(raw_activity(spark, [activity_row(1, "2024-01-10", place="new", info="[matcher=2]")]), path)
+    assert replace_table(first, path) == 1
+    assert append_load(raw_activity(spark, [activity_row(1, "2024-01-10", place="new", info="[matcher=2]"),
+                                            activity_row(2, "2024-01-11", place="x", info=None)]), path) == 2
     raw = read_raw_table(spark, path)
-    assert "scheduleInfo" in raw.columns and raw.count() == 2
-    got = stg_activity(raw, W).collect()
-    assert [(r.place, r.cup_nr_of_games) for r in got] == [("new", 2)]
+    assert "scheduleInfo" in raw.columns and raw.count() == 3
+    got = sorted(stg_activity(raw, W).collect())
+    assert [(r.place, r.cup_nr_of_games) for r in got] == [("new", 2), ("x", None)]
 
 
 def test_stamp_and_guard_and_count(spark):

@@ -287,7 +287,7 @@ def _scan_presence(batches):
                     break
             idx.append(hit[0])
             payload.append(hit[1])
-        yield pd.DataFrame({"page_id": pdf["page_id"], "n_head_scripts": pdf["n"],
+        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "n_head_scripts": pdf["n"],
                             "script_index": pd.Series(idx, dtype="Int32"),
                             "payload": pd.Series(payload, dtype=object)})
 
@@ -300,8 +300,9 @@ def presence_scan(pages: DataFrame) -> DataFrame:
     scripts = head_scripts()
     indexed = F.transform(scripts, lambda s, i: F.struct(i.alias("i"), s.alias("s")))
     cands = F.filter(indexed, lambda c: c["s"].contains("initData"))
-    pre = pages.select("page_id", F.size(scripts).cast("bigint").alias("n"), cands.alias("cands"))
-    return pre.mapInPandas(_scan_presence, "page_id long, n_head_scripts long, script_index int, payload string")
+    pre = pages.select("page_id", "url", F.size(scripts).cast("bigint").alias("n"), cands.alias("cands"))
+    return pre.mapInPandas(_scan_presence,
+                           "page_id long, url string, n_head_scripts long, script_index int, payload string")
 
 
 def extract_presence(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -311,7 +312,7 @@ def extract_presence(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     rec = scan.where(F.col("payload").isNotNull()).select(
         "page_id", F.from_json("payload", schemas.PRESENCE_PAYLOAD).alias("r")).select("page_id", "r.*")
     rejects = scan.where(F.col("payload").isNull()).select(
-        "page_id", F.lit("initData not found").alias("reason"))
+        "page_id", "url", F.lit("initData not found").alias("reason"))
     return rec, rejects
 
 
@@ -370,17 +371,22 @@ def find_call_payloads(code: str) -> list[tuple[str, str]]:
 
 def _scan_activity(batches):
     for pdf in batches:
-        pid, callee, payload, error = [], [], [], []
-        for p, code in zip(pdf["page_id"], pdf["init"]):
+        pid, url, callee, payload, error = [], [], [], [], []
+
+        def emit(p, u, c, js, err):
+            pid.append(p); url.append(u); callee.append(c); payload.append(js); error.append(err)
+
+        for p, u, code in zip(pdf["page_id"], pdf["url"], pdf["init"]):
             if not isinstance(code, str) or not code.strip():
-                pid.append(p); callee.append(None); payload.append(None); error.append("data-ng-init missing")
+                emit(p, u, None, None, "data-ng-init missing")
                 continue
             try:
                 for name, js in find_call_payloads(code):
-                    pid.append(p); callee.append(name); payload.append(js); error.append(None)
+                    emit(p, u, name, js, None)
             except ValueError as exc:
-                pid.append(p); callee.append(None); payload.append(None); error.append(str(exc))
-        yield pd.DataFrame({"page_id": pd.Series(pid, dtype="int64"), "callee": pd.Series(callee, dtype=object),
+                emit(p, u, None, None, str(exc))
+        yield pd.DataFrame({"page_id": pd.Series(pid, dtype="int64"), "url": pd.Series(url, dtype=object),
+                            "callee": pd.Series(callee, dtype=object),
                             "payload": pd.Series(payload, dtype=object), "error": pd.Series(error, dtype=object)})
 
 
@@ -392,11 +398,11 @@ def body_init(html="html") -> Column:
 def extract_activity(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records, rejects): one activity record per top-level call in the body's
     ``data-ng-init`` (its first argument), and pages lacking it or unparsable."""
-    scan = pages.select("page_id", body_init().alias("init")).mapInPandas(
-        _scan_activity, "page_id long, callee string, payload string, error string")
+    scan = pages.select("page_id", "url", body_init().alias("init")).mapInPandas(
+        _scan_activity, "page_id long, url string, callee string, payload string, error string")
     rec = scan.where(F.col("error").isNull()).select(
         "page_id", "callee", F.from_json("payload", schemas.ACTIVITY_PAYLOAD).alias("r")).select("page_id", "callee", "r.*")
-    rejects = scan.where(F.col("error").isNotNull()).select("page_id", F.col("error").alias("reason"))
+    rejects = scan.where(F.col("error").isNotNull()).select("page_id", "url", F.col("error").alias("reason"))
     return rec, rejects
 
 

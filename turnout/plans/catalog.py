@@ -233,6 +233,14 @@ def q_csv_export(spark, sf):
     return spark.read.schema(wide.schema).option("header", True).csv(path)
 
 
+def q_extract_rejects(spark, sf):
+    """The page-extraction job over the captured pages: pages failing the
+    guards (and unparsable payload pages) with the reason."""
+    from .extract import extract
+    pages = ad.read_table(spark, sf, "pages")
+    return extract(pages, DOMAIN, "en", "L0", ad.L2_TIMESTAMP).rejects
+
+
 def q_pages(fn):
     def q(spark, sf):
         return fn(ad.read_table(spark, sf, "pages"))
@@ -287,6 +295,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_evidence": q_pages(pg.page_evidence_report),
         "page_auth": q_pages(pg.page_auth),
         "presence_scan": q_pages(pg.presence_scan_report),
+        "extract_rejects": q_extract_rejects,
     }
 
 

@@ -43,8 +43,5 @@ def extract(pages: DataFrame, domain: str, team_slug: str, load_id: str | None =
     raw_presence = stamp_load(pres.drop("page_id"), load_id, load_timestamp)
     raw_activity = stamp_load(acts.drop("page_id", "callee"), load_id, load_timestamp)
     rejected = pg.rejected_pages(pages).select("page_id", "url", F.lit("not authenticated or error status").alias("reason"))
-    urls = pages.select("page_id", "url")
-    rejects = (rejected
-               .unionByName(pres_rej.join(urls, "page_id").select("page_id", "url", "reason"))
-               .unionByName(act_rej.join(urls, "page_id").select("page_id", "url", "reason")))
+    rejects = rejected.unionByName(pres_rej).unionByName(act_rej)
     return Extracted(requests, raw_activity, raw_presence, rejects)

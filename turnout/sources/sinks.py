@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,14 +31,23 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Create-or-replace a raw table (one load only)."""
-    df.write.mode("overwrite").parquet(path)
+def _write_counted(df: DataFrame, path: str, mode: str) -> int:
+    """Write and return the number of rows written, counted by an Observation
+    during the write (no second pass over the data)."""
+    obs = Observation("rows_written")
+    df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode(mode).parquet(path)
+    return int(obs.get["row_count"])
 
 
-def append_load(df: DataFrame, path: str) -> None:
-    """Append one load batch; batches may add fields (read back with mergeSchema)."""
-    df.write.mode("append").parquet(path)
+def replace_table(df: DataFrame, path: str) -> int:
+    """Create-or-replace a raw table (one load only); returns the rows written."""
+    return _write_counted(df, path, "overwrite")
+
+
+def append_load(df: DataFrame, path: str) -> int:
+    """Append one load batch (batches may add fields; read back with
+    mergeSchema); returns the rows written."""
+    return _write_counted(df, path, "append")
 
 
 def row_count(df: DataFrame) -> DataFrame:
