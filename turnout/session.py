@@ -44,20 +44,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster the operator names it in ``spark.checkpoint.dir`` (a shared
-    file system); it is only set here when nothing is configured, which is
-    the case in local tests.
+    file system); a temporary folder is only made when nothing is configured
+    and the master is local (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        try:
+            conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable through the session conf
+            conf_dir = None
     if not conf_dir:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage): "
                                "models and checkpoints are written there")
         conf_dir = tempfile.mkdtemp(prefix="turnout-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
