@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from turnout.operators import pages as pg
 
-SLUG = "ekf-fotboll-f2014"
-DOMAIN = "www.ekf.nu"
+SLUG = "lag-f2014"
+DOMAIN = "www.example-club.se"
 
 CALENDAR = f"""<html><head><title> Kalender &amp; mer </title>
 <link rel="canonical" href="https://{DOMAIN}/{SLUG}/kalender"></head>
