@@ -4,7 +4,6 @@ import datetime as dt
 import hashlib
 import base64
 
-from pyspark.sql import functions as F
 
 from turnout.functions import (activity_edit_url, activity_id_from_url, attendance_id, is_match_url, is_team_url,
                                presence_url, pseudonym, regexp_first, safe_pct, swedish_month)

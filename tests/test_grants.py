@@ -9,7 +9,6 @@ from turnout.operators import grants
 from turnout.operators.activities import activity, attended_activity
 from turnout.operators.members import member
 from turnout.operators.staging import stg_activity, stg_presence
-from turnout.sources import seeds
 from tests.fixtures import activity_row, eligible_crowd, person, presence_row, raw_activity, raw_presence
 
 LOCAL = Config.local()

@@ -1,6 +1,5 @@
 """Page operators on hand-made pages (the driver pages carry no club payloads)."""
 
-from pyspark.sql import functions as F
 
 from turnout.operators import pages as pg
 

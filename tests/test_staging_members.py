@@ -2,14 +2,12 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from turnout.config import Config
 from turnout.operators.activities import attended_activity
 from turnout.operators.members import member
 from turnout.operators.quality import unique
 from turnout.operators.staging import latest_load, stg_activity, stg_presence
-from turnout.sources import seeds
 from tests.fixtures import activity_row, person, presence_row, raw_activity, raw_presence
 
 W, L = Config.warehouse(), Config.local()

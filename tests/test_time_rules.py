@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from turnout.config import Config
 from turnout.functions import calendar_age, end_instant, local_day, local_instant, minutes_between, week_start
 from turnout.operators.activities import activity
-from turnout.sources import seeds
 from turnout.operators.staging import stg_activity
 from tests.fixtures import activity_row, raw_activity
 

@@ -8,7 +8,6 @@ session time zone).  Every query reads whole tables.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import activities as act
-from ..operators import grants, members, participation, quality, retention, staging
+from ..operators import grants, participation, quality, retention, staging
 from ..sources import adapters as ad
 from ..operators import pages as pg
 from ..sources import seeds, sinks, spines

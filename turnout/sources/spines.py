@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import site_url, swedish_month
+from ..functions import swedish_month
 
 
 def calendar(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> DataFrame:
@@ -48,4 +48,4 @@ def month_urls(starts: DataFrame, as_of: dt.date, domain: str) -> DataFrame:
     )
 
 
-__all__ = ["calendar", "default_calendar", "month_urls", "site_url"]
+__all__ = ["calendar", "default_calendar", "month_urls"]
