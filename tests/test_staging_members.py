@@ -85,3 +85,13 @@ def test_cohort_flag_null_birth_is_false(spark):
     m = {r.member_id: r.is_f2014 for r in
          member(stg_presence(raw_presence(spark, rows), W), W).collect()}
     assert m == {5: False, 6: True}
+
+
+def test_loads_agree_check(spark):
+    from turnout.operators.staging import loads_agree
+    ra = raw_activity(spark, [activity_row(1, "2024-01-10", load="L1", ts=OLD), activity_row(1, "2024-01-10")])
+    rp_same = raw_presence(spark, [presence_row(1, [person(1)])])
+    rp_old = raw_presence(spark, [presence_row(1, [person(1)], load="L1", ts=OLD)])
+    r = loads_agree(ra, rp_same).first()
+    assert (r.activity_load_id, r.presence_load_id, r.agree) == ("L2", "L2", True)
+    assert loads_agree(ra, rp_old).first().agree is False

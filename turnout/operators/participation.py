@@ -39,11 +39,13 @@ def attended_trainings(attended: DataFrame, activity: DataFrame, cfg: Config) ->
 
 def training_participation(attended: DataFrame, member: DataFrame, activity: DataFrame, cfg: Config) -> DataFrame:
     players = member.where(F.col("member_type") == "Player").select("member_id", "full_name", "member_type")
-    # one row, so broadcasting it is safe at any scale
-    avail = F.broadcast(available_trainings(activity, cfg))
-    j = players.join(attended_trainings(attended, activity, cfg), "member_id", "left").crossJoin(avail)
+    # the totals are one row: a struct-valued scalar subquery, computed once and
+    # used as a constant in the projection (no join)
+    av = available_trainings(activity, cfg)
+    totals = av.select(F.struct(*av.columns).alias("t")).scalar()
+    j = players.join(attended_trainings(attended, activity, cfg), "member_id", "left")
     cols = ["member_id", "full_name", "member_type"]
     for w in WINDOWS_WEEKS:
         n = F.coalesce(F.col(f"trainings_{w}w"), F.lit(0)).cast("bigint")
-        cols += [n.alias(f"trainings_{w}w"), safe_pct(n, F.col(f"available_{w}w")).alias(f"rate_{w}w")]
+        cols += [n.alias(f"trainings_{w}w"), safe_pct(n, totals.getField(f"available_{w}w")).alias(f"rate_{w}w")]
     return j.select(*cols)

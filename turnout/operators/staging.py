@@ -18,8 +18,26 @@ def latest_load(raw: DataFrame) -> DataFrame:
     The load id is a scalar subquery, so the filter is pushed into the scan of
     a Parquet raw table and only one batch's files/row groups are read.
     """
-    newest = raw.select(F.max_by("load_id", F.struct("load_timestamp", "load_id")).alias("load_id")).scalar()
-    return raw.where(F.col("load_id") == newest)
+    return raw.where(F.col("load_id") == newest_load_id(raw).scalar())
+
+
+def newest_load_id(raw: DataFrame) -> DataFrame:
+    """One row: the load_id of the newest batch (ties: greatest load_id)."""
+    return raw.select(F.max_by("load_id", F.struct("load_timestamp", "load_id")).alias("load_id"))
+
+
+def loads_agree(raw_activity: DataFrame, raw_presence: DataFrame) -> DataFrame:
+    """One row (activity_load_id, presence_load_id, agree): the two raw tables
+    choose their newest batch independently; this reports whether they match."""
+    tagged = (raw_activity.select(F.lit("a").alias("t"), "load_id", "load_timestamp")
+              .unionByName(raw_presence.select(F.lit("p").alias("t"), "load_id", "load_timestamp")))
+
+    def newest(tag: str):
+        mine = F.col("t") == tag
+        return F.max_by(F.when(mine, F.col("load_id")), F.when(mine, F.struct("load_timestamp", "load_id")))
+
+    out = tagged.agg(newest("a").alias("activity_load_id"), newest("p").alias("presence_load_id"))
+    return out.withColumn("agree", F.coalesce(F.col("activity_load_id") == F.col("presence_load_id"), F.lit(False)))
 
 
 def stg_activity(raw: DataFrame, cfg: Config) -> DataFrame:
