@@ -1,8 +1,8 @@
 """Lookup tables (activity, member and result types; seasons).
 
-The files are tiny and fixed, so they are read on the driver and become a
-local relation in the plan: every executor gets them with the task, and a
-join against them is a broadcast of a proven-small side.  A shared path
+The files are tiny and fixed, so they are read on the driver: as a local
+relation in the plan for the lookup models, and as literal maps for labels
+(``labels`` + ``functions.label``), so no model joins them.  A shared path
 can be given instead, read with Spark's CSV reader.
 """
 
@@ -12,7 +12,6 @@ import csv
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import SEED_SCHEMAS
 
@@ -51,4 +50,5 @@ def labels(name: str) -> dict[int, str]:
 
 
 def dims(spark: SparkSession) -> dict[str, DataFrame]:
-    return {n: F.broadcast(read_seed(spark, n)) for n in SEED_NAMES}
+    """The four lookup tables as DataFrames (the lookup models)."""
+    return {n: read_seed(spark, n) for n in SEED_NAMES}
