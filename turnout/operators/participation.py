@@ -43,9 +43,10 @@ def training_participation(attended: DataFrame, member: DataFrame, activity: Dat
     # used as a constant in the projection (no join)
     av = available_trainings(activity, cfg)
     totals = av.select(F.struct(*av.columns).alias("t")).scalar()
-    j = players.join(attended_trainings(attended, activity, cfg), "member_id", "left")
+    j = (players.join(attended_trainings(attended, activity, cfg), "member_id", "left")
+                .withColumn("_totals", totals))          # referenced once: one subquery
     cols = ["member_id", "full_name", "member_type"]
     for w in WINDOWS_WEEKS:
         n = F.coalesce(F.col(f"trainings_{w}w"), F.lit(0)).cast("bigint")
-        cols += [n.alias(f"trainings_{w}w"), safe_pct(n, totals.getField(f"available_{w}w")).alias(f"rate_{w}w")]
+        cols += [n.alias(f"trainings_{w}w"), safe_pct(n, F.col(f"_totals.available_{w}w")).alias(f"rate_{w}w")]
     return j.select(*cols)
