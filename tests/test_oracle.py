@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.compare import TABLES, digest
+from tools.compare import TABLES, digest, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -37,6 +37,7 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(ORACLE[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    assert type_mismatches(df.dtypes, rel.columns, rel.types) == []
     assert len(srows) == len(orows)
     assert digest(df.columns, srows)[0] == digest(rel.columns, orows)[0]
 
