@@ -43,6 +43,14 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Switch on, in a session made elsewhere, the runtime settings that keep a
+    hot key splittable.  Sizes and partition counts stay the session's own."""
+    for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(k, DEFAULT_CONF[k])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
