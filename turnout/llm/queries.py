@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, jaccard, tokens
 
 QUERIES = {
+    "op1_ngram_jaccard_join": jaccard.query,
+    "op4_token_counts": tokens.query,
     "op7_benchmark_decontamination": decontaminate.query,
 }
 SQL = {
+    "op1_ngram_jaccard_join": jaccard.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,
 }
 
