@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bitmap
 from .common import binary_column, blocks, groups, list_column, mix, prepare, stored, table, text_bytes, words
 from .components import connected
 
@@ -162,16 +163,26 @@ def _prune(batches):
             names=["key", "bi", "bj", "rep", "partners"])
 
 
-def _sets(batches):
-    """rep and its sorted shingle hashes, from whole texts."""
-    for b in batches:
-        data, offsets = text_bytes(b.column("text"))
-        for lo, hi, part, offs in blocks(data, offsets):
-            code, row = shingles(words(part, offs))
-            cut = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32) * 8
-            yield pa.RecordBatch.from_arrays(
-                [b.column("rep").slice(lo, hi - lo), pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(code.tobytes())])],
-                names=["rep", "set"])
+def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, text_id and the sorted shingle hashes of the whole texts of the
+    wanted representatives; a bitmap leaves out most other texts where they are
+    read, so that only few are shuffled, and the join the rest."""
+    bits, n_bits = bitmap.build(wanted.select(F.xxhash64("rep").alias("h")), "h")
+    shared = documents.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for whole in batches:
+            b = whole.take(pa.array(bitmap.passes(shared.value, n_bits, whole.column("h").to_numpy().view(np.uint64))))
+            data, offsets = text_bytes(b.column("text"))
+            for lo, hi, part, offs in blocks(data, offsets):
+                code, row = shingles(words(part, offs))
+                cut = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32) * 8
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("rep").slice(lo, hi - lo), b.column("text_id").slice(lo, hi - lo),
+                     pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(code.tobytes())])],
+                    names=["rep", "text_id", "set"])
+    rows = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), F.xxhash64("doc_id").alias("h"), "text_id", "text")
+    return rows.mapInArrow(run, "rep long, text_id long, set binary").join(wanted, "rep").dropDuplicates(["rep", "text_id"]).drop("text_id")
 
 
 def _overlaps(sets: list[np.ndarray], a: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -265,9 +276,7 @@ def join(documents: DataFrame) -> DataFrame:
     dealt = members.repartition(*key).sortWithinPartitions(*key)
     left = stored(dealt.mapInArrow(_prune, "key long, bi int, bj int, rep long, partners array<long>"), "pruned")
 
-    wanted = left.select("rep").distinct()
-    sets = (docs.select(F.col("doc_id").alias("rep"), "text", "text_id").join(wanted, "rep").dropDuplicates(["rep", "text_id"]).select("rep", "text")
-            .mapInArrow(_sets, "rep long, set binary"))
+    sets = _sets(docs, stored(left.select("rep").distinct(), "wanted"))
     sizes = classes.groupBy("rep").agg(F.sum("copies").alias("copies"))
     checked = left.join(sets.join(sizes, "rep"), "rep").repartition(*key).sortWithinPartitions(*key)
     links = stored(checked.mapInArrow(_verify, "rep long, n_links long, root long"), "links")
