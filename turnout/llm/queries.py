@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, tokens
+from . import decontaminate, jaccard, langid, licenses, tokens
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard.query,
     "op4_token_counts": tokens.query,
+    "op6_license_scan": licenses.query,
+    "op9_language_id": langid.query,
     "op7_benchmark_decontamination": decontaminate.query,
 }
 SQL = {
