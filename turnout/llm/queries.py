@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard, langid, licenses, tokens
+from . import decontaminate, embeddings, jaccard, langid, licenses, mixing, pii, substrings, tokens, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard.query,
+    "op2_embedding_near_dedup": embeddings.query,
+    "op3_substring_dedup": substrings.query,
     "op4_token_counts": tokens.query,
+    "op5_pii": pii.query,
     "op6_license_scan": licenses.query,
-    "op9_language_id": langid.query,
     "op7_benchmark_decontamination": decontaminate.query,
+    "op8_source_mixing": mixing.query,
+    "op9_language_id": langid.query,
+    "op10_warc_zstd": warc.query,
 }
 SQL = {
     "op1_ngram_jaccard_join": jaccard.SQL,
+    "op2_embedding_near_dedup": embeddings.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,
+    "op8_source_mixing": mixing.SQL,
+    "op10_warc_zstd": warc.SQL,
 }
 
 
