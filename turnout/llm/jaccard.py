@@ -298,10 +298,14 @@ def query(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (its smallest doc_id); of
     repeated rows of that doc_id, one.  Rows without a doc_id stay."""
-    out = join(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_d")).distinct()
+    found = stored(join(docs).where("doc_id IS NOT NULL").select("doc_id", "class_id"), "found")
+    out = stored(found.where("doc_id <> class_id").select(F.col("doc_id").alias("_d")).distinct(), "copies")
+    again = stored(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_d")), "again")
     kept = docs.join(out, F.col("doc_id") == F.col("_d"), "left_anti")
-    named = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id IS NULL")).select(*docs.columns)
+    if again.isEmpty():
+        return kept
+    twice = F.col("doc_id") == F.col("_d")
+    return kept.join(again, twice, "left_anti").unionByName(kept.join(again, twice, "left_semi").dropDuplicates(["doc_id"]))
 
 
 SQL = r"""

@@ -96,13 +96,17 @@ def mix(documents: DataFrame, keep: list[str]) -> DataFrame:
     size, source_size, target and taken."""
     prepare(documents.sparkSession)
     digest = F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    docs = documents.select(F.struct(*[c for c in documents.columns if c in keep]).alias("_row"), F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), digest.alias("_digest"),
-                            F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("_size"))
-    totals = stored(targets(docs.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("n_docs"))), "totals")
+    facts = [F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), digest.alias("_digest"),
+             F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("_size")]
+    narrow = stored(documents.select(*facts), "sizes")
+    whole = documents.select(F.struct(*[c for c in documents.columns if c in keep]).alias("_row"), *facts)
+    totals = stored(targets(narrow.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("n_docs"))), "totals")
     shards = totals.select(F.col("place").cast("int").alias("place"), F.col("source").alias("_s"), "source_size", "target", F.ceil(F.col("n_docs") / SHARD).cast("long").alias("_n_shards"))
-    placed = (docs.join(shards, F.col("_source").eqNullSafe(F.col("_s")))
-              .withColumn("_shard", F.pmod(F.conv(F.substring("_digest", 1, 8), 16, 10).cast("long"), "_n_shards")))
-    parts = placed.groupBy("place", "_shard").agg(F.sum("_size").alias("shard_size")).withColumn("blocks", F.ceil(F.col("shard_size") / BLOCK).cast("long"))
+
+    def place(rows: DataFrame) -> DataFrame:
+        return (rows.join(shards, F.col("_source").eqNullSafe(F.col("_s")))
+                .withColumn("_shard", F.pmod(F.conv(F.substring("_digest", 1, 8), 16, 10).cast("long"), "_n_shards")))
+    parts = place(narrow).groupBy("place", "_shard").agg(F.sum("_size").alias("shard_size")).withColumn("blocks", F.ceil(F.col("shard_size") / BLOCK).cast("long"))
     parts = stored(parts, "shards").withColumn("most", MOST * F.col("blocks"))
     sources = (totals.select(F.col("place").cast("int").alias("place"), "target").join(parts.groupBy("place").agg(F.sum("most").alias("most")), "place")
                .withColumn("all", F.lit(1)).withColumn("seats", F.round(F.sum("target").over(Window.partitionBy()) / BLOCK).cast("long")))
@@ -119,7 +123,7 @@ def mix(documents: DataFrame, keep: list[str]) -> DataFrame:
         """Words taken before word x of the stream."""
         block = f"{x} div {BLOCK}"
         return f"({BLOCK} * {chosen(block)} + ({chosen(block + ' + 1')} - {chosen(block)}) * ({x} - {BLOCK} * ({block})))"
-    out = (placed.join(quotas, ["place", "_shard"]).withColumn("_to", F.sum("_size").over(stream)).withColumn("_from", F.col("_to") - F.col("_size"))
+    out = (place(whole).join(quotas, ["place", "_shard"]).withColumn("_to", F.sum("_size").over(stream)).withColumn("_from", F.col("_to") - F.col("_size"))
            .withColumn("_n", F.greatest("blocks", F.lit(1))).withColumn("_start", F.pmod(start, "_n"))
            .withColumn("taken", F.expr(f"{words('_to')} - {words('_from')}")))
     return out.select("_row.*", F.col("_size").alias("size"), "source_size", "target", "taken")

@@ -9,10 +9,13 @@ WINDOW bytes after its start to RADIUS before its end, both have the same
 boundaries and so equal chunks.  Chunks are RADIUS bytes long at least (but for
 the last) and 2 * RADIUS + 1 on average.
 
+A stretch of one short period (shorter than RADIUS) has equal hashes and so no boundary.
+
 Chunks are deduplicated by a 128-bit digest: the first place (smallest doc_id, then
-start) keeps its chunk, all others are repeats.  Neighbouring repeats of a document
-are one span; spans shorter than LEAST_BYTES are dropped as chance (fixed phrases,
-stop words), the rest is returned with the document that keeps the text.
+start) keeps its chunk, all others are repeats; those inside the keeping document
+count only if asked for.  Neighbouring repeats of a document are one span; spans
+shorter than LEAST_BYTES are chance (fixed phrases, stop words) and not
+reported, the rest is returned with the document that keeps the text.
 
 Null and empty texts have no chunks.  Rows with a null doc_id take no part.
 Places are told apart by (doc_id, text, start), so rows that repeat one doc_id and
@@ -99,17 +102,19 @@ def _chunks(batches):
                 names=["doc_id", "text_id", "start", "length", "d1", "d2"])
 
 
-def repeats(documents: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+def repeats(documents: DataFrame, least_bytes: int = LEAST_BYTES, within: bool = False) -> DataFrame:
     """One row per repeated span: doc_id, text_id, start and end (bytes of the
-    UTF-8 text), n_chunks, first_doc_id (the document that keeps the span's first chunk) and n_places
-    (the fewest places that one of its chunks has)."""
+    UTF-8 text), n_chunks, first_doc_id (the document that keeps the span's first
+    chunk) and n_places (the fewest places that one of its chunks has)."""
     prepare(documents.sparkSession)
     docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
     chunks = stored(docs.mapInArrow(_chunks, "doc_id long, text_id long, start int, length int, d1 long, d2 long"), "chunks")
     place = F.struct("doc_id", "start", "text_id")
     several = (chunks.groupBy("d1", "d2").agg(F.count("*").alias("n_places"), F.min(place).alias("kept")).where("n_places > 1"))
     # dealt once by document, for all steps that follow
-    found = (chunks.join(several, ["d1", "d2"]).where(place != F.col("kept")).repartition("doc_id", "text_id")
+    found = (chunks.join(several, ["d1", "d2"])
+             .where((place != F.col("kept")) if within else (F.col("doc_id") != F.col("kept.doc_id")))
+             .repartition("doc_id", "text_id")
              .groupBy("doc_id", "text_id", "start").agg(F.first("length").alias("length"), F.first("n_places").alias("n_places"), F.first("kept.doc_id").alias("first_doc_id")))
     order = Window.partitionBy("doc_id", "text_id").orderBy("start")
     new = F.coalesce((F.lag(F.col("start") + F.col("length")).over(order) != F.col("start")).cast("int"), F.lit(1))
