@@ -152,7 +152,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window, unchanged."""
     hit = stored(scan(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select(F.col("doc_id").alias("_d"), F.col("text_id").alias("_t")).distinct(), "hit")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_d")) & F.xxhash64("text").eqNullSafe(F.col("_t")), "left_anti").select(*docs.columns)
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_d"]) & F.xxhash64(docs["text"]).eqNullSafe(hit["_t"]), "left_anti")
 
 
 SQL = r"""

@@ -301,10 +301,10 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = stored(join(docs).where("doc_id IS NOT NULL").select("doc_id", "class_id"), "found")
     out = stored(found.where("doc_id <> class_id").select(F.col("doc_id").alias("_d")).distinct(), "copies")
     again = stored(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_d")), "again")
-    kept = docs.join(out, F.col("doc_id") == F.col("_d"), "left_anti")
+    kept = docs.join(out, docs["doc_id"] == out["_d"], "left_anti")
     if again.isEmpty():
         return kept
-    twice = F.col("doc_id") == F.col("_d")
+    twice = kept["doc_id"] == again["_d"]
     return kept.join(again, twice, "left_anti").unionByName(kept.join(again, twice, "left_semi").dropDuplicates(["doc_id"]))
 
 

@@ -130,13 +130,14 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     without repeats unchanged)."""
     spans = (repeats(documents).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
              .withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}))
-    joined = documents.join(spans, (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
-    raw = F.col("text").cast("binary")
+    text, found = documents["text"], spans["_spans"]
+    joined = documents.join(spans, (documents["doc_id"] == spans["_d"]) & (F.xxhash64(text) == spans["_t"]), "left")
     # the bytes before each span, and those after the last
-    ends = F.concat(F.array(F.lit(0)), F.col("_spans.end"))
-    starts = F.concat(F.col("_spans.start"), F.array(F.octet_length("text")))
-    kept = F.concat_ws("", F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda x: F.substring(raw, x["a"] + 1, x["b"] - x["a"]).cast("string")))
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept)).select(*documents.columns)
+    ends = F.concat(F.array(F.lit(0)), found["end"])
+    starts = F.concat(found["start"], F.array(F.octet_length(text)))
+    kept = F.concat_ws("", F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda x: F.substring(text.cast("binary"), x["a"] + 1, x["b"] - x["a"]).cast("string")))
+    cut = F.when(found.isNull(), text).otherwise(kept).alias("text")
+    return joined.select(*[cut if c == "text" else documents[c] for c in documents.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
