@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: Texts are worked on in blocks of whole documents of about this many bytes.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: Rows go to Python in batches of about this many bytes, so that a task's memory
+#: does not depend on how long the texts are (but for the longest one).
+BATCH_BYTES = 8 << 20
 
 _rng = np.random.default_rng(20240229)
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -37,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Shared folder and package on the workers; harmless when repeated."""
+    """Shared folder, package on the workers, small batches; harmless when repeated."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 
@@ -92,11 +96,11 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(data: np.ndarray, offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of blocks of whole documents."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = int(np.searchsorted(offsets, offsets[lo] + BLOCK_BYTES, "right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1
         hi = min(n, max(hi, lo + 1))
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from .common import blocks, mix, prepare, table, text_bytes
 
 ORDER, SAMPLE, MARGIN, SHORT, SHARP = 4, 400, 1.0, 8.0, 40
+BLOCK = 1 << 18  # bytes scored at a time: every symbol takes a few rows of doubles
 START = 1  # a control character; texts have a space in its place
 _cache: dict = {}
 
@@ -271,7 +272,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for b in batches:
             data, offsets = text_bytes(b.column("text"))
-            for lo, hi, _, _ in blocks(data, offsets):
+            for lo, hi, _, _ in blocks(data, offsets, BLOCK):
                 name, score, entropy, taken = m.predict(b.column("text").slice(lo, hi - lo).to_pylist())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("text_id").slice(lo, hi - lo), pa.array(name, pa.string()),
                                                   pa.array(score, pa.float64()), pa.array(entropy, pa.float64()), pa.array(taken, pa.bool_())],
@@ -299,7 +300,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         m = shared.value
         for b in batches:
             data, offsets = text_bytes(b.column("text"))
-            for lo, hi, _, _ in blocks(data, offsets):
+            for lo, hi, _, _ in blocks(data, offsets, BLOCK):
                 part = b.slice(lo, hi - lo)
                 yield part.filter(pa.array(m.predict(part.column("text").to_pylist())[3], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

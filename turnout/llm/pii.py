@@ -331,7 +331,7 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
 
 
-def _parts(texts: list[str | None], limit: int = 1 << 21):
+def _parts(texts: list[str | None], limit: int = 1 << 19):
     """Slices of about ``limit`` characters."""
     lo, n = 0, 0
     for i, t in enumerate(texts):
