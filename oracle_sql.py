@@ -1,20 +1,31 @@
-"""Independent DuckDB formulations of every registered query.
+"""Independent DuckDB formulations of every registered query of the club models.
 
 The driver registers the parquet tables as views (events, orders, pages, ...)
-and runs these strings next to the Spark queries.  The SQL follows the
-original models' own shape (calendar grid + correlated subquery for the
-retention series, ROW_NUMBER/QUALIFY-style dedup, CASE labels), so it checks
-the Spark plans rather than repeating them.  Instants are compared as epoch
-seconds; zone arithmetic uses DuckDB's ICU time zones.
+and runs these strings next to the Spark queries.  They are written from the
+rules (amount tables, eligibility counts, gaps between activity days), share no
+code, list or constant with the engine, and use other algorithms where there is
+a choice: the retention series finds each day's last activity with an as-of
+join, amounts come from range joins with small tables, head counts from one
+count per kind.  Instants are compared as epoch seconds; zone arithmetic uses
+DuckDB's ICU time zones.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from turnout.operators.quality import LOCAL_CHECKS, WAREHOUSE_CHECKS
-from turnout.sources.adapters import DURATION_CYCLE, EVENT_TYPE_CYCLE, season_ids
-from turnout.functions.text import SWEDISH_MONTHS
+# The adapters' cycles, lookup labels, seasons and month names.
+EVENT_TYPE_CYCLE = [1, 2, 3, 4, 5, 6, 7, 9, 10]
+DURATION_CYCLE = [60, 45, 30, 60]
+ACTIVITY_TYPES = {1: "Training", 2: "Meeting", 4: "Other", 5: "Competition", 6: "Cup", 7: "Match", 9: "Work Shift", 10: "Camp"}
+RESULT_TYPES = {1: "Loss", 2: "Draw", 3: "Win"}
+MEMBER_TYPES = {1: "Player", 2: "Leader", 4: "Parent"}
+SEASONS = [(263345, 2022), (351193, 2025), (323509, 2024), (342818, 2025), (351194, 2025), (291851, 2023), (323511, 2024), (315585, 2024), (376226, 2026), (384395, 2026), (384400, 2026), (392979, 2026)]  # (season id, year)
+SWEDISH_MONTHS = ["januari", "februari", "mars", "april", "maj", "juni", "juli", "augusti", "september", "oktober", "november", "december"]
+# State amounts as (from age, to age, from ordinal of the week, to ordinal, amount);
+# municipal amounts as (from age, to age, amount).
+STATE_AMOUNTS = [(7, 25, 1, 2, 7.5), (7, 25, 3, 3, 5.0), (10, 25, 4, 5, 2.5)]
+MUNICIPAL_AMOUNTS = [(7, 12, 8.5), (13, 20, 11.0)]
 
 ZONE = "Europe/Stockholm"
 EV_AS_OF = dt.date(2024, 2, 1)
@@ -42,8 +53,17 @@ def _instant(date_txt: str, time_txt: str) -> str:
     return f"CAST({date_txt} || ' ' || {time_txt} || ':00 {ZONE}' AS TIMESTAMPTZ)"
 
 
-def _day(ts: str) -> str:
-    return f"CAST(timezone('{ZONE}', {ts}) AS DATE)"
+def _day(ts: str, zone: str = ZONE) -> str:
+    return f"CAST(timezone('{zone}', {ts}) AS DATE)"
+
+
+def _labels(column: str, names: dict[int, str]) -> str:
+    """A label looked up in a map literal."""
+    return f"MAP {{{', '.join(f'{k}: {chr(39)}{v}{chr(39)}' for k, v in names.items())}}}[{column}]"
+
+
+def _values(rows: list[tuple]) -> str:
+    return ", ".join(f"({', '.join(map(str, r))})" for r in rows)
 
 
 def _ep(ts: str) -> str:
@@ -63,16 +83,16 @@ def ev_ctes(variant: str, bucket_hours: int = 1) -> str:
     type_col = "event_type_id" if local else "activity_type_id"
     res_col = "result_id" if local else "result_type_id"
     extra_stg = "" if local else f""",
-    CAST(({_list(season_ids() + [None])})[CAST(bucket % 13 AS INTEGER) + 1] AS BIGINT) AS season_id,
+    CAST(({_list([i for i, _ in SEASONS] + [None])})[CAST(bucket % 13 AS INTEGER) + 1] AS BIGINT) AS season_id,
     'Activity ' || CAST(schedule_id AS VARCHAR) AS schedule_text,
     schedule_info,
     CAST(NULLIF(regexp_extract(schedule_info, '\\[matcher=([^\\]]+)\\]', 1), '') AS BIGINT) AS cup_nr_of_games"""
     ctes = f"""
 ev_att AS (
-  SELECT DISTINCT epoch_us(ts) // {span * 1_000_000} AS bucket, user_id // 150 AS team, user_id
+  SELECT DISTINCT epoch_us(ts) // {span * 1_000_000} AS bucket, user_id // 50 AS team, user_id
   FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL
 ),
-ev_sched AS (SELECT bucket, team, user_id, bucket * 1000 + team AS schedule_id FROM ev_att),
+ev_sched AS (SELECT bucket, team, user_id, bucket * 4294967296 + team AS schedule_id FROM ev_att),
 ev_person AS (
   SELECT schedule_id, bucket, team, user_id,
     CAST(CASE WHEN user_id % 10 = 0 THEN 2 WHEN user_id % 10 = 1 THEN 4
@@ -130,14 +150,13 @@ prof AS (
     FROM stg_presence) WHERE rn = 1
 ),"""
     if local:
-        member = """
+        member = f"""
 member AS (
   SELECT user_id AS member_id,
     COALESCE(NULLIF(first_name, ''), '<DELETED>') AS first_name,
     COALESCE(NULLIF(last_name, ''), '<DELETED>') AS last_name,
     team_name, inactivated_at, date_of_birth, is_leader, is_player, member_type_id,
-    CASE WHEN member_type_id = 4 THEN 'Parent' WHEN member_type_id = 2 THEN 'Leader'
-         WHEN member_type_id = 1 THEN 'Player' END AS member_type_label
+    {_labels('member_type_id', MEMBER_TYPES)} AS member_type_label
   FROM prof
 ),
 attended AS (
@@ -148,13 +167,10 @@ attended AS (
         activity = f"""
 act0 AS (
   SELECT schedule_id AS activity_id, event_type_id,
-    CASE WHEN event_type_id = 1 THEN 'Training' WHEN event_type_id = 2 THEN 'Meeting'
-         WHEN event_type_id = 4 THEN 'Other' WHEN event_type_id = 5 THEN 'Competition'
-         WHEN event_type_id = 6 THEN 'Cup' WHEN event_type_id = 7 THEN 'Match'
-         WHEN event_type_id = 9 THEN 'Work Shift' WHEN event_type_id = 10 THEN 'Camp' END AS event_type_label,
+    {_labels('event_type_id', ACTIVITY_TYPES)} AS event_type_label,
     {_instant('schedule_date', 'start_time')} AS start_at,
     place, is_home_facility, opponent_club_id, opponent, result_id,
-    CASE WHEN result_id = 1 THEN 'Loss' WHEN result_id = 2 THEN 'Draw' WHEN result_id = 3 THEN 'Win' END AS result_label,
+    {_labels('result_id', RESULT_TYPES)} AS result_label,
     goals_for, goals_against,
     CASE WHEN end_time = '00:00'
          THEN CAST(CAST(CAST(schedule_date AS DATE) + 1 AS VARCHAR) || ' 00:00:00 {ZONE}' AS TIMESTAMPTZ)
@@ -170,7 +186,7 @@ member AS (
   SELECT user_id AS member_id, team_name, inactivated_at, date_of_birth,
     COALESCE(year(date_of_birth) = 2014, FALSE) AS is_f2014,
     member_type_id,
-    CASE member_type_id WHEN 4 THEN 'Parent' WHEN 2 THEN 'Leader' WHEN 1 THEN 'Player' END AS member_type,
+    {_labels('member_type_id', MEMBER_TYPES)} AS member_type,
     COALESCE(NULLIF(first_name, ''), 'FN-' || {_tag('user_id')}) AS first_name,
     COALESCE(NULLIF(last_name, ''), 'EN-' || {_tag('user_id')}) AS last_name,
     COALESCE(NULLIF(first_name, ''), 'FN-' || {_tag('user_id')}) || ' ' ||
@@ -182,27 +198,25 @@ attended AS (
     schedule_id AS activity_id, user_id AS member_id
   FROM stg_presence
 ),
+kinds AS (
+  SELECT activity_id, member_type, COUNT(*) AS n FROM attended LEFT JOIN member USING (member_id) GROUP BY ALL
+),
 headcounts AS (
-  SELECT sp.schedule_id AS activity_id,
-    CAST(SUM(CASE WHEN m.member_type = 'Player' THEN 1 ELSE 0 END) AS BIGINT) AS players_attended,
-    CAST(SUM(CASE WHEN m.member_type = 'Leader' THEN 1 ELSE 0 END) AS BIGINT) AS leader_attended,
-    CAST(SUM(CASE WHEN m.member_type = 'Parent' THEN 1 ELSE 0 END) AS BIGINT) AS parents_attended
-  FROM stg_presence sp LEFT JOIN member m ON m.member_id = sp.user_id
-  GROUP BY sp.schedule_id
+  SELECT activity_id, COALESCE(p.n, 0) AS players_attended, COALESCE(l.n, 0) AS leader_attended, COALESCE(r.n, 0) AS parents_attended
+  FROM (SELECT DISTINCT activity_id FROM attended)
+    LEFT JOIN (FROM kinds WHERE member_type = 'Player') p USING (activity_id)
+    LEFT JOIN (FROM kinds WHERE member_type = 'Leader') l USING (activity_id)
+    LEFT JOIN (FROM kinds WHERE member_type = 'Parent') r USING (activity_id)
 ),"""
     activity = f"""
 act0 AS (
   SELECT schedule_id AS activity_id, activity_type_id,
-    CASE activity_type_id WHEN 1 THEN 'Training' WHEN 2 THEN 'Meeting' WHEN 4 THEN 'Other'
-      WHEN 5 THEN 'Competition' WHEN 6 THEN 'Cup' WHEN 7 THEN 'Match' WHEN 9 THEN 'Work Shift'
-      WHEN 10 THEN 'Camp' END AS activity,
+    {_labels('activity_type_id', ACTIVITY_TYPES)} AS activity,
     {_instant('schedule_date', 'start_time')} AS start_at,
     place, is_home_facility, opponent_club_id, opponent, result_type_id,
-    CASE result_type_id WHEN 1 THEN 'Loss' WHEN 2 THEN 'Draw' WHEN 3 THEN 'Win' END AS result,
+    {_labels('result_type_id', RESULT_TYPES)} AS result,
     goals_for, goals_against, season_id, cup_nr_of_games,
-    CASE WHEN end_time = '00:00'
-         THEN CAST(CAST(CAST(schedule_date AS DATE) + 1 AS VARCHAR) || ' 00:00:00 {ZONE}' AS TIMESTAMPTZ)
-         ELSE {_instant('schedule_date', 'end_time')} END AS end_at
+    {_instant('schedule_date', 'end_time')} + CASE end_time WHEN '00:00' THEN INTERVAL 24 HOURS ELSE INTERVAL 0 HOURS END AS end_at
   FROM stg_activity
 ),
 act1 AS (
@@ -243,99 +257,113 @@ attended AS (SELECT d AS activity_id, o_custkey AS member_id FROM or_days)"""
 
 # ------------------------------------------------------------------ model-level queries
 
+def _rules(variant: str) -> tuple[str, str, str]:
+    """(member type column, day zone, age at an activity of day ``day``)."""
+    if variant == "local":
+        return "member_type_label", ZONE, "year(day) - year(date_of_birth)"
+    return "member_type", "UTC", f"{EV_AS_OF.year} - year(date_of_birth)"
+
+
 def eligible_sql(variant: str) -> str:
-    mt = "member_type_label" if variant == "local" else "member_type"
-    age = (f"year({_day('act.start_at')}) - year(m.date_of_birth)" if variant == "local"
-           else f"{EV_AS_OF.year} - year(m.date_of_birth)")
+    """Activities with at least three players of 7 to 25 and one leader: one
+    count per kind, joined."""
+    kind, zone, age = _rules(variant)
     return f"""
+who AS (
+  SELECT activity_id, member_id, {kind} AS kind, start_at, end_at, date_of_birth, {_day('start_at', zone)} AS day
+  FROM attended LEFT JOIN activity USING (activity_id) LEFT JOIN member USING (member_id)
+),
+aged AS (SELECT *, CAST({age} AS BIGINT) AS age FROM who),
+n_players AS (SELECT activity_id, COUNT(*) AS players_attended FROM aged WHERE kind = 'Player' AND age >= 7 AND age <= 25 GROUP BY activity_id),
+n_leaders AS (SELECT activity_id, COUNT(*) AS leaders_attended FROM aged WHERE kind = 'Leader' GROUP BY activity_id),
 eligible AS (
-  SELECT a.activity_id,
-    CAST(SUM(CASE WHEN m.{mt} = 'Player' AND ({age}) BETWEEN 7 AND 25 THEN 1 ELSE 0 END) AS BIGINT) AS players_attended,
-    CAST(SUM(CASE WHEN m.{mt} = 'Leader' THEN 1 ELSE 0 END) AS BIGINT) AS leaders_attended
-  FROM attended a LEFT JOIN member m USING (member_id) LEFT JOIN activity act USING (activity_id)
-  GROUP BY a.activity_id
-  HAVING SUM(CASE WHEN m.{mt} = 'Player' AND ({age}) BETWEEN 7 AND 25 THEN 1 ELSE 0 END) >= 3
-     AND SUM(CASE WHEN m.{mt} = 'Leader' THEN 1 ELSE 0 END) >= 1
+  SELECT activity_id, players_attended, leaders_attended FROM n_players JOIN n_leaders USING (activity_id) WHERE players_attended > 2
 )"""
 
 
 def ordinals_sql(variant: str) -> str:
-    local = variant == "local"
-    mt = "member_type_label" if local else "member_type"
-    week = "day - CAST(isodow(day) - 1 AS INTEGER)" if local else "day - CAST(isodow(day) % 7 AS INTEGER)"
-    age = "year(day) - year(date_of_birth)" if local else f"{EV_AS_OF.year} - year(date_of_birth)"
+    """Places in start order: one more than the earlier attendances of the same
+    member on the day, and in the week."""
+    week = "date_trunc('week', day)" if variant == "local" else "date_trunc('week', day + 1) - INTERVAL 1 DAY"
     return eligible_sql(variant) + f""",
-ord0 AS (
-  SELECT a.activity_id, a.member_id, m.{mt} AS member_type, act.start_at, act.end_at,
-    {_day('act.start_at')} AS day, m.date_of_birth, e.leaders_attended
-  FROM attended a JOIN eligible e USING (activity_id)
-    LEFT JOIN activity act USING (activity_id) LEFT JOIN member m USING (member_id)
-),
-ord1 AS (SELECT *, {week} AS week, CAST({age} AS BIGINT) AS member_age FROM ord0),
+held AS (SELECT aged.*, leaders_attended, CAST({week} AS DATE) AS week FROM aged JOIN eligible USING (activity_id)),
 ordinals AS (
-  SELECT activity_id, member_id, member_type, start_at, end_at, week, member_age,
-    ROW_NUMBER() OVER (PARTITION BY member_id, day ORDER BY start_at, activity_id) AS acc_daily_activities,
-    ROW_NUMBER() OVER (PARTITION BY member_id, week ORDER BY start_at, activity_id) AS acc_weekly_activities,
-    leaders_attended
-  FROM ord1
+  SELECT activity_id, member_id, kind AS member_type, start_at, end_at, week, age AS member_age,
+    COUNT(*) OVER (in_day ROWS UNBOUNDED PRECEDING) AS acc_daily_activities,
+    COUNT(*) OVER (in_week ROWS UNBOUNDED PRECEDING) AS acc_weekly_activities, leaders_attended
+  FROM held
+  WINDOW in_day AS (PARTITION BY member_id, day ORDER BY epoch_us(start_at), activity_id),
+    in_week AS (PARTITION BY member_id, week ORDER BY epoch_us(start_at), activity_id)
 )"""
 
 
 def lok_sql(variant: str) -> str:
+    """Amounts by a range join of the first attendance of each day."""
     return "WITH " + ev_ctes(variant) + "," + ordinals_sql(variant) + f""",
-summary AS (
-  SELECT activity_id, start_at, leaders_attended,
-    CASE WHEN acc_daily_activities > 1 THEN 0
-         WHEN member_age BETWEEN 7 AND 9 AND acc_weekly_activities IN (1, 2) THEN 7.5
-         WHEN member_age BETWEEN 7 AND 9 AND acc_weekly_activities = 3 THEN 5
-         WHEN member_age BETWEEN 10 AND 25 AND acc_weekly_activities IN (1, 2) THEN 7.5
-         WHEN member_age BETWEEN 10 AND 25 AND acc_weekly_activities = 3 THEN 5
-         WHEN member_age BETWEEN 10 AND 25 AND acc_weekly_activities IN (4, 5) THEN 2.5
-         ELSE 0 END AS amount
-  FROM ordinals
+rate(age_from, age_to, nth_from, nth_to, amount) AS (VALUES {_values(STATE_AMOUNTS)}),
+paid AS (
+  SELECT activity_id, SUM(amount) AS amount FROM ordinals JOIN rate
+    ON acc_daily_activities = 1 AND member_age BETWEEN age_from AND age_to AND acc_weekly_activities BETWEEN nth_from AND nth_to
+  GROUP BY activity_id
 )
-SELECT activity_id, {_ep('start_at')} AS start_at,
-  CAST(SUM(amount) AS DOUBLE) AS lok_amount_players,
-  CAST(MAX(CASE WHEN leaders_attended = 1 THEN 20 WHEN leaders_attended > 1 THEN 25 ELSE 0 END) AS BIGINT) AS lok_amount_leaders
-FROM summary GROUP BY activity_id, start_at"""
+SELECT activity_id, {_ep('start_at')} AS start_at, CAST(COALESCE(amount, 0) AS DOUBLE) AS lok_amount_players,
+  CAST(least(leaders_attended, 2) * 5 + 15 AS BIGINT) AS lok_amount_leaders
+FROM eligible JOIN activity USING (activity_id) LEFT JOIN paid USING (activity_id)"""
+
+
+def municipal_sql() -> str:
+    """The best amount a member earns that day in small and in large activities."""
+    return "WITH " + ev_ctes("warehouse") + f""",
+rate(age_from, age_to, amount) AS (VALUES {_values(MUNICIPAL_AMOUNTS)}),
+went AS (
+  SELECT {_day('start_at', 'UTC')} AS date_day, member_id, 1 + CAST(COALESCE(players_attended, 0) >= 16 AS BIGINT) AS multiplier,
+    duration_minutes, players_attended, date_of_birth
+  FROM attended LEFT JOIN activity USING (activity_id) LEFT JOIN member USING (member_id)
+),
+earned AS (
+  SELECT date_day, member_id, multiplier, MAX(amount) AS amount FROM went JOIN rate
+    ON year(date_day) - year(date_of_birth) BETWEEN age_from AND age_to
+  WHERE NOT (duration_minutes < 60) AND NOT (players_attended < 5)
+  GROUP BY ALL
+)
+SELECT k.date_day, k.member_id, CAST(COALESCE(e.amount, 0) AS DOUBLE) AS contribution_municipality, k.multiplier
+FROM (SELECT DISTINCT date_day, member_id, multiplier FROM went) k
+LEFT JOIN earned e ON k.date_day IS NOT DISTINCT FROM e.date_day AND k.member_id IS NOT DISTINCT FROM e.member_id AND k.multiplier = e.multiplier"""
 
 
 def player_status_ctes(as_of: dt.date, spine: dt.date, member_filter: str) -> str:
-    """The retention series in the original shape: calendar grid, range join to
-    the first activity, correlated MAX for the last activity, LAG."""
-    spine_end = as_of.replace(year=as_of.year + 1)
+    """The retention series: activity days with their predecessors, every day's
+    last activity day by an as-of join, statuses from the distances."""
     return f"""
 daily AS (
-  SELECT a.member_id, {_day('act.start_at')} AS date_day, COUNT(*) AS activities
-  FROM attended a LEFT JOIN activity act USING (activity_id) JOIN member m USING (member_id)
-  WHERE {member_filter}
-  GROUP BY ALL
+  SELECT member_id, {_day('start_at', 'UTC')} AS date_day, COUNT(*) AS activities
+  FROM attended LEFT JOIN activity USING (activity_id)
+  WHERE member_id IN (SELECT m.member_id FROM member m WHERE {member_filter}) GROUP BY ALL
 ),
-firsts AS (SELECT member_id, MIN(date_day) AS first_activity FROM daily GROUP BY member_id),
-cal AS (SELECT CAST(range AS DATE) AS date_day FROM range({_d(spine)}, {_d(spine_end)}, INTERVAL 1 DAY)),
-grid AS (
-  SELECT f.member_id, c.date_day FROM cal c
-  JOIN firsts f ON c.date_day >= f.first_activity AND c.date_day < {_d(as_of)}
+began AS (SELECT member_id, greatest(MIN(date_day), {_d(spine)}) AS first_row FROM daily GROUP BY member_id),
+visits AS (
+  SELECT member_id, date_day, activities, lag(date_day) OVER (PARTITION BY member_id ORDER BY date_day) AS previous
+  FROM daily WHERE date_day >= {_d(spine)}
 ),
-with_cnt AS (
-  SELECT g.member_id, g.date_day, d.activities FROM grid g LEFT JOIN daily d USING (member_id, date_day)
+days AS (
+  SELECT member_id, first_row, CAST(unnest(generate_series(first_row, {_d(as_of)} - 1, INTERVAL 1 DAY)) AS DATE) AS date_day
+  FROM began WHERE first_row < {_d(as_of)}
 ),
-with_last AS (
-  SELECT w.member_id, w.date_day, w.activities,
-    ROW_NUMBER() OVER (PARTITION BY w.member_id ORDER BY w.date_day) AS calendar_row,
-    (SELECT MAX(sq.date_day) FROM with_cnt sq
-      WHERE sq.member_id = w.member_id AND sq.date_day <= w.date_day AND sq.activities > 0) AS last_activity_at
-  FROM with_cnt w
+seen AS (
+  SELECT days.member_id, days.date_day, days.first_row, visits.date_day AS visit, visits.previous, visits.activities AS n
+  FROM days ASOF LEFT JOIN visits ON days.member_id = visits.member_id AND days.date_day >= visits.date_day
 ),
 metrics AS (
-  SELECT *, CAST(date_diff('day', last_activity_at, date_day) AS BIGINT) AS days_since_last_activity FROM with_last
+  SELECT member_id, date_day, CASE WHEN date_day = visit THEN n END AS activities, visit AS last_activity_at,
+    date_day - first_row + 1 AS calendar_row, date_day - visit AS days_since_last_activity, previous
+  FROM seen
 ),
 status AS (
   SELECT member_id, date_day,
-    CASE WHEN calendar_row = 1 OR (LAG(days_since_last_activity) OVER (PARTITION BY member_id ORDER BY date_day) > 91
-                                   AND days_since_last_activity = 0) THEN 'New'
+    CASE WHEN calendar_row = 1 THEN 'New'
+         WHEN days_since_last_activity = 0 THEN if(date_day - previous > 92, 'New', NULL)
          WHEN days_since_last_activity = 91 THEN 'Churn' END AS status_event,
-    CASE WHEN days_since_last_activity <= 90 THEN 'Active' ELSE 'Churned' END AS status
+    if(COALESCE(days_since_last_activity, 91) < 91, 'Active', 'Churned') AS status
   FROM metrics
 )"""
 
@@ -350,7 +378,7 @@ def participation_ctes(as_of: dt.date) -> str:
         for w in (4, 12, 24))
     return f"""
 trainings AS (
-  SELECT activity_id, {_day('start_at')} AS activity_date FROM activity
+  SELECT activity_id, {_day('start_at', 'UTC')} AS activity_date FROM activity
   WHERE activity_type_id = 1 AND start_at < {now}
 ),
 available AS (SELECT {counts('available')} FROM trainings),
@@ -388,43 +416,94 @@ def export_sql(variant: str) -> str:
 
 # ------------------------------------------------------------------ data-quality queries
 
-def _check_sql(c) -> str:
-    label = f"'{c.model}' AS model, '{c.column}' AS \"column\", '{c.test}' AS test"
-    t = c.model
-    if c.test == "not_null":
-        where = f"{c.column} IS NULL" + (f" AND ({c.where})" if c.where else "")
-        return f"SELECT {label}, CAST(COUNT(*) AS BIGINT) AS failures FROM {t} WHERE {where}"
-    if c.test == "unique":
-        return (f"SELECT {label}, CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT {c.column} FROM {t} "
-                f"WHERE {c.column} IS NOT NULL GROUP BY {c.column} HAVING COUNT(*) > 1)")
-    if c.test == "accepted_values":
-        vals = ", ".join(f"'{v}'" for v in c.values)
-        return (f"SELECT {label}, CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT {c.column} AS v FROM {t} "
-                f"GROUP BY {c.column}) WHERE v NOT IN ({vals})")
-    if c.test == "unique_combination":
-        cols = ", ".join(c.columns)
-        return (f"SELECT {label}, CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT {cols} FROM {t} "
-                f"GROUP BY {cols} HAVING COUNT(*) > 1)")
-    if c.test == "relationships":
-        return (f"SELECT {label}, CAST(COUNT(*) AS BIGINT) AS failures FROM {t} ch "
-                f"WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
-                f"(SELECT 1 FROM {c.to} p WHERE p.{c.field} = ch.{c.column})")
-    raise ValueError(c.test)
+# The declared checks, per model as "test column, column, ...".
+CHECKS = {
+    "local": {
+        "activity": ["unique activity_id", "not_null activity_id, event_type_label, start_at, end_at, duration_minutes", "not_null_where result_label if result_id"],
+        "member": ["unique member_id", "not_null member_id, first_name, last_name, is_player, is_leader, member_type_label"],
+        "attended_activity": ["unique attendance_id", "not_null attendance_id, member_id, activity_id"],
+    },
+    "warehouse": {
+        "player_status": ["combination date_day member_id", "not_null date_day, member_id, status", "accepted status: Active Churned", "accepted status_event: New Churn"],
+        "activity": ["unique activity_id", "not_null activity_id, activity, start_at, end_at, duration_minutes, duration_hours", "not_null_where result if result_type_id", "season season_id"],
+        "member": ["unique member_id, full_name", "not_null member_id, first_name, last_name, member_type, full_name"],
+        "attended_activity": ["unique attendance_id", "not_null attendance_id, member_id, activity_id"],
+        "training_participation": ["unique member_id", "not_null member_id, full_name, member_type"],
+    },
+}
+
+
+def _check_sql(model: str, rule: str) -> list[str]:
+    """One row (model, column, test, failures) per column of a rule."""
+    test, _, rest = rule.partition(" ")
+
+    def row(column: str, name: str, failures: str) -> str:
+        return f"SELECT '{model}' AS model, '{column}' AS \"column\", '{name}' AS test, CAST(({failures}) AS BIGINT) AS failures"
+    if test == "not_null":
+        return [row(c, "not_null", f"SELECT COUNT(*) - COUNT({c}) FROM {model}") for c in rest.split(", ")]
+    if test == "not_null_where":
+        column, given = rest.split(" if ")
+        return [row(column, "not_null", f"SELECT COUNT({given}) - COUNT(CASE WHEN {given} IS NOT NULL THEN {column} END) FROM {model}")]
+    if test == "unique":
+        return [row(c, "unique", f"SELECT COUNT(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)") for c in rest.split(", ")]
+    if test == "combination":
+        keys = rest.replace(" ", ",")
+        return [row(keys, "unique_combination", f"SELECT COUNT(*) FROM (SELECT {keys} FROM {model} GROUP BY {keys} HAVING COUNT(*) > 1)")]
+    if test == "accepted":
+        column, values = rest.split(": ")
+        return [row(column, "accepted_values", f"SELECT COUNT(DISTINCT {column}) FILTER (NOT list_contains([{', '.join(repr(v) for v in values.split())}], {column})) FROM {model}")]
+    return [row(rest, "relationships", f"SELECT COUNT(*) FROM {model} ANTI JOIN season USING ({rest}) WHERE {rest} IS NOT NULL")]
 
 
 SEASON_VALUES = "season AS (SELECT unnest({ids}) AS season_id)"
 
 
-def dq_suite_sql(variant: str) -> str:
+def dq_models(variant: str) -> str:
+    """The checked models as CTEs."""
     if variant == "local":
-        return f"WITH {ev_ctes('local')}, attended_activity AS (SELECT * FROM attended) " + \
-            " UNION ALL ".join(_check_sql(c) for c in LOCAL_CHECKS)
-    body = (f"WITH {ev_ctes('warehouse')}, attended_activity AS (SELECT * FROM attended), "
-            f"{SEASON_VALUES.format(ids=_list(season_ids()))}, "
-            + player_status_ctes(EV_AS_OF, EV_SPINE, "m.member_type = 'Player' AND m.is_f2014").strip() + ", "
-            "player_status AS (SELECT * FROM status), "
-            + participation_ctes(EV_AS_OF).strip() + ", training_participation AS (SELECT * FROM participation) ")
-    return body + " UNION ALL ".join(_check_sql(c) for c in WAREHOUSE_CHECKS)
+        return f"{ev_ctes('local')}, attended_activity AS (SELECT * FROM attended)"
+    return (f"{ev_ctes('warehouse')}, attended_activity AS (SELECT * FROM attended), {SEASON_VALUES.format(ids=_list([i for i, _ in SEASONS]))}, "
+            + player_status_ctes(EV_AS_OF, EV_SPINE, "m.member_type = 'Player' AND m.is_f2014").strip() + ", player_status AS (SELECT * FROM status), "
+            + participation_ctes(EV_AS_OF).strip() + ", training_participation AS (SELECT * FROM participation)")
+
+
+def dq_suite_sql(variant: str) -> str:
+    checks = [q for model, rules in CHECKS[variant].items() for rule in rules for q in _check_sql(model, rule)]
+    return f"WITH {dq_models(variant)} " + " UNION ALL ".join(checks)
+
+
+# The faults that the fault queries plant: per model the key by which rows are hit, and per column
+# the value that every row with key % 7 = place gets; rows with key % 5 = 0 come twice.
+FAULTS = {
+    "activity": ("activity_id // 4294967296", ["event_type_label", "activity", "result_label", "result", "start_at", "end_at", "duration_minutes", "duration_hours"]),
+    "member": ("member_id", ["first_name", "last_name", "is_player", "is_leader", "member_type_label", "member_type", "full_name"]),
+    "attended_activity": ("member_id", ["attendance_id", "activity_id"]),
+    "player_status": ("member_id + (date_day - DATE '2020-01-01')", ["date_day", "status"]),
+    "training_participation": ("member_id", ["full_name", "member_type"]),
+}
+
+
+def dq_faults_sql(variant: str) -> str:
+    """The suite over models with planted faults."""
+    columns = {m: {c.strip() for rule in rules if rule.startswith("not_null") for c in rule.split(" ", 1)[1].split(" if ")[0].split(",")} for m, rules in CHECKS[variant].items()}
+    planted = []
+    for model in CHECKS[variant]:
+        key, names = FAULTS[model]
+        first = {"activity": "activity_id", "member": "member_id", "attended_activity": "member_id", "player_status": "member_id", "training_participation": "member_id"}[model]
+        hit = [n for n in names if n in columns[model]] + [first]
+        sets = [f"CASE WHEN ({key}) % 7 <> {i % 7} THEN {c} END AS {c}" for i, c in enumerate(hit)]
+        if model == "player_status":
+            sets = [x for x in sets if not x.endswith(" AS status")] + [f"CASE ({key}) % 7 WHEN 1 THEN NULL WHEN 3 THEN 'Lost' ELSE status END AS status",
+                                                                       f"CASE ({key}) % 7 WHEN 4 THEN 'Odd' ELSE status_event END AS status_event"]
+        if model == "activity" and variant == "warehouse":
+            sets.append(f"CASE WHEN ({key}) % 7 = 5 THEN -1 ELSE season_id END AS season_id")
+        if model == "activity":
+            given, shown = ("result_id", "result_label") if variant == "local" else ("result_type_id", "result")
+            sets = [x for x in sets if not x.endswith(f" AS {shown}")] + [f"CASE WHEN {given} <> 2 THEN {shown} END AS {shown}"]
+        planted.append(f"SELECT * EXCLUDE (k) REPLACE ({', '.join(sets)}) FROM {model}, (VALUES (1), (2)) twice(k) WHERE k = 1 OR ({key}) % 5 = 0")
+    checks = [q for model, rules in CHECKS[variant].items() for rule in rules for q in _check_sql(f"bad_{model}", rule)]
+    bad = ", ".join(f"bad_{m} AS ({q})" for m, q in zip(CHECKS[variant], planted))
+    return f"WITH {dq_models(variant)}, {bad} " + " UNION ALL ".join(c.replace("SELECT 'bad_", "SELECT '", 1) for c in checks)
 
 
 # ------------------------------------------------------------------ pages
@@ -514,6 +593,44 @@ SELECT page_id, CAST(len({scripts}) AS BIGINT) AS n_head_scripts,
 FROM pages"""
 
 
+# ------------------------------------------------------------------ captured pages
+
+def captured_sql(ev: str) -> dict[str, str]:
+    """What the captured pages must give, from the events alone: which
+    activities and days have readable pages, and what was put into them."""
+    bucket = "schedule_id // 4294967296"
+    days = f"""days AS (
+  SELECT team, bucket // 24 AS day, (team * 100000 + bucket // 24) * 4 + 3 AS page_id, (bucket // 24 + team) % 17 = 0 AS login, schedule_id, bucket, etype = 7 AS is_match
+  FROM ev_act
+)"""
+    root = f"'https://{DOMAIN}/team-0/"
+    path = "'/team-0/' || if(is_match, 'match/', 'kalender/aktivitet/') || schedule_id || '/'"
+    no_form = "0 AS login_form_count, 0 AS n_forms, NULL AS action, NULL AS method, NULL AS input_names"
+    return {
+        "captured_presence": f"WITH {ev} SELECT * FROM stg_presence WHERE {bucket} % 11 > 2",
+        "captured_activity": f"WITH {ev} SELECT * FROM stg_activity WHERE {bucket} % 13 > 0",
+        "page_ingest": f"WITH {ev} SELECT * FROM stg_activity WHERE {bucket} % 13 > 0",
+        "captured_links": f"""WITH {ev}, {days} SELECT page_id, COUNT(*) AS total_links, COUNT(*) FILTER (team = 0) AS kept,
+  COUNT(*) FILTER (team > 0) AS removed FROM days WHERE NOT login GROUP BY page_id""",
+        "captured_requests": f"""WITH {ev}, {days} SELECT page_id, COUNT(*) OVER (PARTITION BY page_id ORDER BY bucket) - 1 AS pos, {path} AS href,
+  CAST(schedule_id AS VARCHAR) AS activity_id, is_match, {root}controlpanel/presence/chooseparticipants/' || schedule_id AS presence_url,
+  {root}' || if(is_match, 'match/redigera/', 'kalender/redigera-aktivitet/') || schedule_id AS activity_url
+FROM days WHERE team = 0 AND NOT login""",
+        "captured_rejects": f"""WITH {ev}, {days}
+SELECT schedule_id * 4 + 1 AS page_id, CASE WHEN bucket % 11 = 1 THEN 'error status'
+  WHEN bucket % 11 = 0 AND bucket % 3 > 0 THEN 'initData not found' ELSE 'initData not readable' END AS reason FROM ev_act WHERE bucket % 11 < 3
+UNION ALL SELECT schedule_id * 4 + 2, 'data-ng-init missing' FROM ev_act WHERE bucket % 13 = 0
+UNION ALL SELECT DISTINCT page_id, 'not authenticated' FROM days WHERE login""",
+        "captured_evidence": f"""WITH {ev}, {days}
+SELECT schedule_id * 4 + 1 AS page_id, 'N\u00e4rvaro' AS title, NULL AS canonical, FALSE AS has_logout, {no_form} FROM ev_act
+UNION ALL SELECT schedule_id * 4 + 2, '', NULL, FALSE, 0, 0, NULL, NULL, NULL FROM ev_act
+UNION ALL SELECT DISTINCT page_id, if(login, 'Logga in', 'Kalender & mer'), if(login, NULL, '/kalender'), NOT login, if(login, 1, 0)::BIGINT, 1::BIGINT,
+  if(login, '/logga-in', '/sok'), if(login, 'post', NULL), if(login, 'UserName,UserPass', 'compass_id') FROM days""",
+        "captured_scripts": f"""WITH {ev} SELECT schedule_id * 4 + 1 AS page_id, CAST(if(bucket % 3 = 0, 2, 1) AS BIGINT) AS n_head_scripts,
+  CAST(CASE WHEN bucket % 3 > 0 THEN if(bucket % 11 = 0, NULL, 0) WHEN bucket % 11 IN (0, 2) THEN 0 ELSE 1 END AS BIGINT) AS script_index FROM ev_act""",
+    }
+
+
 # ------------------------------------------------------------------ registry
 
 def all_sql() -> dict[str, str]:
@@ -545,17 +662,7 @@ def all_sql() -> dict[str, str]:
         "activity_ordinals_warehouse": f"WITH {ev_w}, {ordinals_sql(W)} {_ev_cols(W, 'ordinals')}",
         "lok": lok_sql(L),
         "statligt_lok": lok_sql(W),
-        "kommunalt_lok": f"""WITH {ev_w},
-rows AS (
-  SELECT {_day('act.start_at')} AS date_day, a.activity_id, a.member_id,
-    year({_day('act.start_at')}) - year(m.date_of_birth) AS age, act.players_attended, act.duration_minutes
-  FROM attended a LEFT JOIN activity act USING (activity_id) LEFT JOIN member m USING (member_id)
-)
-SELECT date_day, member_id,
-  CAST(MAX(CASE WHEN duration_minutes < 60 THEN 0 WHEN players_attended < 5 THEN 0 WHEN age > 20 THEN 0
-                WHEN age > 12 THEN 11 WHEN age > 6 THEN 8.5 ELSE 0 END) AS DOUBLE) AS contribution_municipality,
-  CAST(CASE WHEN players_attended > 15 THEN 2 ELSE 1 END AS BIGINT) AS multiplier
-FROM rows GROUP BY ALL""",
+        "kommunalt_lok": municipal_sql(),
         "export_all": export_sql(W),
         "export_all_local": export_sql(L),
         "daily_activity_counts": f"WITH {or_w}, {player_status_ctes(OR_AS_OF, OR_SPINE, cohort)} SELECT * FROM daily",
@@ -567,6 +674,8 @@ FROM rows GROUP BY ALL""",
         "training_participation": f"WITH {or_w}, {participation_ctes(OR_AS_OF)} SELECT * FROM participation",
         "dq_suite_warehouse": dq_suite_sql(W),
         "dq_suite_local": dq_suite_sql(L),
+        "dq_faults_warehouse": dq_faults_sql(W),
+        "dq_faults_local": dq_faults_sql(L),
         "dq_not_null": f"WITH {ev_w} SELECT activity_id, activity_type_id FROM activity WHERE activity IS NULL",
         "dq_not_null_where": (f"WITH {ev_w} SELECT activity_id, result_type_id FROM activity "
                               f"WHERE result_type_id IS NOT NULL AND result IS NULL"),
@@ -578,7 +687,7 @@ FROM rows GROUP BY ALL""",
                                   f"FROM stg_presence GROUP BY team_name, member_type_id HAVING COUNT(*) > 1"),
         "dq_relationships": (f"WITH {ev_w} SELECT season_id AS from_field FROM activity "
                              f"WHERE season_id IS NOT NULL AND season_id NOT IN (SELECT sid FROM (VALUES "
-                             f"{', '.join(f'({i}, {y})' for i, y in _season_years())}) v(sid, yr) WHERE yr >= 2024)"),
+                             f"{_values(SEASONS)}) v(sid, yr) WHERE yr >= 2024)"),
         "month_urls": f"""WITH {ev_w},
 starts AS (
   SELECT 'team-' || CAST(team_id AS VARCHAR) AS team_slug, MIN(CAST(schedule_date AS DATE)) AS start_date
@@ -596,19 +705,19 @@ FROM m""",
         "load_append": f"WITH {ev_w} SELECT * FROM stg_presence",
         "load_stream": f"WITH {ev_w} SELECT * FROM stg_activity",
         "csv_export_roundtrip": export_sql(L),
+        "csv_export_warehouse": export_sql(W),
+        "presence_roundtrip": f"WITH {ev_w} SELECT * FROM stg_presence",
+        "load_new_field": (f"WITH {ev_w} SELECT schedule_id, l AS load_id, if(l = 'L2', schedule_id * 2, NULL) AS new_field "
+                           f"FROM stg_activity, unnest(['L1', 'L2']) AS t(l)"),
+        **captured_sql(ev_w),
         "page_links": page_links_sql(),
         "team_links": team_links_sql(),
         "page_digest": page_digest_sql(),
         "page_evidence": page_evidence_sql(),
         "page_auth": page_auth_sql(),
         "presence_scan": presence_scan_sql(),
-        "extract_rejects": ("SELECT page_id, url, 'not authenticated or error status' AS reason FROM pages "
+        "extract_rejects": ("SELECT page_id, url, 'not authenticated' AS reason FROM pages "
                             "WHERE NOT (COALESCE(contains(html, 'Logga ut'), FALSE) "
                             "AND NOT COALESCE(contains(lower(url), 'logga-in'), FALSE))"),
     }
     return {k: v.strip() for k, v in q.items()}
-
-
-def _season_years():
-    from turnout.sources.seeds import _rows
-    return [(r[0], r[1]) for r in _rows("seasons")]

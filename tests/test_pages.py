@@ -130,15 +130,59 @@ def test_digest_and_snippet(spark):
     assert got[1].h == hashlib.sha256("  a \n\t b c  ".encode()).hexdigest()[:12]
 
 
-def test_js_literal_subset():
-    import json
-    assert json.loads(pg.js_literal_to_json("{a: 'x\\'y', b: [1, 2,], c: {d: null, e: undefined}}")) == \
-        {"a": "x'y", "b": [1, 2], "c": {"d": None, "e": None}}
-    import pytest
-    with pytest.raises(ValueError):
-        pg.js_literal_to_json("{a: someVar}")
-    assert pg.find_init_data("var x = 1; initData = {k: 1}") == '{"k": 1}'
-    assert pg.find_init_data("var x = 1;") is None
+def test_literals_are_read_by_the_json_reader(spark):
+    def page(script):
+        return f"<html><head><script>{script}</script></head><body></body></html>"
+    scripts = ["var x = 1; window.initData = {scheduleId: 5, \u00e5lder: 1,}; more({a: 1})", "initData={'scheduleId': 6}", 'const initData = {"scheduleId": 7, teamPresenceGroups: undefined}',
+               "var initData = {scheduleId: 'x6'}", "var initData = {scheduleId: someVar}", "var x = 1;", "var initData = 5", "var myinitData = {scheduleId: 8}"]
+    p = spark.createDataFrame([(i, "u", page(s)) for i, s in enumerate(scripts)], "page_id long, url string, html string")
+    rec, rej = pg.extract_presence(p)
+    assert sorted((r.page_id, r.scheduleId) for r in rec.collect()) == [(0, 5), (1, 6), (2, 7)]
+    assert sorted((r.page_id, r.reason) for r in rej.collect()) == [(3, "initData not readable"), (4, "initData not readable"),
+                                                                    *[(i, "initData not found") for i in (5, 6, 7)]]
+
+
+def test_activity_attribute_quotes_and_faults(spark):
+    bodies = ["<body data-ng-init='init({\"scheduleId\": 1})'>", '<body class="a" data-ng-init="x.y({&quot;scheduleId&quot;: 2}); z({scheduleId: 3, \u00e5lder: 1})">',
+              "<body data-ng-init=''>", "<body>", '<body data-ng-init="init(5)">', "<body data-ng-init=\"init({scheduleId: 'x'})\">", "<body data-x-data-ng-init='init({scheduleId: 9})'>"]
+    p = spark.createDataFrame([(i, "u", f"<html>{b}x</body></html>") for i, b in enumerate(bodies)], "page_id long, url string, html string")
+    rec, rej = pg.extract_activity(p)
+    assert sorted((r.page_id, r.callee, r.scheduleId) for r in rec.collect()) == [(0, "init", 1), (1, "x.y", 2), (1, "z", 3)]
+    assert sorted((r.page_id, r.reason) for r in rej.collect()) == [(2, "data-ng-init missing"), (3, "data-ng-init missing"), (4, "data-ng-init not readable"),
+                                                                    (5, "data-ng-init not readable"), (6, "data-ng-init missing")]
+
+
+def test_links_of_difficult_cells(spark):
+    html = ("""<td><a class="invisible-link" href="/s/a/1/">1</a><br><a class='invisible-link' href="/s/o'k/5/">2</a></td>"""
+            """<td><span>x</span><a data-href="/bad/" class="invisible-link" href='/s/b/2/'>3</a><!-- <td><a class="invisible-link" href="/s/c/3/">no</a> -->"""
+            """<td title="a > b"><a title="x href='/no/' > y" class="invisible-link" href=/s/d/6/>4</a></td><a class="invisible-link" href="/s/out/7/">5</a>"""
+            """<td><a class="invisible-link big" href="/s/e/8/">6</a><a class="invisible-link">7</a><a class="invisible-link" href="/s/f/?a=1&amp;b=&aring;&#246;&#x1F600;">8</a></td>""")
+    p = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    assert [r.href for r in pg.extract_links(p).orderBy("pos").collect()] == ["/s/a/1/", "/s/o'k/5/", "/s/b/2/", "/s/d/6/", "/s/f/?a=1&b=\u00e5\u00f6\U0001F600"]
+
+
+def test_references_and_login_forms(spark):
+    from pyspark.sql import functions as F
+    from turnout.functions.html import decode_references
+    cases = ["N&auml;rvaro f&ouml;r lag", "&amp;lt; &lt;b&gt; &quot;&#39;&nbsp;", "&unknown; & &#0; &#1114112;", None, "plain", "&amp;amp;"]
+    got = [r[0] for r in spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").orderBy("i").select(decode_references(F.col("c"))).collect()]
+    assert got == ["N\u00e4rvaro f\u00f6r lag", "&lt; <b> \"'\u00a0", "&unknown; & &#0; &#1114112;", None, "plain", "&amp;"]
+    pages = [(1, "<form><input name='compass_id'></form>"), (2, "<form><input type=password></form><form><input name='username'></form>"),
+             (3, "<form><input NAME='UserName'></form><form><p><input name=\"myPass\"></form>"), (4, "<!-- <form><input type='password'></form> -->")]
+    p = spark.createDataFrame(pages, "page_id long, html string").withColumn("url", F.lit("u"))
+    assert {r.page_id: r.login_form_count for r in pg.page_evidence(p).collect()} == {1: 0, 2: 1, 3: 2, 4: 0}
+
+
+def test_guards_by_page_kind(spark):
+    """Only calendar pages must show the login; every page must have a good status."""
+    from turnout.plans.extract import extract
+    presence = "<html><head><script>var initData = {scheduleId: 1}</script></head><body></body></html>"
+    rows = [(1, f"https://{DOMAIN}/{SLUG}/controlpanel/presence/chooseparticipants/1", presence, 200),
+            (2, f"https://{DOMAIN}/{SLUG}/controlpanel/presence/chooseparticipants/2", presence, 500),
+            (3, f"https://{DOMAIN}/{SLUG}/kalender/2024/maj", "<td>", None), (4, f"https://{DOMAIN}/logga-in", "Logga ut", 200)]
+    ex = extract(spark.createDataFrame(rows, "page_id long, url string, html string, status int"), DOMAIN, SLUG)
+    assert [r.scheduleId for r in ex.raw_presence.collect()] == [1]
+    assert sorted((r.page_id, r.reason) for r in ex.rejects.collect()) == [(2, "error status"), (3, "not authenticated"), (4, "not authenticated")]
 
 
 def test_extract_job_end_to_end(spark):

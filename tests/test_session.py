@@ -48,3 +48,13 @@ def test_local_master_gets_a_temporary_folder():
 def test_cluster_without_folder_fails_clearly():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(_Spark("k8s://https://api"))
+
+
+def test_cleanup_removes_scratch_folders(spark):
+    import os
+    from turnout.session import cleanup, scratch_path
+    path = scratch_path(spark, "t-clean")
+    spark.range(3).write.parquet(path)
+    plain = path.removeprefix("file:")
+    assert os.path.isdir(plain) and cleanup(spark) >= 1 and not os.path.exists(plain)
+    assert cleanup(spark) == 0

@@ -121,3 +121,55 @@ def test_full_run_writes_models_checks_views_and_export(spark):
     loc = run(spark, raw_activity(spark, acts), raw_presence(spark, pres), Config.local(),
               scratch_path(spark, "t-run-local"))
     assert set(loc.models) >= {"lok", "export_all", "member"} and loc.checks.count() == 18
+
+
+def test_bad_lines_fail_or_are_set_aside(spark):
+    from turnout import schemas
+    from turnout.sources.raw import split_load
+    path = scratch_path(spark, "t-bad")
+    lines = ['{"scheduleId": 1, "newField": "n"}', "not json at all", '{"scheduleId": "x6"}', "", '{"scheduleId": 2}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        read_raw_activity(spark, path).collect()
+    rows, rejects = split_load(spark, path, schemas.RAW_ACTIVITY)
+    assert sorted((r.scheduleId, r.newField) for r in rows.collect()) == [(1, "n"), (2, None)]
+    assert sorted(r.line for r in rejects.collect()) == ["not json at all", '{"scheduleId": "x6"}']
+
+
+def test_new_fields_pass_the_landing_path(spark):
+    from turnout.streaming import ingest_loads
+    root = scratch_path(spark, "t-new")
+    old = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    write_ndjson(raw_activity(spark, [activity_row(1, "2024-01-10", load="L1", ts=old)]), f"{root}/landing/L1")
+    ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/table", f"{root}/ckpt")
+    write_ndjson(raw_activity(spark, [activity_row(2, "2024-01-10")]).withColumn("newField", F.lit("n")), f"{root}/landing/L2")
+    t = ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/table", f"{root}/ckpt")
+    assert sorted((r.scheduleId, r.newField) for r in t.collect()) == [(1, None), (2, "n")]
+
+
+def test_csv_doubles_quotes(spark):
+    import duckdb
+    path = scratch_path(spark, "t-quotes")
+    rows = [('"abc=="', 'say "hi"'), ("a,b", "back\\slash")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    export_csv(df, path)
+    plain = path.removeprefix("file:")
+    assert sorted(duckdb.sql(f"SELECT * FROM read_csv('{plain}/*.csv', header = true, escape = '\"')").fetchall()) == sorted(rows)
+
+
+def test_activity_ids_of_many_teams_differ(spark):
+    from turnout.sources import adapters as ad
+    rows = [(dt.datetime(2024, 1, 1, 18 + h, 5), u) for h in (0, 1) for u in (0, 49, 50, 150_000, 50_000_000)]
+    ev = spark.createDataFrame(rows, "ts timestamp_ntz, user_id long")
+    a = ad.ev_attendance(ev, 1).select("bucket", "team", "schedule_id").distinct().collect()
+    assert len(a) == 8 == len({r.schedule_id for r in a})
+
+
+def test_run_refuses_empty_loads_and_fails_on_checks(spark):
+    from turnout.plans.run import run
+    cfg = Config.local()
+    with pytest.raises(ValueError, match="presence"):
+        run(spark, raw_activity(spark, [activity_row(1, "2024-05-06")]), raw_presence(spark, []), cfg, scratch_path(spark, "t-empty"))
+    with pytest.raises(RuntimeError, match="event_type_label"):
+        run(spark, raw_activity(spark, [activity_row(1, "2024-05-06", etype=3)]), raw_presence(spark, [presence_row(1, [person(1)])]), cfg,
+            scratch_path(spark, "t-fail"), fail_on_check=True)

@@ -21,7 +21,7 @@ class Config:
     variant: str = WAREHOUSE
     # zone of the wall-clock schedule text (date + HH:MM) of an activity
     zone: str = "Europe/Stockholm"
-    # zone in which an instant is cut into a calendar day / week
+    # zone in which an instant is cut into a calendar day / week (the warehouse cuts in UTC)
     day_zone: str = "Europe/Stockholm"
     # "monday" (local family) or "sunday" (warehouse family)
     week_start: str = "sunday"
@@ -64,5 +64,6 @@ class Config:
 
     @staticmethod
     def warehouse(**kw) -> "Config":
-        base = Config(variant=WAREHOUSE, week_start="sunday", age_at="as_of", latest_load_only=True)
+        base = Config(variant=WAREHOUSE, week_start="sunday", age_at="as_of", latest_load_only=True,
+                      day_zone="UTC", midnight="plus24h")
         return replace(base, **kw)

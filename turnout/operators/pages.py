@@ -1,17 +1,15 @@
 """Page extraction: links, team filter, activity ids and URLs, page evidence,
 authentication, and the presence/activity payloads embedded in pages.
 
-Everything structural is done JVM-side with regular expressions over the
-HTML text (tag paths are parameters).  Two steps need Python and run as
-Arrow-batched functions: resolving relative URLs (RFC 3986, ``urljoin``)
-and reading the JavaScript object literals of the payloads.
+Structure is read JVM-side with regular expressions over the HTML text
+(comments blanked first; tag paths are parameters).  Payloads are JavaScript
+object literals: Spark's JSON reader takes the literal at the start of a text
+and ignores what follows, with unquoted keys and single quotes allowed.  One
+step runs as an Arrow-batched function: resolving relative URLs (RFC 3986).
 """
 
 from __future__ import annotations
 
-import json
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,27 +18,13 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import (activity_edit_url, activity_id_from_url, html_hash, is_match_url, is_team_url,
                          presence_url, short_snippet)
-
-ATTR_VALUE = r"""\s*=\s*["']([^"']*)["']"""
+from ..functions.html import INSIDE, attribute, decode_references, tags, without_comments
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def unescape_basic(c) -> Column:
-    """Decode the five predefined character references (``&amp;`` last)."""
-    out = _c(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
-
-
-def _attr(attrs: Column, name: str) -> Column:
-    pat = rf"(?is)\b{name}{ATTR_VALUE}"
-    return F.when(attrs.rlike(pat), unescape_basic(F.regexp_extract(attrs, pat, 1)))
-
-
 def _strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
@@ -48,20 +32,14 @@ def _strip(c: Column) -> Column:
 # ------------------------------------------------------------------ links
 
 def extract_links(pages: DataFrame, parent_tag: str = "td", link_class: str | None = "invisible-link") -> DataFrame:
-    """Hrefs of ``<a>`` elements that are the first element child of a
-    ``parent_tag`` element (optionally with exactly this class attribute), in
-    document order, duplicates kept: (page_id, url, pos, href).  A page
-    without such links yields no rows."""
-    anchors = F.regexp_extract_all(F.col("html"), F.lit(rf"(?is)<{parent_tag}\b[^>]*>\s*<a\b([^>]*)>"), F.lit(1))
-    keep = (lambda a: a.rlike(r"(?is)\bhref" + ATTR_VALUE))
-    if link_class is not None:
-        cls = re.escape(link_class)
-        keep_cls = (lambda a: a.rlike(rf"""(?is)\bclass\s*=\s*["']{cls}["']"""))
-        flt = F.filter(anchors, lambda a: keep(a) & keep_cls(a))
-    else:
-        flt = F.filter(anchors, keep)
-    hrefs = F.transform(flt, lambda a: unescape_basic(F.regexp_extract(a, r"(?is)\bhref" + ATTR_VALUE, 1)))
-    return pages.select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
+    """Hrefs of the ``<a>`` elements of every ``parent_tag`` element (optionally
+    with exactly this class attribute), in document order, duplicates kept:
+    (page_id, url, pos, href).  A page without such links yields no rows."""
+    cells = F.regexp_extract_all(without_comments("html"), F.lit(rf"(?is)<{parent_tag}(?=[\s>])[^>]*+>(.*?)(?=<{parent_tag}[\s>]|</{parent_tag}\s*>|$(?![\s\S]))"), F.lit(1))
+    anchors = F.flatten(F.transform(cells, lambda c: tags(c, "a")))
+    found = F.transform(anchors, lambda a: F.struct(attribute(a, "href").alias("href"), attribute(a, "class").alias("cls")))
+    kept = F.filter(found, lambda x: x["href"].isNotNull() & (F.lit(True) if link_class is None else x["cls"].eqNullSafe(F.lit(link_class))))
+    return pages.select("page_id", "url", F.posexplode(F.transform(kept, lambda x: x["href"])).alias("pos", "href"))
 
 
 @F.pandas_udf(T.StringType())
@@ -97,36 +75,38 @@ def activity_requests(links: DataFrame, domain: str, team_slug: str) -> DataFram
 # ------------------------------------------------------------------ evidence
 
 def page_title(html="html") -> Column:
-    t = F.regexp_extract(_c(html), r"(?is)<title\b[^>]*>(.*?)</title>", 1)
-    return _strip(unescape_basic(t))
+    t = F.regexp_extract(without_comments(html), r"(?is)<title\b[^>]*>(.*?)</title>", 1)
+    return _strip(decode_references(t))
 
 
 def canonical_link(html="html") -> Column:
-    links = F.regexp_extract_all(_c(html), F.lit(r"(?is)<link\b([^>]*)>"), F.lit(1))
-    canon = F.filter(links, lambda a: a.rlike(r"""(?is)\brel\s*=\s*["']canonical["']"""))
-    return _attr(F.get(canon, 0), "href")
+    """href of the first ``<link rel="canonical">`` that has one."""
+    links = F.transform(tags(without_comments(html), "link"), lambda a: F.struct(attribute(a, "rel").alias("rel"), attribute(a, "href").alias("href")))
+    return F.get(F.filter(links, lambda x: (x["rel"] == "canonical") & x["href"].isNotNull()), 0)["href"]
 
 
-LOGIN_INPUT = (r"""(?is)<input\b[^>]*(\bname\s*=\s*["']UserName["']|\bname\s*=\s*["'][^"']*Pass[^"']*["']"""
-               r"""|\btype\s*=\s*["']password["'])""")
+def _forms(html) -> Column:
+    """(attribute text, inside) of every form."""
+    text = without_comments(html)
+    whole = F.regexp_extract_all(text, F.lit(rf"(?is)(<form(?=[\s>]){INSIDE}>.*?)(?=</form\s*>|$(?![\s\S]))"), F.lit(1))
+    return F.transform(whole, lambda f: F.struct(F.regexp_extract(f, rf"(?is)^<form{INSIDE}>", 1).alias("a"), f.alias("b")))
 
 
 def forms(html="html", max_forms: int = 5, max_inputs: int = 8) -> Column:
     """First ``max_forms`` forms: action, method and the first ``max_inputs`` input names."""
-    attrs = F.regexp_extract_all(_c(html), F.lit(r"(?is)<form\b([^>]*)>"), F.lit(1))
-    bodies = F.regexp_extract_all(_c(html), F.lit(r"(?is)<form\b[^>]*>(.*?)</form>"), F.lit(1))
-    zipped = F.slice(F.arrays_zip(attrs.alias("a"), bodies.alias("b")), 1, max_forms)
-    return F.transform(zipped, lambda f: F.struct(
-        _attr(f["a"], "action").alias("action"),
-        _attr(f["a"], "method").alias("method"),
-        F.slice(F.regexp_extract_all(F.coalesce(f["b"], F.lit("")),
-                                     F.lit(r"(?is)<input\b[^>]*?\bname" + ATTR_VALUE), F.lit(1)),
-                1, max_inputs).alias("input_names")))
+    def names(body: Column) -> Column:
+        return F.slice(F.filter(F.transform(tags(body, "input"), lambda i: attribute(i, "name")), lambda n: n.isNotNull()), 1, max_inputs)
+    return F.transform(F.slice(_forms(html), 1, max_forms), lambda f: F.struct(
+        attribute(f["a"], "action").alias("action"), attribute(f["a"], "method").alias("method"), names(f["b"]).alias("input_names")))
 
 
 def login_form_count(html="html") -> Column:
-    bodies = F.regexp_extract_all(_c(html), F.lit(r"(?is)<form\b[^>]*>(.*?)</form>"), F.lit(1))
-    return F.size(F.filter(bodies, lambda b: b.rlike(LOGIN_INPUT))).cast("bigint")
+    """Forms with an input named UserName, one whose name holds Pass, or one of
+    type password (names and values as written, upper and lower case differ)."""
+    def login(i: Column) -> Column:
+        name = F.coalesce(attribute(i, "name"), F.lit(""))
+        return (name == "UserName") | F.contains(name, F.lit("Pass")) | attribute(i, "type").eqNullSafe(F.lit("password"))
+    return F.size(F.filter(_forms(html), lambda f: F.exists(tags(f["b"], "input"), login))).cast("bigint")
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
@@ -157,253 +137,101 @@ def page_auth(pages: DataFrame) -> DataFrame:
                         (has_logout & ~is_login).alias("authenticated"), status_ok.alias("status_ok"))
 
 
-def _accepted(pages: DataFrame) -> Column:
+def reject_reason(pages: DataFrame, require_login: Column | bool = True) -> Column:
+    """Why a page is refused, NULL when it is accepted: an error status (any
+    page), or no sign of a login (pages for which ``require_login`` holds)."""
     has_logout, is_login, status_ok = _auth_flags(pages)
-    return has_logout & ~is_login & status_ok
+    needs = require_login if isinstance(require_login, Column) else F.lit(require_login)
+    return (F.when(~status_ok, F.lit("error status")).when(needs & ~(has_logout & ~is_login), F.lit("not authenticated")))
 
 
-def accepted_pages(pages: DataFrame) -> DataFrame:
-    """Pages that pass both guards (authenticated, status < 400)."""
-    return pages.where(_accepted(pages))
+def accepted_pages(pages: DataFrame, require_login: Column | bool = True) -> DataFrame:
+    """Pages that pass the guards."""
+    return pages.where(reject_reason(pages, require_login).isNull())
 
 
-def rejected_pages(pages: DataFrame) -> DataFrame:
-    return pages.where(~_accepted(pages))
+def rejected_pages(pages: DataFrame, require_login: Column | bool = True) -> DataFrame:
+    """(page_id, url, reason) of the pages that do not."""
+    return pages.select("page_id", "url", reject_reason(pages, require_login).alias("reason")).where("reason IS NOT NULL")
 
 
-def require_accepted(pages: DataFrame) -> DataFrame:
-    """Pass pages through, failing the job on a page that is not
-    authenticated or has an error status (the crawler's guard)."""
-    bad = F.raise_error(F.concat(F.lit("page rejected: page_id="), F.col("page_id").cast("string")))
-    return pages.where(F.when(_accepted(pages), F.lit(True)).otherwise(bad.cast("boolean")))
+def require_accepted(pages: DataFrame, require_login: Column | bool = True) -> DataFrame:
+    """Pass pages through, failing the job on a page that is refused (the
+    crawler's guard)."""
+    why = reject_reason(pages, require_login)
+    bad = F.raise_error(F.concat(F.lit("page rejected: page_id="), F.col("page_id").cast("string"), F.lit(", "), why))
+    return pages.where(F.when(why.isNull(), F.lit(True)).otherwise(bad.cast("boolean")))
 
 
 # ------------------------------------------------------------------ payloads
 
+JSON_OPTIONS = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
+                "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+_ASSIGN = r"(?s)^.*?(?<![\w$.])(?:window\s*\.\s*)?initData\s*=\s*(?=[{\[])"
+_CALL = r"(?s)(?:^|;)\s*[\p{L}_$][\p{L}\p{N}_$.]*\s*\(\s*(?=\{)"
+
+
 def head_scripts(html="html") -> Column:
-    """Inline script texts inside the document head, in order."""
-    head = F.regexp_extract(_c(html), r"(?is)^(.*?)(?:</head>|<body\b)", 1)
-    head = F.when(_c(html).rlike(r"(?is)</head>|<body\b"), head).otherwise(_c(html))
-    return F.regexp_extract_all(head, F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), F.lit(1))
-
-
-_INIT = re.compile(r"(?:\b(?:var|let|const)\s+|\bwindow\.)?\binitData\s*=\s*")
-_KEY = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*")
-
-
-def _balanced(text: str, start: int) -> int | None:
-    """End index (exclusive) of the bracketed literal opening at ``start``."""
-    depth, i, quote = 0, start, None
-    while i < len(text):
-        ch = text[i]
-        if quote:
-            if ch == "\\":
-                i += 2
-                continue
-            if ch == quote:
-                quote = None
-        elif ch in "'\"":
-            quote = ch
-        elif ch in "{[":
-            depth += 1
-        elif ch in "}]":
-            depth -= 1
-            if depth == 0:
-                return i + 1
-        i += 1
-    return None
-
-
-def js_literal_to_json(lit: str) -> str:
-    """A JavaScript object/array literal (unquoted keys, single- or double-quoted
-    strings, true/false/null, numbers, trailing commas) -> JSON text.
-    Raises ValueError for anything outside that subset."""
-    out, i, n = [], 0, len(lit)
-    while i < n:
-        ch = lit[i]
-        if ch in "'\"":
-            j, buf = i + 1, []
-            while j < n and lit[j] != ch:
-                if lit[j] == "\\" and j + 1 < n:
-                    nxt = lit[j + 1]
-                    buf.append("'" if nxt == "'" else "\\" + nxt)
-                    j += 2
-                    continue
-                buf.append('\\"' if lit[j] == '"' else lit[j])
-                j += 1
-            if j >= n:
-                raise ValueError("unterminated string")
-            out.append('"' + "".join(buf) + '"')
-            i = j + 1
-        elif ch.isalpha() or ch in "_$":
-            m = _KEY.match(lit, i)
-            word = m.group(0)
-            rest = lit[m.end():].lstrip()
-            if rest.startswith(":"):
-                out.append(json.dumps(word))
-            elif word in ("true", "false", "null"):
-                out.append(word)
-            elif word == "undefined":
-                out.append("null")
-            else:
-                raise ValueError(f"unsupported token {word!r}")
-            i = m.end()
-        elif ch == ",":
-            rest = lit[i + 1:].lstrip()
-            if not rest.startswith(("}", "]")):
-                out.append(",")
-            i += 1
-        else:
-            out.append(ch)
-            i += 1
-    text = "".join(out)
-    json.loads(text)  # validate
-    return text
-
-
-def find_init_data(script: str) -> str | None:
-    """JSON text of the literal assigned to ``initData`` in a script, if any parses."""
-    for m in _INIT.finditer(script):
-        start = m.end()
-        if start < len(script) and script[start] in "{[":
-            end = _balanced(script, start)
-            if end is not None:
-                try:
-                    return js_literal_to_json(script[start:end])
-                except ValueError:
-                    continue
-    return None
-
-
-def _scan_presence(batches):
-    for pdf in batches:
-        idx, payload = [], []
-        for cands in pdf["cands"]:
-            hit = (None, None)
-            for c in (cands if cands is not None else []):
-                js = find_init_data(c["s"]) if isinstance(c["s"], str) else None
-                if js is not None:
-                    hit = (int(c["i"]), js)
-                    break
-            idx.append(hit[0])
-            payload.append(hit[1])
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "n_head_scripts": pdf["n"],
-                            "script_index": pd.Series(idx, dtype="Int32"),
-                            "payload": pd.Series(payload, dtype=object)})
+    """Non-empty inline script texts inside the document head, in order."""
+    text = _c(html)
+    head = F.regexp_extract(text, r"(?is)^(.*?)(?:</head>|<body\b)", 1)
+    head = F.when(text.rlike(r"(?is)</head>|<body\b"), head).otherwise(text)
+    inline = F.regexp_extract_all(head, F.lit(rf"(?is)<script(?=[\s>]){INSIDE}>(.*?)</script>"), F.lit(2))
+    return F.filter(inline, lambda s: s != "")
+
+
+def _literal(text: Column, schema: T.StructType) -> Column:
+    """The object literal at the start of a text, ``_corrupt`` set when it does
+    not parse or does not fit; a second reading allows trailing commas and
+    ``undefined``."""
+    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    plain = F.from_json(text, full, JSON_OPTIONS)
+    eased = F.from_json(F.regexp_replace(F.regexp_replace(text, r",(\s*[}\]])", "$1"), r"(:\s*)undefined\b", "$1null"), full, JSON_OPTIONS)
+    return F.when(plain["_corrupt"].isNull(), plain).otherwise(eased)
 
 
 def presence_scan(pages: DataFrame) -> DataFrame:
-    """Per page: the number of head scripts and the first (lowest-index)
-    script whose ``initData`` literal parses: (page_id, n_head_scripts,
-    script_index, payload).  One narrow pass: script extraction and the
-    ``initData`` pre-filter run JVM-side, only candidate scripts reach Python."""
+    """Per page: the number of head scripts, and of the scripts that assign an
+    ``initData`` literal the first that parses, or else the first at all:
+    (page_id, url, n_head_scripts, n_candidates, script_index, r)."""
     scripts = head_scripts()
-    indexed = F.transform(scripts, lambda s, i: F.struct(i.alias("i"), s.alias("s")))
-    cands = F.filter(indexed, lambda c: c["s"].contains("initData"))
-    pre = pages.select("page_id", "url", F.size(scripts).cast("bigint").alias("n"), cands.alias("cands"))
-    return pre.mapInPandas(_scan_presence,
-                           "page_id long, url string, n_head_scripts long, script_index int, payload string")
+    named = F.filter(F.transform(scripts, lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda c: c["s"].rlike(_ASSIGN))
+    pre = pages.select("page_id", "url", F.size(scripts).cast("bigint").alias("n_head_scripts"), named.alias("c"))
+    parsed = F.transform("c", lambda c: F.struct(c["i"].alias("i"), _literal(F.regexp_replace(c["s"], _ASSIGN, ""), schemas.PRESENCE_PAYLOAD).alias("r")))
+    pre = pre.select("page_id", "url", "n_head_scripts", F.size("c").alias("n_candidates"), parsed.alias("p"))
+    best = F.coalesce(F.get(F.filter("p", lambda x: x["r"]["_corrupt"].isNull()), 0), F.get("p", 0))
+    return pre.withColumn("_best", best).select("page_id", "url", "n_head_scripts", "n_candidates", F.col("_best.i").alias("script_index"), F.col("_best.r").alias("r"))
 
 
 def extract_presence(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects): presence payloads parsed with the declared schema,
-    and pages without a parsable ``initData`` (the crawler's hard error)."""
+    """(records, rejects): presence payloads read with the declared schema, and
+    pages without an ``initData`` literal or with one that does not parse or fit."""
     scan = presence_scan(pages)
-    rec = scan.where(F.col("payload").isNotNull()).select(
-        "page_id", F.from_json("payload", schemas.PRESENCE_PAYLOAD).alias("r")).select("page_id", "r.*")
-    rejects = scan.where(F.col("payload").isNull()).select(
-        "page_id", "url", F.lit("initData not found").alias("reason"))
-    return rec, rejects
-
-
-def _close_paren(code: str, pos: int) -> int | None:
-    """Index of the ``)`` closing the call whose remaining arguments start at ``pos``."""
-    depth, i, quote = 0, pos, None
-    while i < len(code):
-        ch = code[i]
-        if quote:
-            if ch == "\\":
-                i += 2
-                continue
-            if ch == quote:
-                quote = None
-        elif ch in "'\"":
-            quote = ch
-        elif ch in "([{":
-            depth += 1
-        elif ch in "]}":
-            depth -= 1
-        elif ch == ")":
-            if depth == 0:
-                return i
-            depth -= 1
-        i += 1
-    return None
-
-
-_CALL = re.compile(r"\s*([A-Za-z_$][A-Za-z0-9_$.]*)\s*\(")
-
-
-def find_call_payloads(code: str) -> list[tuple[str, str]]:
-    """(callee, JSON of its first argument) for each top-level call statement."""
-    out, i = [], 0
-    while i < len(code):
-        m = _CALL.match(code, i)
-        if not m:
-            break
-        j = m.end()
-        while j < len(code) and code[j].isspace():
-            j += 1
-        if j >= len(code) or code[j] not in "{[":
-            raise ValueError("first argument is not an object literal")
-        end = _balanced(code, j)
-        if end is None:
-            raise ValueError("unbalanced literal")
-        out.append((m.group(1), js_literal_to_json(code[j:end])))
-        k = _close_paren(code, end)
-        if k is None:
-            raise ValueError("unclosed call")
-        i = k + 1
-        while i < len(code) and code[i] in "; \t\r\n":
-            i += 1
-    return out
-
-
-def _scan_activity(batches):
-    for pdf in batches:
-        pid, url, callee, payload, error = [], [], [], [], []
-
-        def emit(p, u, c, js, err):
-            pid.append(p); url.append(u); callee.append(c); payload.append(js); error.append(err)
-
-        for p, u, code in zip(pdf["page_id"], pdf["url"], pdf["init"]):
-            if not isinstance(code, str) or not code.strip():
-                emit(p, u, None, None, "data-ng-init missing")
-                continue
-            try:
-                for name, js in find_call_payloads(code):
-                    emit(p, u, name, js, None)
-            except ValueError as exc:
-                emit(p, u, None, None, str(exc))
-        yield pd.DataFrame({"page_id": pd.Series(pid, dtype="int64"), "url": pd.Series(url, dtype=object),
-                            "callee": pd.Series(callee, dtype=object),
-                            "payload": pd.Series(payload, dtype=object), "error": pd.Series(error, dtype=object)})
+    good = F.col("r").isNotNull() & F.col("r._corrupt").isNull()
+    rec = scan.where(good).select("page_id", "r.*").drop("_corrupt")
+    reason = F.when(F.col("n_candidates") == 0, F.lit("initData not found")).otherwise(F.lit("initData not readable"))
+    return rec, scan.where(~good).select("page_id", "url", reason.alias("reason"))
 
 
 def body_init(html="html") -> Column:
-    pat = r"""(?is)<body\b[^>]*?\bdata-ng-init\s*=\s*"([^"]*)\""""
-    return F.when(_c(html).rlike(pat), unescape_basic(F.regexp_extract(_c(html), pat, 1)))
+    """Decoded ``data-ng-init`` of the body tag."""
+    return attribute(F.get(tags(without_comments(html), "body"), 0), "data-ng-init")
 
 
 def extract_activity(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records, rejects): one activity record per top-level call in the body's
-    ``data-ng-init`` (its first argument), and pages lacking it or unparsable."""
-    scan = pages.select("page_id", "url", body_init().alias("init")).mapInPandas(
-        _scan_activity, "page_id long, url string, callee string, payload string, error string")
-    rec = scan.where(F.col("error").isNull()).select(
-        "page_id", "callee", F.from_json("payload", schemas.ACTIVITY_PAYLOAD).alias("r")).select("page_id", "callee", "r.*")
-    rejects = scan.where(F.col("error").isNotNull()).select("page_id", "url", F.col("error").alias("reason"))
-    return rec, rejects
+    ``data-ng-init`` (its first argument), and pages lacking it or with a call
+    that is not readable (all calls of such a page are refused)."""
+    init = F.col("init")
+    calls = F.transform(F.slice(F.split(init, _CALL), 2, 10_000_000), lambda t: _literal(t, schemas.ACTIVITY_PAYLOAD))
+    names = F.regexp_extract_all(init, F.lit(r"(?s)(?:^|;)\s*([\p{L}_$][\p{L}\p{N}_$.]*)\s*\(\s*(?=\{)"), F.lit(1))
+    scan = (pages.select("page_id", "url", body_init().alias("init"))
+            .select("page_id", "url", "init", F.when(init.rlike(_CALL.replace("(?:^|;)", "^")), calls).alias("calls"), names.alias("names")))
+    bad = F.col("calls").isNull() | F.exists("calls", lambda r: r.isNull() | r["_corrupt"].isNotNull())
+    rec = (scan.where(~bad).select("page_id", F.explode(F.arrays_zip(F.col("names").alias("callee"), F.col("calls").alias("r"))).alias("z"))
+           .select("page_id", "z.callee", "z.r.*").drop("_corrupt"))
+    reason = F.when(F.trim(F.coalesce(init, F.lit(""))) == "", F.lit("data-ng-init missing")).otherwise(F.lit("data-ng-init not readable"))
+    return rec, scan.where(bad).select("page_id", "url", reason.alias("reason"))
 
 
 # ------------------------------------------------------------------ reports over the driver pages
@@ -440,5 +268,4 @@ def page_evidence_report(pages: DataFrame) -> DataFrame:
 
 
 def presence_scan_report(pages: DataFrame) -> DataFrame:
-    return presence_scan(pages).select("page_id", "n_head_scripts",
-                                       F.col("payload").isNotNull().alias("has_init_data"))
+    return presence_scan(pages).select("page_id", "n_head_scripts", (F.col("n_candidates") > 0).alias("has_init_data"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +16,13 @@ WINDOWS_WEEKS = (4, 12, 24)   # fixed values: look-back windows
 
 
 def training_activities(activity: DataFrame, cfg: Config) -> DataFrame:
-    """Trainings that started before ``now``: (activity_id, activity_date)."""
+    """Trainings that started before ``now`` and on a day of the longest
+    look-back window: (activity_id, activity_date).  Older ones count in no
+    window; the bound is an instant, so it reaches the scan."""
+    first = cfg.as_of - dt.timedelta(weeks=max(WINDOWS_WEEKS))
+    since = dt.datetime(first.year, first.month, first.day, tzinfo=ZoneInfo(cfg.day_zone))
     return (activity.where((F.col("activity_type_id") == TRAINING_TYPE_ID)
-                           & (F.col("start_at") < F.lit(cfg.now_instant)))
+                           & (F.col("start_at") >= F.lit(since)) & (F.col("start_at") < F.lit(cfg.now_instant)))
                     .select("activity_id", local_day("start_at", cfg.day_zone).alias("activity_date")))
 
 

@@ -112,11 +112,19 @@ def run_checks(models: dict[str, DataFrame], checks) -> DataFrame:
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    # accepted values of one model: its value combinations are counted once
+    # (the shuffle is reused) and every column is checked on these few rows
+    accepted: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.test == "accepted_values":
+            accepted.setdefault(c.model, []).append(c)
+    combined = {m: models[m].groupBy(*sorted({c.column for c in cs})).agg(F.count(F.lit(1)).alias("n_records")) for m, cs in accepted.items()}
     for c in checks:
         if c.test == "not_null":
             by_model.setdefault(c.model, []).append(c)
         else:
-            parts.append(failing_rows(models, c).agg(F.count(F.lit(1)).alias("failures"))
+            source = combined if c.test == "accepted_values" else models
+            parts.append(failing_rows(source, c).agg(F.count(F.lit(1)).alias("failures"))
                          .select(_label(c).alias("k"), "failures"))
     for model, cs in by_model.items():
         counts = []

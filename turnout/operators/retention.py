@@ -34,16 +34,15 @@ ACTIVE_MAX_DAYS = 90     # fixed value: active while the last activity is <= 90
 def daily_activity_counts(attended: DataFrame, member: DataFrame, activity: DataFrame, cfg: Config) -> DataFrame:
     """(member_id, date_day, activities) for cohort players.
 
-    Attendance is aggregated to (member, day) first, with map-side partial
-    aggregation, and only then restricted to the cohort by a semi join: a
-    member with a huge history is combined before any shuffle on member_id.
+    Attendance is restricted to the cohort first (a semi join; AQE splits a
+    member with a huge history), so that only the cohort's rows meet the
+    activities; counts are combined map-side before they are shuffled.
     """
     cohort = member.where((F.col("member_type") == "Player") & F.col(cfg.cohort_flag)).select("member_id")
-    rows = (attended.select("activity_id", "member_id")
+    rows = (attended.select("activity_id", "member_id").join(cohort, "member_id", "left_semi")
             .join(activity.select("activity_id", "start_at"), "activity_id", "left"))
-    daily = (rows.groupBy("member_id", local_day("start_at", cfg.day_zone).alias("date_day"))
-                 .agg(F.count(F.lit(1)).alias("activities")))
-    return daily.join(cohort, "member_id", "left_semi")
+    return (rows.groupBy("member_id", local_day("start_at", cfg.day_zone).alias("date_day"))
+                .agg(F.count(F.lit(1)).alias("activities")))
 
 
 def _runs(daily: DataFrame, spine_start: dt.date, as_of: dt.date) -> DataFrame:
@@ -102,32 +101,6 @@ def member_day_metrics(daily: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def member_day_metrics_grid(daily: DataFrame, cfg: Config) -> DataFrame:
-    """The same metrics in the original's shape, for comparison and for
-    callers that already hold the member x day grid: every day from the first
-    activity (or the spine start) to the day before ``as_of`` joined with the
-    daily counts, then windows per member ordered by day: ``row_number``
-    (calendar row), a running ``max`` of activity days (last activity) and
-    ``lag`` (previous day's value).  Window partitions are bounded by the
-    calendar length; ``member_day_metrics`` produces the same rows without the
-    join.
-    """
-    firsts = daily.groupBy("member_id").agg(F.min("date_day").alias("first_activity"))
-    start = F.greatest(F.col("first_activity"), F.lit(cfg.spine_start))
-    last_day = F.date_sub(F.lit(cfg.as_of), 1)
-    grid = (firsts.where(start <= last_day)
-                  .select("member_id", F.explode(F.sequence(start, last_day)).alias("date_day")))
-    g = grid.join(daily.where(F.col("date_day").isNotNull()), ["member_id", "date_day"], "left")
-    w = Window.partitionBy("member_id").orderBy("date_day")
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.max(F.when(F.col("activities") > 0, F.col("date_day"))).over(running)
-    g = g.select("member_id", "date_day", "activities", last.alias("last_activity_at"),
-                 F.row_number().over(w).cast("bigint").alias("calendar_row"))
-    since = F.datediff(F.col("date_day"), F.col("last_activity_at")).cast("bigint")
-    g = g.withColumn("days_since_last_activity", since)
-    return g.withColumn("prev_days_since_last_activity", F.lag("days_since_last_activity").over(w))
-
-
 def status_columns(m: DataFrame) -> DataFrame:
     since = F.col("days_since_last_activity")
     event = (F.when((F.col("calendar_row") == 1)

@@ -20,6 +20,9 @@ from ..sources import adapters as ad
 from ..operators import pages as pg
 from ..sources import seeds, sinks, spines
 from ..session import scratch_path
+from ..sources.page_adapter import DOMAIN as PAGE_DOMAIN
+from ..sources.page_adapter import SLUG as PAGE_SLUG
+from ..sources.page_adapter import captured_pages
 from . import pipeline
 
 EV_BUCKET_HOURS = 1
@@ -160,6 +163,123 @@ def q_dq_suite(cfg):
     return q
 
 
+# Planted faults: per model the key that picks rows, and the columns that are NULL where key % 7 is their place.
+FAULT_KEYS = {"activity": f"activity_id div {ad.TEAM_SPAN}", "member": "member_id", "attended_activity": "member_id",
+              "player_status": "member_id + datediff(date_day, DATE'2020-01-01')", "training_participation": "member_id"}
+FAULTS = {
+    "local": {"activity": {"event_type_label": 0, "start_at": 2, "end_at": 3, "duration_minutes": 4, "activity_id": 5},
+              "member": {"first_name": 0, "last_name": 1, "is_player": 2, "is_leader": 3, "member_type_label": 4, "member_id": 5},
+              "attended_activity": {"attendance_id": 0, "activity_id": 1, "member_id": 2}},
+    "warehouse": {"activity": {"activity": 0, "start_at": 2, "end_at": 3, "duration_minutes": 4, "duration_hours": 5, "activity_id": 6},
+                  "member": {"first_name": 0, "last_name": 1, "member_type": 2, "full_name": 3, "member_id": 4},
+                  "attended_activity": {"attendance_id": 0, "activity_id": 1, "member_id": 2},
+                  "player_status": {"date_day": 0, "status": 1, "member_id": 2}, "training_participation": {"full_name": 0, "member_type": 1, "member_id": 2}}}
+
+
+def plant_faults(models, variant: str) -> dict[str, DataFrame]:
+    """The checked models with every kind of fault: NULLs, values outside the
+    accepted ones, an unknown season, rows that come twice."""
+    out = {}
+    for name, columns in FAULTS[variant].items():
+        df, key = models[name], F.expr(FAULT_KEYS[name])
+        place = F.pmod(key, F.lit(7))
+        new = {c: F.when(place != i, F.col(c)) for c, i in columns.items()}
+        if name == "player_status":
+            new["status"] = F.when(place == 3, F.lit("Lost")).otherwise(new["status"])
+            new["status_event"] = F.when(place == 4, F.lit("Odd")).otherwise(F.col("status_event"))
+        if name == "activity":
+            label, given = ("result_label", "result_id") if variant == "local" else ("result", "result_type_id")
+            new[label] = F.when(F.col(given) != 2, F.col(label))
+            if variant == "warehouse":
+                new["season_id"] = F.when(place == 5, F.lit(-1).cast("bigint")).otherwise(F.col("season_id"))
+        copies = F.explode(F.when(F.pmod(key, F.lit(5)) == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+        rows = df.select("*", copies.alias("_copy")).drop("_copy")
+        out[name] = rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+    return out
+
+
+def q_dq_faults(cfg):
+    def q(spark, sf):
+        models = plant_faults(ev_core(spark, sf, cfg), cfg.variant)
+        if cfg.is_local:
+            return quality.run_checks(models, quality.LOCAL_CHECKS)
+        return quality.run_checks({**models, "season": seeds.season(spark)}, quality.WAREHOUSE_CHECKS)
+    return q
+
+
+def captured(spark, sf) -> DataFrame:
+    """The captured pages as a table, as a crawl leaves them."""
+    return sinks.materialize(captured_pages(_events(spark, sf)), scratch_path(spark, "pages"))
+
+
+def q_captured_requests(spark, sf):
+    """Links of the calendar pages -> ids and request URLs of one team."""
+    return extract_pages(spark, sf).requests.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "activity_id", "is_match", "presence_url", "activity_url")
+
+
+def extract_pages(spark, sf):
+    from .extract import extract
+    return extract(captured(spark, sf), PAGE_DOMAIN, PAGE_SLUG, "L2", ad.L2_TIMESTAMP)
+
+
+def q_captured_links(spark, sf):
+    pages = pg.accepted_pages(captured(spark, sf), F.col("page_id") % 4 == 3).where(F.col("page_id") % 4 == 3)
+    return pg.team_link_counts(pg.extract_links(pages), PAGE_SLUG)
+
+
+def q_captured_presence(spark, sf):
+    return epochs(staging.stg_presence(extract_pages(spark, sf).raw_presence, EV_WAREHOUSE))
+
+
+def q_captured_activity(spark, sf):
+    return epochs(staging.stg_activity(extract_pages(spark, sf).raw_activity, EV_WAREHOUSE))
+
+
+def q_captured_rejects(spark, sf):
+    return extract_pages(spark, sf).rejects.select("page_id", "reason")
+
+
+def q_captured_evidence(spark, sf):
+    e = pg.page_evidence(captured(spark, sf))
+    return e.select("page_id", "title", "canonical", "has_logout", "login_form_count", F.size("forms").cast("bigint").alias("n_forms"),
+                    F.get("forms", 0)["action"].alias("action"), F.get("forms", 0)["method"].alias("method"),
+                    F.array_join(F.get("forms", 0)["input_names"], ",").alias("input_names"))
+
+
+def q_captured_scripts(spark, sf):
+    s = pg.presence_scan(captured(spark, sf).where(F.col("page_id") % 4 == 1))
+    return s.select("page_id", "n_head_scripts", F.col("script_index").cast("bigint").alias("script_index"))
+
+
+def q_page_ingest(spark, sf):
+    """Pages -> raw tables (a replaced load, then an appended one) -> staging."""
+    from ..sources.raw import read_raw_table
+    from .extract import ingest
+    out = scratch_path(spark, "ingest")
+    pages = captured(spark, sf)
+    ingest(pages, PAGE_DOMAIN, PAGE_SLUG, out, append=False, load_id="L1", load_timestamp=ad.L1_TIMESTAMP)
+    ingest(pages, PAGE_DOMAIN, PAGE_SLUG, out, load_id="L2", load_timestamp=ad.L2_TIMESTAMP)
+    return staging.stg_activity(read_raw_table(spark, f"{out}/raw_activity"), EV_WAREHOUSE)
+
+
+def q_presence_roundtrip(spark, sf):
+    from ..sources.raw import read_raw_presence
+    path = scratch_path(spark, "ndjson-presence")
+    sinks.write_ndjson(ad.ev_raw_presence(_events(spark, sf), EV_BUCKET_HOURS, ("L2",)), path)
+    return staging.stg_presence(read_raw_presence(spark, path), EV_WAREHOUSE)
+
+
+def q_load_new_field(spark, sf):
+    """An older load, then one with a new field, both through the landing path."""
+    from ..streaming import ingest_loads
+    root, ev = scratch_path(spark, "evolve"), _events(spark, sf)
+    for load, more in (("L1", []), ("L2", [(F.col("scheduleId") * 2).alias("newField")])):
+        raw = ad.ev_raw_activity(ev, EV_BUCKET_HOURS, (load,))
+        sinks.write_ndjson(raw.select("*", *more), f"{root}/landing/{load}")
+        table = ingest_loads(spark, "activity", f"{root}/landing/{load}", f"{root}/raw_activity", f"{root}/_checkpoint-{load}")
+    return table.select(F.col("scheduleId").alias("schedule_id"), "load_id", F.col("newField").alias("new_field"))
+
+
 def q_dq_not_null(spark, sf):
     a = ev_core(spark, sf, EV_WAREHOUSE).lazy("activity")
     return quality.not_null(a, "activity").select("activity_id", "activity_type_id")
@@ -225,11 +345,13 @@ def q_load_stream(spark, sf):
     return staging.stg_activity(raw, EV_WAREHOUSE)
 
 
-def q_csv_export(spark, sf):
-    wide = epochs(act.export_all(*_args(ev_core(spark, sf, EV_LOCAL))))
-    path = scratch_path(spark, "export_csv")
-    sinks.export_csv(wide, path)
-    return spark.read.schema(wide.schema).option("header", True).csv(path)
+def q_csv_export(cfg):
+    def q(spark, sf):
+        wide = epochs(act.export_all(*_args(ev_core(spark, sf, cfg))))
+        path = scratch_path(spark, "export_csv")
+        sinks.export_csv(wide, path)
+        return spark.read.schema(wide.schema).option("header", True).option("escape", '"').csv(path)
+    return q
 
 
 def q_extract_rejects(spark, sf):
@@ -277,6 +399,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "training_participation": q_training_participation,
         "dq_suite_warehouse": q_dq_suite(EV_WAREHOUSE),
         "dq_suite_local": q_dq_suite(EV_LOCAL),
+        "dq_faults_warehouse": q_dq_faults(EV_WAREHOUSE),
+        "dq_faults_local": q_dq_faults(EV_LOCAL),
         "dq_not_null": q_dq_not_null,
         "dq_not_null_where": q_dq_not_null_where,
         "dq_unique": q_dq_unique,
@@ -287,7 +411,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_roundtrip": q_json_roundtrip,
         "load_append": q_load_append,
         "load_stream": q_load_stream,
-        "csv_export_roundtrip": q_csv_export,
+        "csv_export_roundtrip": q_csv_export(EV_LOCAL),
+        "csv_export_warehouse": q_csv_export(EV_WAREHOUSE),
         "page_links": q_pages(pg.page_links_report),
         "team_links": q_pages(pg.team_link_counts_report),
         "page_digest": q_pages(pg.page_digest),
@@ -295,6 +420,16 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_auth": q_pages(pg.page_auth),
         "presence_scan": q_pages(pg.presence_scan_report),
         "extract_rejects": q_extract_rejects,
+        "captured_links": q_captured_links,
+        "captured_requests": q_captured_requests,
+        "captured_presence": q_captured_presence,
+        "captured_activity": q_captured_activity,
+        "captured_rejects": q_captured_rejects,
+        "captured_evidence": q_captured_evidence,
+        "captured_scripts": q_captured_scripts,
+        "page_ingest": q_page_ingest,
+        "presence_roundtrip": q_presence_roundtrip,
+        "load_new_field": q_load_new_field,
     }
 
 

@@ -1,13 +1,16 @@
 """The crawler's data path as one Spark job over captured pages.
 
-Calendar pages -> guards (authenticated, status) -> activity links -> team
-filter -> presence and activity-edit request URLs; presence and activity
-pages -> payload records -> load stamp -> raw tables.  Fetching is not part
-of this engine: pages arrive as a table (url, html[, status]).
+Calendar pages -> guards (status, login) -> activity links -> team filter ->
+presence and activity-edit request URLs; presence and activity pages -> status
+guard -> payload records -> load stamp -> raw tables.  Fetching is not part of
+this engine: pages arrive as a table (page_id, url, html[, status]).
+
+    python -m turnout.plans.extract --pages PATH --out DIR --domain D --slug S [--replace]
 """
 
 from __future__ import annotations
 
+import argparse
 import datetime as dt
 from dataclasses import dataclass
 
@@ -15,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import pages as pg
+from ..sources import sinks
 from ..sources.sinks import new_load_stamp, stamp_load
 
 
@@ -26,22 +30,52 @@ class Extracted:
     rejects: DataFrame         # page_id, url, reason
 
 
+def page_kind(url="url"):
+    u = F.col(url) if isinstance(url, str) else url
+    return (F.when(u.contains("/controlpanel/presence/"), F.lit("presence"))
+             .when(u.contains("/redigera"), F.lit("activity")).otherwise(F.lit("calendar")))
+
+
 def extract(pages: DataFrame, domain: str, team_slug: str, load_id: str | None = None,
             load_timestamp: dt.datetime | None = None, link_parent: str = "td",
             link_class: str | None = "invisible-link") -> Extracted:
     if load_id is None or load_timestamp is None:
         load_id, load_timestamp = new_load_stamp()
-    ok = pg.accepted_pages(pages)
-    kind = (F.when(F.col("url").contains("/controlpanel/presence/"), F.lit("presence"))
-             .when(F.col("url").contains("/redigera"), F.lit("activity"))
-             .otherwise(F.lit("calendar")))
-    typed = ok.withColumn("_kind", kind)
+    login = page_kind() == "calendar"           # only calendar pages show the login
+    typed = pg.accepted_pages(pages, login).withColumn("_kind", page_kind())
     links = pg.extract_links(typed.where(F.col("_kind") == "calendar"), link_parent, link_class)
     requests = pg.activity_requests(links, domain, team_slug)
     pres, pres_rej = pg.extract_presence(typed.where(F.col("_kind") == "presence"))
     acts, act_rej = pg.extract_activity(typed.where(F.col("_kind") == "activity"))
     raw_presence = stamp_load(pres.drop("page_id"), load_id, load_timestamp)
     raw_activity = stamp_load(acts.drop("page_id", "callee"), load_id, load_timestamp)
-    rejected = pg.rejected_pages(pages).select("page_id", "url", F.lit("not authenticated or error status").alias("reason"))
-    rejects = rejected.unionByName(pres_rej).unionByName(act_rej)
+    rejects = pg.rejected_pages(pages, login).unionByName(pres_rej).unionByName(act_rej)
     return Extracted(requests, raw_activity, raw_presence, rejects)
+
+
+def ingest(pages: DataFrame, domain: str, team_slug: str, out: str, append: bool = True,
+           load_id: str | None = None, load_timestamp: dt.datetime | None = None) -> dict[str, int]:
+    """Extract and write: raw tables (one load, appended or replacing), the
+    request URLs and the rejects under ``out``; returns the rows written.  A
+    run whose activity or presence payload is empty writes no raw table."""
+    ex = extract(pages, domain, team_slug, load_id, load_timestamp)
+    ex.requests.write.mode("overwrite").parquet(f"{out}/requests")
+    ex.rejects.write.mode("overwrite").parquet(f"{out}/rejects")
+    sinks.require_non_empty(activity=ex.raw_activity, presence=ex.raw_presence)
+    write = sinks.append_load if append else sinks.replace_table
+    return {"raw_activity": write(ex.raw_activity, f"{out}/raw_activity"), "raw_presence": write(ex.raw_presence, f"{out}/raw_presence")}
+
+
+def main(argv=None) -> None:
+    ap = argparse.ArgumentParser(description=__doc__)
+    for name in ("--pages", "--out", "--domain", "--slug"):
+        ap.add_argument(name, required=True)
+    ap.add_argument("--replace", action="store_true", help="replace the raw tables by this load")
+    a = ap.parse_args(argv)
+    from ..session import get_session
+    spark = get_session()
+    print(ingest(spark.read.parquet(a.pages), a.domain, a.slug, a.out, append=not a.replace))
+
+
+if __name__ == "__main__":
+    main()

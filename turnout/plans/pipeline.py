@@ -48,7 +48,8 @@ class Materialized:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._done:
             df = self.builders[name](self)
-            self._done[name] = sinks.materialize(df, f"{self.root}/{name}") if self._writes(name) else df
+            by = sinks.LOAD if name in LANDING else None
+            self._done[name] = sinks.materialize(df, f"{self.root}/{name}", partition_by=by) if self._writes(name) else df
         return self._done[name]
 
     def __contains__(self, name: str) -> bool:
@@ -128,5 +129,6 @@ def build(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame,
 def build_all(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
               root: str) -> dict[str, DataFrame]:
     """Write every model under ``root`` (a shared folder) and return the tables."""
-    m = store(spark, cfg, root, lambda: raw_activity, lambda: raw_presence)
+    names = frozenset(model_builders(spark, cfg, lambda: raw_activity, lambda: raw_presence))
+    m = store(spark, cfg, root, lambda: raw_activity, lambda: raw_presence, write=names)
     return {n: m[n] for n in m.names()}

@@ -3,7 +3,11 @@ SQL views -> CSV export.  (The original project's ``build`` + ``csv_export``
 steps.)
 
     python -m turnout.plans.run --activity PATH --presence PATH --out DIR [--variant local|warehouse]
-        [--as-of YYYY-MM-DD] [--format json|parquet]
+        [--as-of YYYY-MM-DD] [--now ISO-TIME] [--format json|parquet] [--keep-going]
+
+Trainings before ``--now`` (default: the current instant) are past.  A failing
+check ends the command with an error after everything has been written, unless
+``--keep-going`` is given.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ class RunResult:
 
 def run(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config, out: str,
         fail_on_check: bool = False) -> RunResult:
+    sinks.require_non_empty(activity=raw_activity, presence=raw_presence)
     models = pipeline.build_all(spark, raw_activity, raw_presence, cfg, f"{out}/models")
     spec = quality.LOCAL_CHECKS if cfg.is_local else quality.WAREHOUSE_CHECKS
     checks = sinks.materialize(quality.run_checks(models, spec), f"{out}/checks")
@@ -36,10 +41,9 @@ def run(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, c
     export = f"{out}/export_all_csv"
     sinks.export_csv(models["export_all"], export)
     if fail_on_check:
-        failed = checks.where("failures > 0")
-        if not failed.isEmpty():
-            raise RuntimeError("data checks failed: " + ", ".join(
-                f"{r.model}.{r.column} {r.test}={r.failures}" for r in failed.limit(50).collect()))
+        failed = checks.where("failures > 0").collect()  # at most one row a declared check
+        if failed:
+            raise RuntimeError("data checks failed: " + ", ".join(f"{r.model}.{r.column} {r.test}={r.failures}" for r in failed))
     return RunResult(models, checks, export)
 
 
@@ -50,18 +54,23 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--variant", default="warehouse", choices=["local", "warehouse"])
     ap.add_argument("--as-of", default=dt.date.today().isoformat())
+    ap.add_argument("--now", default=None)
+    ap.add_argument("--keep-going", action="store_true")
     ap.add_argument("--format", default="json", choices=["json", "parquet"])
     a = ap.parse_args(argv)
     from ..session import get_session
     spark = get_session()
     as_of = dt.date.fromisoformat(a.as_of)
-    cfg = Config.local(as_of=as_of) if a.variant == "local" else Config.warehouse(as_of=as_of)
+    now = dt.datetime.fromisoformat(a.now) if a.now else dt.datetime.now(dt.timezone.utc)
+    now = now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)
+    cfg = Config.local(as_of=as_of, now=now) if a.variant == "local" else Config.warehouse(as_of=as_of, now=now)
     if a.format == "json":
         ra, rp = read_raw_activity(spark, a.activity), read_raw_presence(spark, a.presence)
     else:
         ra, rp = read_raw_table(spark, a.activity), read_raw_table(spark, a.presence)
-    res = run(spark, ra, rp, cfg, a.out)
-    res.checks.show(100, truncate=False)
+    res = run(spark, ra, rp, cfg, a.out, fail_on_check=not a.keep_going)
+    for r in res.checks.collect():  # one row a declared check
+        print(f"{r.model}.{r.column} {r.test}: {r.failures}")
 
 
 if __name__ == "__main__":

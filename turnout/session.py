@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -92,7 +94,9 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    out = os.path.join(tempfile.mkdtemp(prefix="turnout-py-"), "turnout.zip")
+    folder = tempfile.mkdtemp(prefix="turnout-py-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    out = os.path.join(folder, "turnout.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, dirnames, files in os.walk(pkg_dir):
             dirnames[:] = [d for d in dirnames if d != "__pycache__"]
@@ -105,6 +109,31 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
+    """A fresh sub-folder of the shared checkpoint folder.  It lives until
+    ``cleanup`` or the end of the Python process, as results read from it lazily."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_at_exit)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the scratch folders made so far; call it when the results that
+    were read from them have been written.  Returns the number deleted."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+        cleanup(spark)

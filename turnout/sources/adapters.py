@@ -4,7 +4,7 @@ The test tables hold no club data, so these adapters derive it with plain
 DataFrame expressions (FIXTURES.md section 3):
 
 * ``EV`` turns the ``events`` stream into raw activity and nested presence
-  loads: an activity is one time bucket of one team (a team is 150 users),
+  loads: an activity is one time bucket of one team (a team is 50 users),
   the people who had an event in that bucket attended it.  Presence arrays
   are therefore bounded by the team size.
 * ``OR`` turns ``orders`` into a long history (1995-2001): one activity per
@@ -26,7 +26,8 @@ from .seeds import _rows
 # Fixed values of the adapters (FIXTURES.md section 3).
 EVENT_TYPE_CYCLE = [1, 2, 3, 4, 5, 6, 7, 9, 10]   # 3 is an unknown code on purpose
 DURATION_CYCLE = [60, 45, 30, 60]                 # minutes, by bucket % 4
-TEAM_SIZE = 150
+TEAM_SIZE = 50
+TEAM_SPAN = 1 << 32
 L1_TIMESTAMP = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 L2_TIMESTAMP = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 EV_AS_OF = dt.date(2024, 2, 1)
@@ -73,14 +74,15 @@ def _person(user_id: Column, member_type: Column, team: Column, birth_year: Colu
 # ---------------------------------------------------------------- EV adapter
 
 def ev_attendance(events: DataFrame, bucket_hours: int) -> DataFrame:
-    """Distinct (bucket, team, user_id) with schedule_id = bucket*1000 + team."""
+    """Distinct (bucket, team, user_id) with schedule_id = bucket * 2^32 + team
+    (no two activities share an id while there are fewer than 2^32 teams)."""
     sec = epoch_seconds_ntz("ts")
     e = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
     return (e.select(F.floor(sec / (3600 * bucket_hours)).cast("bigint").alias("bucket"),
                      F.floor(F.col("user_id") / TEAM_SIZE).cast("bigint").alias("team"),
                      F.col("user_id"))
              .distinct()
-             .withColumn("schedule_id", F.col("bucket") * 1000 + F.col("team")))
+             .withColumn("schedule_id", F.col("bucket") * TEAM_SPAN + F.col("team")))
 
 
 def _ev_activity_rows(activities: DataFrame, bucket_hours: int, place: Column, keep: list[str] = ()) -> DataFrame:

@@ -1,26 +1,67 @@
-"""Raw inputs: newline-delimited JSON loads and accumulated raw tables."""
+"""Raw inputs: newline-delimited JSON loads and accumulated raw tables.
+
+A load is read with the declared fields plus whatever new top-level fields its
+lines hold.  A line that is not JSON, or a value that does not fit its
+declared type, fails the read; ``split_load`` sets such lines aside instead.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
+CORRUPT = "_corrupt_line"
+#: sub-folder of a raw table that keeps the schema of every load (hidden from scans)
+SCHEMAS = "_schemas"
+
+
+def load_schema(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
+    """The declared fields, then the new top-level fields found in the load."""
+    found = spark.read.option("columnNameOfCorruptRecord", CORRUPT).json(path).schema
+    known = {f.name.lower() for f in declared.fields} | {CORRUPT}
+    return T.StructType([*declared.fields, *[f for f in found.fields if f.name.lower() not in known]])
+
+
+def _read_strict(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
+    return spark.read.schema(load_schema(spark, path, declared)).option("mode", "FAILFAST").json(path)
+
 
 def read_raw_activity(spark: SparkSession, path: str) -> DataFrame:
-    """NDJSON activity records (one per activity page), declared schema."""
-    return spark.read.schema(schemas.RAW_ACTIVITY).json(path)
+    """NDJSON activity records (one per activity page)."""
+    return _read_strict(spark, path, schemas.RAW_ACTIVITY)
 
 
 def read_raw_presence(spark: SparkSession, path: str) -> DataFrame:
     """NDJSON presence records with nested groups of leaders/participants."""
-    return spark.read.schema(schemas.RAW_PRESENCE).json(path)
+    return _read_strict(spark, path, schemas.RAW_PRESENCE)
 
 
-def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
-    """A raw table accumulated from appended load batches (Parquet).
+def split_load(spark: SparkSession, path: str, declared: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): the readable records, and the text of lines that are
+    not JSON or hold a value of another type (blank lines are neither)."""
+    schema = T.StructType([*load_schema(spark, path, declared).fields, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    return parsed.where(~bad).select("r.*").drop(CORRUPT), parsed.where(bad).select(F.col("value").alias("line"))
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Fields of all loads of a raw table, from the schemas kept with it (one
+    small row a load; no file footers are read)."""
+    import json
 
-    ``mergeSchema`` lets batches that gained fields be read together; older
-    batches show NULL for the new fields.
-    """
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    fields: dict[str, T.StructField] = {}
+    for r in spark.read.schema("schema string").json(f"{path}/{SCHEMAS}").distinct().collect():
+        for f in T.StructType.fromJson(json.loads(r.schema)).fields:
+            fields.setdefault(f.name.lower(), f)
+    return T.StructType(list(fields.values()))
+
+
+def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
+    """A raw table accumulated from appended load batches (Parquet, one
+    partition a load).  Older batches show NULL for fields that came later."""
+    return spark.read.schema(table_schema(spark, path)).parquet(path)

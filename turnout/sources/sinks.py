@@ -7,6 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .raw import SCHEMAS
+
+LOAD = "load_id"
 
 
 def new_load_stamp() -> tuple[str, dt.datetime]:
@@ -31,11 +36,19 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
+def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Note the fields of a load beside its raw table (one small row)."""
+    row = spark.range(1).select(F.lit(schema.json()).alias("schema"))
+    row.coalesce(1).write.mode("append").json(f"{path}/{SCHEMAS}")
+
+
 def _write_counted(df: DataFrame, path: str, mode: str) -> int:
-    """Write and return the number of rows written, counted by an Observation
-    during the write (no second pass over the data)."""
+    """Write, one partition a load where rows are stamped, and return the
+    number of rows written, counted by an Observation during the write."""
     obs = Observation("rows_written")
-    df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode(mode).parquet(path)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode(mode)
+    (writer.partitionBy(LOAD) if LOAD in df.columns else writer).parquet(path)
+    keep_schema(df.sparkSession, path, df.schema)
     return int(obs.get["row_count"])
 
 
@@ -45,8 +58,7 @@ def replace_table(df: DataFrame, path: str) -> int:
 
 
 def append_load(df: DataFrame, path: str) -> int:
-    """Append one load batch (batches may add fields; read back with
-    mergeSchema); returns the rows written."""
+    """Append one load batch (batches may add fields); returns the rows written."""
     return _write_counted(df, path, "append")
 
 
@@ -55,7 +67,7 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def materialize(df: DataFrame, path: str, sort_within: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, path: str, sort_within: list[str] | None = None, partition_by: str | None = None) -> DataFrame:
     """Write a model as a full-refresh Parquet table and return the table.
 
     Reading the written table back cuts the lineage: later models start from
@@ -63,17 +75,18 @@ def materialize(df: DataFrame, path: str, sort_within: list[str] | None = None)
     upstream models.
     """
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    writer = out.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Wide export as CSV with header, comma-separated.
 
     The export is a folder of part files written in parallel; it is never
-    funnelled through one task.
+    funnelled through one task.  A quote inside a value is doubled.
     """
-    (df.write.mode("overwrite").option("header", True).option("sep", ",")
+    (df.write.mode("overwrite").option("header", True).option("sep", ",").option("escape", '"')
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ssXXX").csv(path))
 
 

@@ -1,7 +1,8 @@
 """Incremental ingestion of landed load batches into the raw tables.
 
 The crawler lands each run as NDJSON files and appends them to the raw
-tables (new fields allowed).  As a Structured Streaming job this is a file
+tables (new fields allowed; a line that is not JSON or does not fit its
+declared types fails the run).  As a Structured Streaming job this is a file
 source over the landing folder and a Parquet file sink with a checkpoint:
 every landed file is appended exactly once, however often the job runs or
 restarts after a failure, and ``trigger(availableNow=True)`` processes what
@@ -13,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..sources.raw import read_raw_table
+from ..sources.raw import load_schema, read_raw_table
+from ..sources.sinks import LOAD, keep_schema
 
 RAW_SCHEMAS = {"activity": schemas.RAW_ACTIVITY, "presence": schemas.RAW_PRESENCE}
 
@@ -22,16 +24,19 @@ def ingest_loads(spark: SparkSession, kind: str, landing_dir: str, table_dir: st
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Append every not-yet-ingested NDJSON file under ``landing_dir`` to the
     raw ``kind`` table at ``table_dir``; returns the (accumulated) table."""
-    reader = spark.readStream.schema(RAW_SCHEMAS[kind])
+    schema = load_schema(spark, landing_dir, RAW_SCHEMAS[kind])
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_dir)
     query = (stream.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint_dir)
              .outputMode("append")
+             .partitionBy(LOAD)
              .trigger(availableNow=True)
              .start(table_dir))
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    keep_schema(spark, table_dir, schema)
     return read_raw_table(spark, table_dir)
