@@ -276,7 +276,7 @@ def q_load_new_field(spark, sf):
     for load, more in (("L1", []), ("L2", [(F.col("scheduleId") * 2).alias("newField")])):
         raw = ad.ev_raw_activity(ev, EV_BUCKET_HOURS, (load,))
         sinks.write_ndjson(raw.select("*", *more), f"{root}/landing/{load}")
-        table = ingest_loads(spark, "activity", f"{root}/landing/{load}", f"{root}/raw_activity", f"{root}/_checkpoint-{load}")
+        table = ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/raw_activity", f"{root}/_checkpoint")
     return table.select(F.col("scheduleId").alias("schedule_id"), "load_id", F.col("newField").alias("new_field"))
 
 
