@@ -19,6 +19,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` evaluated a single time, however often ``use`` names it."""
+    return F.get(F.transform(F.array(c), use), 0)
+
+
+def computed(c: Column) -> Column:
+    """``c`` as a generated column: a later filter on it stays above it, so that
+    it is evaluated once a row, not again for the filter."""
+    return F.explode(F.array(c))
+
+
 def without_comments(c) -> Column:
     return F.regexp_replace(_c(c), r"(?s)<!--.*?-->", "")
 
@@ -34,23 +45,24 @@ def attribute(attrs: Column, name: str) -> Column:
     ``href``; quoted text is skipped over."""
     pattern = (rf"""(?is)^(?:[^"'\s]++|\s++(?!{name}\s*=)|"[^"]*+"|'[^']*+')*+\s++{name}\s*=\s*+"""
                r"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
-    padded = F.concat(F.lit(" "), attrs)
-    value = F.concat(*[F.regexp_extract(padded, pattern, i) for i in (1, 2, 3)])
-    return F.when(padded.rlike(pattern), decode_references(value))
+    return once(F.concat(F.lit(" "), attrs), lambda text: F.when(
+        text.rlike(pattern), decode_references(F.concat(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)]))))
 
 
 def decode_references(c) -> Column:
     """Named (Latin-1) and numeric character references; others stay as they are."""
-    text = _c(c)
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"), F.lit(0)))
     named = F.create_map(*[F.lit(x) for n, ch in NAMED.items() for x in (f"&{n};", ch)])
 
     def char(ref: Column) -> Column:
         body = F.regexp_extract(ref, r"#[xX]?([0-9a-fA-F]+)", 1)
         code = F.when(ref.rlike("^&#[xX]"), F.conv(body, 16, 10)).when(ref.startswith("&#"), body).cast("int")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(ref.startswith("&#").eqNullSafe(False), F.element_at(named, ref))
-    pairs = F.filter(F.transform(found, lambda r: F.struct(r.alias("ref"), char(r).alias("to"))), lambda p: p["to"].isNotNull())
-    # references to "&" last, so that what they make is not decoded again
-    ordered = F.concat(F.filter(pairs, lambda p: p["to"] != "&"), F.filter(pairs, lambda p: p["to"] == "&"))
-    return F.when(F.contains(text, F.lit("&")), F.aggregate(ordered, text, lambda acc, p: F.replace(acc, p["ref"], p["to"]))).otherwise(text)
+        numeric = once(code, lambda n: F.when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+        return F.when(ref.startswith("&#"), numeric).otherwise(F.element_at(named, ref))
+
+    def decoded(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"), F.lit(0)))
+        pairs = F.filter(F.transform(found, lambda r: F.struct(r.alias("ref"), char(r).alias("to"))), lambda p: p["to"].isNotNull())
+        # references to "&" last, so that what they make is not decoded again
+        ordered = once(pairs, lambda all_: F.concat(F.filter(all_, lambda p: p["to"] != "&"), F.filter(all_, lambda p: p["to"] == "&")))
+        return F.aggregate(ordered, text, lambda acc, p: F.replace(acc, p["ref"], p["to"]))
+    return once(_c(c), lambda text: F.when(F.contains(text, F.lit("&")), decoded(text)).otherwise(text))

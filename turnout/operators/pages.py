@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import (activity_edit_url, activity_id_from_url, html_hash, is_match_url, is_team_url,
                          presence_url, short_snippet)
-from ..functions.html import INSIDE, attribute, decode_references, tags, without_comments
+from ..functions.html import INSIDE, attribute, computed, decode_references, once, tags, without_comments
 
 
 def _c(x) -> Column:
@@ -187,20 +187,20 @@ def _literal(text: Column, schema: T.StructType) -> Column:
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     plain = F.from_json(text, full, JSON_OPTIONS)
     eased = F.from_json(F.regexp_replace(F.regexp_replace(text, r",(\s*[}\]])", "$1"), r"(:\s*)undefined\b", "$1null"), full, JSON_OPTIONS)
-    return F.when(plain["_corrupt"].isNull(), plain).otherwise(eased)
+    return once(plain, lambda p: F.when(p["_corrupt"].isNull(), p).otherwise(eased))
 
 
 def presence_scan(pages: DataFrame) -> DataFrame:
     """Per page: the number of head scripts, and of the scripts that assign an
     ``initData`` literal the first that parses, or else the first at all:
     (page_id, url, n_head_scripts, n_candidates, script_index, r)."""
-    scripts = head_scripts()
-    named = F.filter(F.transform(scripts, lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda c: c["s"].rlike(_ASSIGN))
-    pre = pages.select("page_id", "url", F.size(scripts).cast("bigint").alias("n_head_scripts"), named.alias("c"))
+    named = F.filter(F.transform("scripts", lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda c: c["s"].rlike(_ASSIGN))
+    pre = (pages.select("page_id", "url", computed(head_scripts()).alias("scripts"))
+           .select("page_id", "url", F.size("scripts").cast("bigint").alias("n_head_scripts"), computed(named).alias("c")))
     parsed = F.transform("c", lambda c: F.struct(c["i"].alias("i"), _literal(F.regexp_replace(c["s"], _ASSIGN, ""), schemas.PRESENCE_PAYLOAD).alias("r")))
-    pre = pre.select("page_id", "url", "n_head_scripts", F.size("c").alias("n_candidates"), parsed.alias("p"))
-    best = F.coalesce(F.get(F.filter("p", lambda x: x["r"]["_corrupt"].isNull()), 0), F.get("p", 0))
-    return pre.withColumn("_best", best).select("page_id", "url", "n_head_scripts", "n_candidates", F.col("_best.i").alias("script_index"), F.col("_best.r").alias("r"))
+    best = once(parsed, lambda p: F.coalesce(F.get(F.filter(p, lambda x: x["r"]["_corrupt"].isNull()), 0), F.get(p, 0)))
+    return (pre.select("page_id", "url", "n_head_scripts", F.size("c").alias("n_candidates"), computed(best).alias("_best"))
+            .select("page_id", "url", "n_head_scripts", "n_candidates", F.col("_best.i").alias("script_index"), F.col("_best.r").alias("r")))
 
 
 def extract_presence(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -225,8 +225,9 @@ def extract_activity(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     init = F.col("init")
     calls = F.transform(F.slice(F.split(init, _CALL), 2, 10_000_000), lambda t: _literal(t, schemas.ACTIVITY_PAYLOAD))
     names = F.regexp_extract_all(init, F.lit(r"(?s)(?:^|;)\s*([\p{L}_$][\p{L}\p{N}_$.]*)\s*\(\s*(?=\{)"), F.lit(1))
-    scan = (pages.select("page_id", "url", body_init().alias("init"))
-            .select("page_id", "url", "init", F.when(init.rlike(_CALL.replace("(?:^|;)", "^")), calls).alias("calls"), names.alias("names")))
+    found = F.struct(F.when(init.rlike(_CALL.replace("(?:^|;)", "^")), calls).alias("calls"), names.alias("names"))
+    scan = (pages.select("page_id", "url", computed(body_init()).alias("init"))
+            .select("page_id", "url", "init", computed(found).alias("found")).select("page_id", "url", "init", "found.*"))
     bad = F.col("calls").isNull() | F.exists("calls", lambda r: r.isNull() | r["_corrupt"].isNotNull())
     rec = (scan.where(~bad).select("page_id", F.explode(F.arrays_zip(F.col("names").alias("callee"), F.col("calls").alias("r"))).alias("z"))
            .select("page_id", "z.callee", "z.r.*").drop("_corrupt"))

@@ -294,6 +294,11 @@ def q_dq_unique(spark, sf):
     return quality.unique(ev_core(spark, sf, EV_WAREHOUSE).lazy("member"), "full_name")
 
 
+def q_dq_unique_shared(spark, sf):
+    """The same check on a column that repeats."""
+    return quality.unique(ev_core(spark, sf, EV_WAREHOUSE).lazy("attended_activity"), "member_id")
+
+
 def q_dq_accepted_values(spark, sf):
     return quality.accepted_values(ev_core(spark, sf, EV_WAREHOUSE).lazy("activity"), "activity",
                                    ["Training", "Match", "Cup"])
@@ -404,6 +409,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_not_null": q_dq_not_null,
         "dq_not_null_where": q_dq_not_null_where,
         "dq_unique": q_dq_unique,
+        "dq_unique_shared": q_dq_unique_shared,
         "dq_accepted_values": q_dq_accepted_values,
         "dq_unique_combination": q_dq_unique_combination,
         "dq_relationships": q_dq_relationships,
