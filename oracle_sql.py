@@ -681,7 +681,7 @@ def all_sql() -> dict[str, str]:
                               f"WHERE result_type_id IS NOT NULL AND result IS NULL"),
         "dq_unique": (f"WITH {ev_w} SELECT full_name AS unique_field, COUNT(*) AS n_records FROM member "
                       f"WHERE full_name IS NOT NULL GROUP BY full_name HAVING COUNT(*) > 1"),
-        "dq_unique_shared": (f"WITH {ev_w} SELECT member_id AS unique_field, COUNT(*) AS n_records FROM attended_activity "
+        "dq_unique_shared": (f"WITH {ev_w} SELECT member_id AS unique_field, COUNT(*) AS n_records FROM attended "
                              f"WHERE member_id IS NOT NULL GROUP BY member_id HAVING COUNT(*) > 1"),
         "dq_accepted_values": (f"WITH {ev_w} SELECT activity AS value_field, COUNT(*) AS n_records FROM activity "
                                f"GROUP BY activity HAVING activity NOT IN ('Training', 'Match', 'Cup')"),
