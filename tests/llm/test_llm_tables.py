@@ -327,3 +327,24 @@ def test_pipeline(spark, corpus, tmp_path):
             assert {r[0] for r in got} <= {r[0] for r in rows} and all(0 < r[-1] <= 3 * r[-4] for r in got)
         rows = got
     assert key(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == key(rows)
+
+
+def test_substring_repeats_inside_a_document(spark):
+    """A passage that stands twice in one document, and in a document of the same id."""
+    rng = random.Random(21)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    passage, other = prose(60), prose(60)
+    twice = f"{prose(30)} {passage} {prose(30)} {passage} {prose(30)}"
+    rows = [(1, twice), (1, twice), (2, f"{prose(20)} {other} {prose(20)}"), (2, f"{other} {prose(25)}"), (3, prose(80))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substrings.repeats(docs).collect()
+    own = [r for r in found if r.doc_id == 1]
+    assert len(own) == 1 and own[0].first_doc_id == 1 and own[0].n_inside == own[0].n_chunks
+    again = twice.rindex(passage)
+    assert again <= own[0].start and own[0].end <= again + len(passage) and own[0].end - own[0].start > len(passage) / 2
+    across = [r for r in found if r.doc_id == 2]
+    assert len(across) == 1 and (across[0].first_doc_id, across[0].n_inside) == (2, 0)
+    assert {r.doc_id for r in found} == {1, 2} and {r.doc_id for r in substrings.repeats(docs, within=False).collect()} == set()
+    clean = sorted((r.doc_id, r.text) for r in substrings.deduplicate(docs).collect())
+    assert all(t.startswith(twice[:again]) and len(t) < len(twice) - len(passage) / 2 for i, t in clean if i == 1)
+    assert (3, rows[4][1]) in clean

@@ -12,8 +12,8 @@ the last) and 2 * RADIUS + 1 on average.
 A stretch of one short period (shorter than RADIUS) has equal hashes and so no boundary.
 
 Chunks are deduplicated by a 128-bit digest: the first place (smallest doc_id, then
-start) keeps its chunk, all others are repeats; those inside the keeping document
-count only if asked for.  Neighbouring repeats of a document are one span; spans
+start) keeps its chunk, all others are repeats, inside the keeping document as well
+as in others (n_inside tells them apart).  Neighbouring repeats of a document are one span; spans
 shorter than LEAST_BYTES are chance (fixed phrases, stop words) and not
 reported, the rest is returned with the document that keeps the text.
 
@@ -102,10 +102,12 @@ def _chunks(batches):
                 names=["doc_id", "text_id", "start", "length", "d1", "d2"])
 
 
-def repeats(documents: DataFrame, least_bytes: int = LEAST_BYTES, within: bool = False) -> DataFrame:
+def repeats(documents: DataFrame, least_bytes: int = LEAST_BYTES, within: bool = True) -> DataFrame:
     """One row per repeated span: doc_id, text_id, start and end (bytes of the
     UTF-8 text), n_chunks, first_doc_id (the document that keeps the span's first
-    chunk) and n_places (the fewest places that one of its chunks has)."""
+    chunk), n_places (the fewest places that one of its chunks has) and n_inside
+    (how many of its chunks the document itself keeps, at an earlier place).
+    ``within`` False leaves out chunks kept under the same doc_id."""
     prepare(documents.sparkSession)
     docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
     chunks = stored(docs.mapInArrow(_chunks, "doc_id long, text_id long, start int, length int, d1 long, d2 long"), "chunks")
@@ -115,13 +117,14 @@ def repeats(documents: DataFrame, least_bytes: int = LEAST_BYTES, within: bool =
     found = (chunks.join(several, ["d1", "d2"])
              .where((place != F.col("kept")) if within else (F.col("doc_id") != F.col("kept.doc_id")))
              .repartition("doc_id", "text_id")
-             .groupBy("doc_id", "text_id", "start").agg(F.first("length").alias("length"), F.first("n_places").alias("n_places"), F.first("kept.doc_id").alias("first_doc_id")))
+             .groupBy("doc_id", "text_id", "start").agg(F.first("length").alias("length"), F.first("n_places").alias("n_places"), F.first("kept.doc_id").alias("first_doc_id"),
+                  F.first((F.struct("doc_id", "text_id") == F.struct("kept.doc_id", "kept.text_id")).cast("int")).alias("inside")))
     order = Window.partitionBy("doc_id", "text_id").orderBy("start")
     new = F.coalesce((F.lag(F.col("start") + F.col("length")).over(order) != F.col("start")).cast("int"), F.lit(1))
     spans = (found.withColumn("new", new).withColumn("span", F.sum("new").over(order))
              .groupBy("doc_id", "text_id", "span")
              .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.count("*").alias("n_chunks"),
-                  F.min_by("first_doc_id", "start").alias("first_doc_id"), F.min("n_places").alias("n_places")))
+                  F.min_by("first_doc_id", "start").alias("first_doc_id"), F.min("n_places").alias("n_places"), F.sum("inside").alias("n_inside")))
     return spans.where(F.col("end") - F.col("start") >= least_bytes).drop("span")
 
 
@@ -142,4 +145,4 @@ def deduplicate(documents: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return (repeats(table(spark, sf_dir, "documents"))
-            .select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "n_chunks", "first_doc_id", "n_places"))
+            .select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "n_chunks", "first_doc_id", "n_places", "n_inside"))
