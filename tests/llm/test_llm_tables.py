@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -348,3 +349,22 @@ def test_substring_repeats_inside_a_document(spark):
     clean = sorted((r.doc_id, r.text) for r in substrings.deduplicate(docs).collect())
     assert all(t.startswith(twice[:again]) and len(t) < len(twice) - len(passage) / 2 for i, t in clean if i == 1)
     assert (3, rows[4][1]) in clean
+
+
+def test_an_unlearnt_language_is_rejected(spark):
+    """Languages of the same letters, one not learnt, one too rare to calibrate, and odd texts among the labelled."""
+    rng = random.Random(31)
+    words = {x: ["".join(rng.choice("aeioubcdfglmnprst") for _ in range(rng.randint(2, 8))) for _ in range(150)] for x in ("aa", "bb", "cc", "dd")}
+    prose = lambda x, n: " ".join(rng.choice(words[x]) for _ in range(n))
+    rows = [(i, prose("aa" if i % 2 else "bb", rng.randint(20, 200)), "aa" if i % 2 else "bb") for i in range(300)]
+    rows += [(300 + i, "".join(rng.choice("0123456789abcdef") for _ in range(60)), "aa" if i % 2 else "bb") for i in range(16)]  # odd
+    rows += [(400 + i, prose("cc", 60), "bb") for i in range(6)]  # mislabelled
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    share = lambda x, n: np.mean(model.predict([prose(x, n) for _ in range(100)])[3])
+    assert all(share(x, n) > 0.95 for x in ("aa", "bb") for n in (20, 150))
+    assert share("dd", 60) < 0.05 and share("dd", 150) < 0.05
+    # a language without calibrating texts has the limit of all together
+    frame = pd.DataFrame({"lang": "aa", "entropy": [1.0, 1.1, 1.2, 6.0], "n": 500, "other": "bb", "foreign": 3.0})
+    model.calibrate(frame)
+    k = model.names.index("bb")
+    assert np.isfinite(model.limits(np.array([k]), np.array([500]))).all() and model.limits(np.array([k]), np.array([500]))[0] < 3.0

@@ -13,8 +13,14 @@ with the finished log-probabilities of all languages, so most characters need
 one look-up; the others are computed from the languages' own arrays.
 
 The prediction is the language of lowest cross-entropy per character.  It is
-rejected if that is above what labelled documents outside the counted ones reach:
-their highest cross-entropy plus MARGIN, plus an allowance for short texts.
+rejected if that is above the language's limit, learnt from labelled documents
+outside the counted ones: their median under their own language plus WIDE robust
+spreads (median deviations; a spread shrinks with the root of the length down to that
+of LONG symbols), or, where that is more, half way from the median to what the other
+languages' documents reach, each scored as if its own language had not been learnt (the
+lowest but FOREIGN of them).  Odd or mislabelled documents so hardly move it.  A language
+without such documents takes the median and spread of all languages together; with
+none in any language nothing is rejected.
 
 Only text and non-null lang of documents with crc32(doc_id as text) mod 4 <> 2 are
 learnt from: about SAMPLE documents of each language, picked by hash (the
@@ -38,7 +44,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks, mix, prepare, table, text_bytes
 
-ORDER, SAMPLE, MARGIN, SHORT, SHARP = 4, 400, 1.0, 8.0, 40
+ORDER, SAMPLE, SHARP = 4, 400, 40
+WIDE, LONG, FOREIGN, FEW = 4.0, 256, 0.05, 8  # the limits; below FEW texts the spread is that of all languages
 BLOCK = 1 << 18  # bytes scored at a time: every symbol takes a few rows of doubles
 START = 1  # a control character; texts have a space in its place
 _cache: dict = {}
@@ -167,7 +174,9 @@ class Model:
 
     def __init__(self, counts: pd.DataFrame):
         self.names = sorted(counts["lang"].unique())
-        self.limit = np.full(len(self.names), np.inf)
+        self.middle = np.full(len(self.names), np.inf)  # no limit before calibrate()
+        self.spread = np.ones(len(self.names))
+        self.half = np.full(len(self.names), np.inf)
         code = {g: [ord(c) for c in g] for g in counts["gram"].unique()}
         rows = np.array([code[g] for g in counts["gram"]], np.uint32).reshape(-1, ORDER)
         alphabet = len(np.unique(rows)) if len(rows) else 1
@@ -198,11 +207,24 @@ class Model:
         return -(sums[cut[1:]] - sums[cut[:-1]]) / np.maximum(n, 1)[:, None], n, has
 
     def calibrate(self, frame: pd.DataFrame) -> None:
-        """frame: lang, entropy of labelled texts under their own language."""
+        """frame: lang, entropy, n of labelled texts under their own language, and
+        other, foreign: the best of the other languages and its entropy."""
+        if not len(frame):
+            return
+        middles = frame.groupby("lang")["entropy"].median()
+        away = (frame["entropy"] - frame["lang"].map(middles)).abs() / np.sqrt(1 / LONG + 1 / np.maximum(frame["n"], 1))
+        # the surprise of one symbol spreads by about a nat
+        pooled, wide = frame["entropy"].median(), max(1.0, 1.4826 * away.median())
         for k, x in enumerate(self.names):
-            own = frame.loc[frame["lang"] == x, "entropy"]
-            if len(own):
-                self.limit[k] = own.max() + MARGIN
+            own = frame["lang"] == x
+            self.middle[k] = middles.get(x, pooled)
+            self.spread[k] = max(1.0, 1.4826 * away[own].median()) if own.sum() >= FEW else wide
+            foreign = frame.loc[frame["other"] == x, "foreign"]
+            self.half[k] = (self.middle[k] + foreign.quantile(FOREIGN)) / 2 if len(foreign) else -np.inf
+
+    def limits(self, k: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Highest accepted cross-entropy of texts of n symbols in language k."""
+        return np.maximum(self.middle[k] + WIDE * self.spread[k] * np.sqrt(1 / LONG + 1 / np.maximum(n, 1)), self.half[k])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language, score, cross-entropy and acceptance of each text."""
@@ -213,7 +235,7 @@ class Model:
         best = entropy.argmin(axis=1)
         low = entropy[np.arange(len(best)), best]
         score = 1.0 / np.exp(-(entropy - low[:, None]) * np.minimum(n, SHARP)[:, None]).sum(axis=1)
-        taken = has & (low <= self.limit[best] + SHORT / np.sqrt(np.maximum(n, 1)))
+        taken = has & (low <= self.limits(best, n))
         return [self.names[k] if h else "und" for k, h in zip(best, has)], np.where(has, score, 0.0), np.where(has, low, 0.0), taken
 
 
@@ -255,12 +277,18 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
         m = shared.value
         for b in batches:
             langs = b.column("lang").to_pylist()
-            entropy, _, has = m.entropies(b.column("text").to_pylist())
-            known = [i for i, x in enumerate(langs) if x in m.names and has[i]]
-            yield pa.RecordBatch.from_arrays([pa.array([langs[i] for i in known], pa.string()), pa.array([entropy[i, m.names.index(langs[i])] for i in known], pa.float64())],
-                                             names=["lang", "entropy"])
+            entropy, n, has = m.entropies(b.column("text").to_pylist())
+            known = np.array([i for i, x in enumerate(langs) if x in m.names and has[i]], np.int64)
+            k = np.array([m.names.index(langs[i]) for i in known], np.int64)
+            mine, rest = entropy[known, k], entropy[known]
+            rest[np.arange(len(known)), k] = np.inf  # as if the text's language had not been learnt
+            best, several = rest.argmin(axis=1), len(m.names) > 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([langs[i] for i in known], pa.string()), pa.array(mine, pa.float64()), pa.array(n[known], pa.int64()),
+                 pa.array([m.names[j] if several else None for j in best], pa.string()), pa.array(rest[np.arange(len(known)), best], pa.float64())],
+                names=["lang", "entropy", "n", "other", "foreign"])
     if model.names:
-        model.calibrate(picked.where(part == 0).select("lang", "text").mapInArrow(own, "lang string, entropy double").toPandas())
+        model.calibrate(picked.where(part == 0).select("lang", "text").mapInArrow(own, "lang string, entropy double, n long, other string, foreign double").toPandas())
     return model
 
 
