@@ -211,3 +211,45 @@ def test_bitmap_passes_what_it_holds():
         np.bitwise_or.at(bits, (p >> np.uint64(6)).astype(int), np.uint64(1) << (p & np.uint64(63)))
     assert len(bitmap.passes(bits, 16, h)) == 1000
     assert len(bitmap.passes(bits, 16, rng.integers(0, 2**63, 1000).astype(np.uint64))) < 50
+
+
+# ------------------------------------------------------------------ whole license texts
+
+GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the "
+         "Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+         "Software, and to permit persons to whom the Software is furnished to do so")
+NOTICE = ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+NO_WARRANTY = (" THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+               "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+               "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+X_NAME = (" Except as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to promote the sale, use or other dealings in this "
+          "Software without prior written authorization from the X Consortium.")
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of "
+       "source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
+       "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+ADVERTISING = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software. "
+NAME = ("{}. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific "
+        "prior written permission. ")
+BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES "
+           "OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+           "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+           "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+           "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+ISC_NOTICE = ", provided that the above copyright notice and this permission notice appear in all copies"
+ISC_END = (". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+           "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+           "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+
+
+@pytest.mark.parametrize("text, labels", [
+    (GRANT + NOTICE + NO_WARRANTY, {"MIT"}), (GRANT + NO_WARRANTY, set()), (GRANT + NOTICE, set()),
+    (GRANT + NOTICE + " The Software shall be used for Good, not Evil." + NO_WARRANTY, set()), (GRANT + NOTICE + NO_WARRANTY + X_NAME, {"X11"}),
+    (BSD + NAME.format(3) + BSD_END, {"BSD-3-Clause"}), (BSD + BSD_END, set()), (BSD + ADVERTISING + NAME.format(4) + BSD_END, set()),
+    (ISC + ISC_NOTICE + ISC_END, {"ISC"}), (ISC + ISC_END, set()), (ISC.replace("and/or", "and") + ISC_NOTICE + ISC_END, {"ISC"}),
+], ids=["MIT", "MIT-0", "MIT without disclaimer", "JSON", "X11", "BSD-3", "BSD-2", "BSD-4", "ISC", "0BSD", "ISC with and"])
+def test_license_texts_and_their_relatives(text, labels):
+    code = licenses.codes("Copyright 2020 A. " + text + " More words.").tolist()
+    machines = licenses.automata()
+    found = licenses.accepted(code, {k: list(range(len(code))) for k in range(len(machines))}, machines)
+    assert {m[0] for m in found} == labels

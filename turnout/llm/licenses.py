@@ -4,7 +4,9 @@ A template is a row of words with ``[...]`` around words that may be missing and
 ``{a-b}`` for a replaceable region of a to b arbitrary words.  It is compiled into
 an automaton over words; a text is accepted where its words run through the
 automaton from start to end, so all mandatory wording must be there exactly and
-in order.  Every template has a *key*: two mandatory words that stand together.
+in order.  License texts are whole (conditions and disclaimer), so a relative that lacks,
+adds or alters a clause is not accepted; short notices have templates of their own.
+Every template has a *key*: two mandatory words that stand together.
 Only documents in which a key occurs are run, from the places around it.
 
 Base labels come from fixed phrases, at every place where their words stand
@@ -29,14 +31,27 @@ from .common import blocks, prepare, table, text_bytes, words
 # Phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
+# Fixed value: the MIT text, which others continue.
+MIT_TEXT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this {1-8} and associated documentation files "
+    "the {1-3} to deal in the {1-3} without restriction including without limitation the rights to use copy modify merge publish "
+    "distribute sublicense and or sell copies of the {1-3} and to permit persons to whom the {1-3} is furnished to do so subject to the following conditions "
+    "the above copyright notice and this permission notice [including the next paragraph] shall be included in all copies or substantial portions of the {1-3} "
+    "the {1-3} is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability "
+    "fitness for a particular purpose and noninfringement in no event shall the {1-12} be liable for any claim damages or other liability "
+    "whether in an action of contract tort or otherwise arising from out of or in connection with the {1-3} or the use or other dealings in the {1-3}"
+)
+
 # Wording of license notices and texts.  label -> templates
 TEMPLATES = {
     "MIT": [
         "[this {1-6} is] released under the mit license",
         "[this {1-6} is] licensed under the [terms of the] mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this {1-8} and associated documentation files "
-        "the {1-3} to deal in the {1-3} without restriction including without limitation the rights to use copy modify merge publish "
-        "distribute sublicense and or sell copies of the {1-3} and to permit persons to whom the {1-3} is furnished to do so",
+        MIT_TEXT,
+    ],
+    "X11": [
+        MIT_TEXT + " except as contained in this notice the name [s] of {1-20} shall not be used in advertising or otherwise to promote the sale use "
+        "or other dealings in this {1-3} without prior written authorization",
     ],
     "Apache-2.0": [
         "licensed under the apache license version 2 0 [the license] [you may not use this file except in compliance with the license]",
@@ -50,10 +65,22 @@ TEMPLATES = {
         "licensed under a creative commons attribution noncommercial 4 0 international license",
     ],
     "BSD-3-Clause": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "redistribution and use [of this software] in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "[{1-1}] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "[{1-1}] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution "
+        "[{1-1}] neither the name of {1-20} nor the names of {1-8} may be used to endorse or promote products derived from this software without specific prior written permission "
+        "this software is provided by {1-20} as is and any express or implied warranties including but not limited to the implied warranties of merchantability "
+        "and fitness for a particular purpose are disclaimed in no event shall {1-20} be liable for any direct indirect incidental special exemplary or consequential damages "
+        "including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability "
+        "whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
     ],
     "ISC": [
-        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+        "permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and {1-20} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness "
+        "in no event shall {1-20} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
     ],
 }
 
@@ -157,7 +184,8 @@ def automata() -> list[Automaton]:
 
 def accepted(code: list[int], anchors: dict[int, list[int]], machines: list[Automaton]) -> list[tuple[str, int, int]]:
     """(label, first word, end word) of the templates accepted around their
-    key's places; of one template, those that do not overlap, leftmost first."""
+    key's places; of one template, those that do not overlap, leftmost first.  A
+    match inside a longer one of another label (MIT in X11) is left out."""
     out = []
     for k, m in enumerate(machines):
         done = 0
@@ -168,7 +196,7 @@ def accepted(code: list[int], anchors: dict[int, list[int]], machines: list[Auto
                     out.append((m.label, start, end))
                     done = end
                     break
-    return out
+    return [x for x in out if not any(y[0] != x[0] and y[1] <= x[1] and x[2] <= y[2] and y[2] - y[1] > x[2] - x[1] for y in out)]
 
 
 def scan(documents: DataFrame) -> DataFrame:
