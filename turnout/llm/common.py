@@ -132,12 +132,13 @@ class Words:
         return mix(out[at]), at
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, belongs: np.ndarray = IS_WORD) -> Words:
+    """Maximal runs of the bytes that ``belongs`` marks."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
         return Words(z, z, np.zeros(len(offsets), np.int64), np.zeros(0, np.uint64))
-    inside = IS_WORD[data]
+    inside = belongs[data]
     edge = offsets[offsets < n]
     before = np.empty(n, bool)
     before[0] = False

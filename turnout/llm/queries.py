@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embeddings, jaccard, langid, licenses, mixing, pii, substrings, tokens, warc
+from . import centroids, decontaminate, embeddings, jaccard, langid, licenses, logbilinear, mixing, pii, prefixtrie, substrings, tokens, warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_source_mixing": mixing.query,
     "op9_language_id": langid.query,
     "op10_warc_zstd": warc.query,
+    "op11_centroid_clustering": centroids.query,
+    "op12_lm_scoring": logbilinear.query,
+    "op13_prefix_trie": prefixtrie.query,
 }
 SQL = {
     "op1_ngram_jaccard_join": jaccard.SQL,
@@ -22,6 +25,8 @@ SQL = {
     "op7_benchmark_decontamination": decontaminate.SQL,
     "op8_source_mixing": mixing.SQL,
     "op10_warc_zstd": warc.SQL,
+    "op11_centroid_clustering": centroids.SQL,
+    "op13_prefix_trie": prefixtrie.SQL,
 }
 
 
