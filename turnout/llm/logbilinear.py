@@ -25,7 +25,7 @@ outside the vocabulary, so the probabilities of all known tokens and one unknown
 The same table read in the same splits gives the same model; other splits average other
 parts.  Null and empty texts consist of their end.  A null doc_id counts as an empty one (it
 trains, held_out is false).  Repeated rows are documents of their own.  Very long texts
-are whole: memory is some fifty bytes per byte of the longest one.  An empty table gives no rows; without
+are whole: memory is some hundred bytes per byte of the longest one.  An empty table gives no rows; without
 training documents every class is equally likely.  Equally frequent tokens enter the tables by
 digest.  Extra columns are ignored.
 """
@@ -40,8 +40,9 @@ from pyspark.sql import functions as F
 from .common import BYTE_CODE, LOWER, blocks, list_column, mix, powers, prepare, stored, table, text_bytes, words
 
 VOCABULARY, WIDTH, CONTEXT, HEAVY = 1024, 16, 2, 1 << 18
-ROUNDS, MINIBATCH, NOISE, RATE = 2, 512, 64, 0.2
-BLOCK = 4 << 20
+ROUNDS, MINIBATCH, NOISE, RATE = 2, 1024, 32, 0.25
+#: bytes of text, and tokens, that are worked on at once
+BLOCK, TOKENS = 2 << 20, 1 << 18
 IS_TOKEN = np.ones(256, bool)
 IS_TOKEN[9:14] = IS_TOKEN[32] = False
 #: digest of the end of a text: no word has it but by a 96-bit collision
@@ -249,10 +250,13 @@ class Scorer:
         return (self.query(ctx) * m.t[target]).sum(axis=1, dtype=np.float64) + m.b[target] - self.known[name]
 
 
-def _ids(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
-    raw = np.frombuffer(col.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-    return raw.view(np.int16).astype(np.int64), (offsets - offsets[0]) // 2
+def _ids(col: pa.Array):
+    """(classes, first one of each text) of blocks of whole texts; every text has its end."""
+    if len(col):
+        offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+        raw = np.frombuffer(col.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.int16)
+        for _, _, part, first in blocks(raw, (offsets - offsets[0]) // 2, TOKENS):
+            yield part.astype(np.int64), first
 
 
 def _learn(state):
@@ -263,8 +267,7 @@ def _learn(state):
 
         def stream():
             for b in batches:
-                if b.num_rows:
-                    ids, first = _ids(b.column("ids"))
+                for ids, first in _ids(b.column("ids")):
                     ctx = contexts(ids, first, k)
                     mixed = np.random.default_rng(len(ids)).permutation(len(ids))
                     yield ctx[mixed], ids[mixed]
@@ -297,13 +300,10 @@ def _score(state):
         flat, k = state.value
         scorer = Scorer(Model.of(flat, k))
         for b in batches:
-            if not b.num_rows:
-                continue
-            ids, first = _ids(b.column("ids"))
-            value = scorer(contexts(ids, first, k), ids) / np.log(10)
-            total = np.add.reduceat(value, first[:-1])  # every text has its end
+            parts = [np.add.reduceat(scorer(contexts(ids, first, k), ids), first[:-1]) for ids, first in _ids(b.column("ids"))]
             names = [x for x in b.schema.names if x != "ids"]
-            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), pa.array(total)], names=[*names, "model"])
+            if parts:
+                yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), pa.array(np.concatenate(parts) / np.log(10))], names=[*names, "model"])
     return run
 
 
