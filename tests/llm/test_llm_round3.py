@@ -161,7 +161,7 @@ def test_scores_like_brute_force(spark, corpus, monkeypatch, vocabulary, heavy):
         classes[t] = int(lex.classes[at]) if at >= 0 else other
     outside = [t for t in c if classes[t] == other]
     n_out, v_out = sum(c[t] for t in outside), len(outside)
-    assert other + 1 == min(vocabulary, types + 1)
+    assert other + 1 == min(vocabulary, types + 1) and len(lex.d1) <= heavy
     r, t_, b, cc = (x.astype(np.float64) for x in (model.r, model.t, model.b, model.c))
     tables = {}
 
@@ -197,12 +197,12 @@ def test_scores_like_brute_force(spark, corpus, monkeypatch, vocabulary, heavy):
 def test_the_model_learns_its_context(spark, corpus):
     """Held-out texts are more probable than by their tokens' frequencies: a
     context tells the language, which divides the choice by three."""
-    rows = [(i, t) for i, t in corpus if i is not None and i < 600] * 4
+    rows = [(i, t) for i, t in corpus if i is not None and i < 600] * 24
     df = spark.createDataFrame([(i, t, "en", "x", 1, 2, "z") for i, t in rows], DOCS).coalesce(2)
     held = [r for r in logbilinear.score(df).collect() if r.held_out]
     n = sum(r.n_tokens for r in held)
     gain = (sum(r.score for r in held) - sum(r.base_score for r in held)) / n
-    assert len(held) > 200 and gain > 0.3  # log10(3) = 0.48
+    assert len(held) > 200 and gain > 0.25  # log10(3) = 0.48
 
 
 def test_scores_of_empty_tables(spark):

@@ -5,7 +5,7 @@ one end.  Every training token is counted in Spark; tokens are told apart by 96-
 digests, so a token of any length has a fixed width.
 
 Base score: add-one unigrams over all training tokens.  The HEAVY most frequent
-tokens (a bounded table, sent to every task) are scored where the text is read, so no hot token is
+tokens (a bounded table of 6 MB, sent to every task) are scored where the text is read, so no hot token is
 shuffled; all others are joined with their counts by digest.
 
 Model: of the VOCABULARY most frequent tokens (end among them) and one class for
@@ -26,8 +26,8 @@ The same table read in the same splits gives the same model; other splits averag
 parts.  Null and empty texts consist of their end.  A null doc_id counts as an empty one (it
 trains, held_out is false).  Repeated rows are documents of their own.  Very long texts
 are whole: memory is some hundred bytes per byte of the longest one.  An empty table gives no rows; without
-training documents every class is equally likely.  Equally frequent tokens enter the tables by
-digest.  Extra columns are ignored.
+training documents every class is equally likely.  Of equally frequent tokens those with the smaller digests enter
+the tables.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ class Lexicon:
     end, ``len(counts) - 1`` any token outside the vocabulary; one more stands before a text's first token."""
 
     def __init__(self, d1: np.ndarray, d2: np.ndarray, count: np.ndarray, total: int, types: int, vocabulary: int):
-        """Arrays by falling frequency (ties settled); ``total`` and ``types`` of all training tokens."""
+        """Arrays by falling frequency; ``total`` and ``types`` of all training tokens."""
         d1 = d1.astype(np.int64).view(np.uint64)
         end = (d1 == END[0]) & (d2 == END[1])
         words_ = np.flatnonzero(~end)[:max(vocabulary - 2, 0)]
@@ -307,6 +307,22 @@ def _score(state):
     return run
 
 
+def frequent(counts: DataFrame, most: int) -> pa.Table:
+    """At most about ``most`` of the most frequent tokens, by falling frequency: all
+    of the highest classes of frequency (1/32 of a power of two wide) that fit, and of the
+    next class those with the smallest digests."""
+    classed = counts.withColumn("level", F.floor(F.log2("c") * 32).cast("int"))
+    levels = sorted(classed.groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True)  # some 2,000 at most
+    chosen = classed
+    for r in levels:
+        if r.n > most:
+            cut = int(-(1 << 63) + 0.98 * most / r.n * (1 << 64))
+            chosen = classed.where((F.col("level") > r.level) | ((F.col("level") == r.level) & (F.col("d1") < cut)))
+            break
+        most -= r.n
+    return chosen.select("d1", "d2", "c").toArrow().sort_by([("c", "descending"), ("d1", "ascending"), ("d2", "ascending")])
+
+
 def score(documents: DataFrame, vocabulary: int = VOCABULARY, heavy: int = HEAVY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = documents.sparkSession
@@ -318,8 +334,8 @@ def score(documents: DataFrame, vocabulary: int = VOCABULARY, heavy: int = HEAVY
     parts = docs.where("NOT held_out").select("text").mapInArrow(_count, "d1 long, d2 int, c long")
     counts = stored(parts.groupBy("d1", "d2").agg(F.sum("c").alias("c")), "counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.col("c").desc(), "d1", "d2").limit(heavy).toPandas()
-    lex = Lexicon(top["d1"].to_numpy(np.int64), top["d2"].to_numpy(np.int32), top["c"].to_numpy(np.int64), total.n, total.v, vocabulary)
+    top = frequent(counts, heavy)
+    lex = Lexicon(*(top.column(x).to_numpy() for x in ("d1", "d2", "c")), total.n, total.v, vocabulary)
     shared = sc.broadcast(lex)
     kind = dict(documents.dtypes)["doc_id"]
     encoded = stored(docs.withColumn("key", F.monotonically_increasing_id()).select("key", "doc_id", "held_out", "text").mapInArrow(
