@@ -94,20 +94,25 @@ def paths(rows: DataFrame, height: int) -> DataFrame:
 
 def _joined(batches):
     """Pieces of the ascending ids of each node, from sorted rows."""
-    key, ids = None, []
+    key, ids, out, held = None, [], [], 0
 
-    def piece():
-        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int64()), pa.array([key[2]], pa.int64()), pa.array([ids[0]], pa.int64()),
-                                           pa.array([",".join(map(str, ids))])], names=[*KEY, "first", "ids"])
+    def batch():
+        return pa.RecordBatch.from_arrays([*(pa.array([o[i] for o in out], pa.int64()) for i in range(4)), pa.array([o[4] for o in out])], names=[*KEY, "first", "ids"])
     for b in batches:
         for d, p1, p2, c in zip(*(b.column(x).to_pylist() for x in (*KEY, "conv_id"))):
             if (d, p1, p2) != key or len(ids) == PIECE:
                 if ids:
-                    yield piece()
+                    out.append((*key, ids[0], ",".join(map(str, ids))))
+                    held += len(ids)
+                if held >= PIECE:
+                    yield batch()
+                    out, held = [], 0
                 key, ids = (d, p1, p2), []
             ids.append(c)
     if ids:
-        yield piece()
+        out.append((*key, ids[0], ",".join(map(str, ids))))
+    if out:
+        yield batch()
 
 
 def _hashed(batches):
