@@ -282,18 +282,20 @@ eligible AS (
 
 
 def ordinals_sql(variant: str) -> str:
-    """Places in start order: one more than the earlier attendances of the same
-    member on the day, and in the week."""
+    """Places in start order: the attendances of the same member that week which
+    do not start later, counted by a join, and those of them on the same day."""
     week = "date_trunc('week', day)" if variant == "local" else "date_trunc('week', day + 1) - INTERVAL 1 DAY"
     return eligible_sql(variant) + f""",
-held AS (SELECT aged.*, leaders_attended, CAST({week} AS DATE) AS week FROM aged JOIN eligible USING (activity_id)),
+held AS (
+  SELECT aged.*, leaders_attended, CAST({week} AS DATE) AS week, COALESCE(epoch_us(start_at), 9223372036854775807) AS moment
+  FROM aged JOIN eligible USING (activity_id)
+),
 ordinals AS (
-  SELECT activity_id, member_id, kind AS member_type, start_at, end_at, week, age AS member_age,
-    COUNT(*) OVER (in_day ROWS UNBOUNDED PRECEDING) AS acc_daily_activities,
-    COUNT(*) OVER (in_week ROWS UNBOUNDED PRECEDING) AS acc_weekly_activities, leaders_attended
-  FROM held
-  WINDOW in_day AS (PARTITION BY member_id, day ORDER BY epoch_us(start_at), activity_id),
-    in_week AS (PARTITION BY member_id, week ORDER BY epoch_us(start_at), activity_id)
+  SELECT h.activity_id, h.member_id, h.kind AS member_type, h.start_at, h.end_at, h.week, h.age AS member_age,
+    COUNT(*) FILTER (e.day IS NOT DISTINCT FROM h.day) AS acc_daily_activities, COUNT(*) AS acc_weekly_activities, h.leaders_attended
+  FROM held h JOIN held e ON e.member_id IS NOT DISTINCT FROM h.member_id AND e.week IS NOT DISTINCT FROM h.week
+    AND (e.moment < h.moment OR e.moment = h.moment AND e.activity_id <= h.activity_id)
+  GROUP BY ALL
 )"""
 
 
@@ -368,27 +370,32 @@ status AS (
 )"""
 
 
+WEEKS = (4, 12, 24)
+
+
 def participation_ctes(as_of: dt.date) -> str:
+    """One row per member and window, by a range join with the windows; the
+    columns are made from them last.  Rates are rounded in whole numbers."""
     now = f"TIMESTAMPTZ '{as_of.isoformat()} 00:00:00+00'"
-    counts = lambda p: ", ".join(
-        f"COUNT(*) FILTER (WHERE activity_date >= {_d(as_of)} - {7 * w}) AS {p}_{w}w" for w in (4, 12, 24))
-    rates = ", ".join(
-        f"COALESCE(t.trainings_{w}w, 0) AS trainings_{w}w, "
-        f"ROUND(CASE WHEN av.available_{w}w = 0 THEN NULL ELSE COALESCE(t.trainings_{w}w, 0) / av.available_{w}w END * 100, 1) AS rate_{w}w"
-        for w in (4, 12, 24))
+
+    def wide(value: str, name: str) -> list[str]:
+        return [f"MAX({value}) FILTER (weeks = {w}) AS {name}_{w}w" for w in WEEKS]
     return f"""
-trainings AS (
-  SELECT activity_id, {_day('start_at', 'UTC')} AS activity_date FROM activity
-  WHERE activity_type_id = 1 AND start_at < {now}
+spans(weeks, since) AS (VALUES {_values([(w, _d(as_of - dt.timedelta(weeks=w))) for w in WEEKS])}),
+held AS (
+  SELECT weeks, activity_id FROM spans LEFT JOIN activity
+    ON activity_type_id = 1 AND start_at < {now} AND {_day('start_at', 'UTC')} >= since
 ),
-available AS (SELECT {counts('available')} FROM trainings),
-attended_tr AS (
-  SELECT a.member_id, {counts('trainings')} FROM attended a JOIN trainings USING (activity_id) GROUP BY a.member_id
+possible AS (SELECT weeks, COUNT(activity_id) AS n FROM held GROUP BY weeks),
+available AS (SELECT {', '.join(wide('n', 'available'))} FROM possible),
+per_span AS (
+  SELECT member_id, weeks, COUNT(*) AS went FROM attended JOIN held USING (activity_id) GROUP BY ALL
 ),
 participation AS (
-  SELECT m.member_id, m.full_name, m.member_type, {rates}
-  FROM member m LEFT JOIN attended_tr t USING (member_id) CROSS JOIN available av
-  WHERE m.member_type = 'Player'
+  SELECT member_id, full_name, member_type, {', '.join(wide('COALESCE(went, 0)', 'trainings'))},
+    {', '.join(wide('CASE WHEN n > 0 THEN ((2000 * COALESCE(went, 0) + n) // (2 * n)) / 10 END', 'rate'))}
+  FROM (SELECT * FROM member WHERE member_type = 'Player') JOIN possible ON TRUE LEFT JOIN per_span USING (member_id, weeks)
+  GROUP BY ALL
 )"""
 
 
