@@ -1,10 +1,10 @@
 """Page extraction: links, team filter, activity ids and URLs, page evidence,
 authentication, and the presence/activity payloads embedded in pages.
 
-Structure is read JVM-side with regular expressions over the HTML text
-(comments blanked first; tag paths are parameters).  Payloads are JavaScript
-object literals: Spark's JSON reader takes the literal at the start of a text
-and ignores what follows, with unquoted keys and single quotes allowed.  One
+Structure is read JVM-side: tags and scripts are cut out by regular expressions that
+skip comments and quoted text, nesting is a fold over the tags.  Payloads are JavaScript
+object literals, written as JSON from their tokens (functions/script.py) and
+read by Spark's JSON reader, which ignores what follows the literal.  One
 step runs as an Arrow-batched function: resolving relative URLs (RFC 3986).
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import (activity_edit_url, activity_id_from_url, html_hash, is_match_url, is_team_url,
                          presence_url, short_snippet)
-from ..functions.html import INSIDE, attribute, computed, decode_references, once, tags, without_comments
+from ..functions.html import INSIDE, attribute, children, computed, decode_references, head_scripts, once, tags, without_comments
+from ..functions.script import assignments, calls, literal, tokens
 
 
 def _c(x) -> Column:
@@ -32,11 +33,10 @@ def _strip(c: Column) -> Column:
 # ------------------------------------------------------------------ links
 
 def extract_links(pages: DataFrame, parent_tag: str = "td", link_class: str | None = "invisible-link") -> DataFrame:
-    """Hrefs of the ``<a>`` elements of every ``parent_tag`` element (optionally
+    """Hrefs of the ``<a>`` elements directly inside a ``parent_tag`` element (optionally
     with exactly this class attribute), in document order, duplicates kept:
     (page_id, url, pos, href).  A page without such links yields no rows."""
-    cells = F.regexp_extract_all(without_comments("html"), F.lit(rf"(?is)<{parent_tag}(?=[\s>])[^>]*+>(.*?)(?=<{parent_tag}[\s>]|</{parent_tag}\s*>|$(?![\s\S]))"), F.lit(1))
-    anchors = F.flatten(F.transform(cells, lambda c: tags(c, "a")))
+    anchors = children("html", parent_tag, "a")
     found = F.transform(anchors, lambda a: F.struct(attribute(a, "href").alias("href"), attribute(a, "class").alias("cls")))
     kept = F.filter(found, lambda x: x["href"].isNotNull() & (F.lit(True) if link_class is None else x["cls"].eqNullSafe(F.lit(link_class))))
     return pages.select("page_id", "url", F.posexplode(F.transform(kept, lambda x: x["href"])).alias("pos", "href"))
@@ -165,40 +165,27 @@ def require_accepted(pages: DataFrame, require_login: Column | bool = True) -> D
 
 # ------------------------------------------------------------------ payloads
 
-JSON_OPTIONS = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
-                "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-_ASSIGN = r"(?s)^.*?(?<![\w$.])(?:window\s*\.\s*)?initData\s*=\s*(?=[{\[])"
-_CALL = r"(?s)(?:^|;)\s*[\p{L}_$][\p{L}\p{N}_$.]*\s*\(\s*(?=\{)"
-
-
-def head_scripts(html="html") -> Column:
-    """Non-empty inline script texts inside the document head, in order."""
-    text = _c(html)
-    head = F.regexp_extract(text, r"(?is)^(.*?)(?:</head>|<body\b)", 1)
-    head = F.when(text.rlike(r"(?is)</head>|<body\b"), head).otherwise(text)
-    inline = F.regexp_extract_all(head, F.lit(rf"(?is)<script(?=[\s>]){INSIDE}>(.*?)</script>"), F.lit(2))
-    return F.filter(inline, lambda s: s != "")
-
-
+JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 def _literal(text: Column, schema: T.StructType) -> Column:
-    """The object literal at the start of a text, ``_corrupt`` set when it does
-    not parse or does not fit; a second reading allows trailing commas and
-    ``undefined``."""
-    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    plain = F.from_json(text, full, JSON_OPTIONS)
-    eased = F.from_json(F.regexp_replace(F.regexp_replace(text, r",(\s*[}\]])", "$1"), r"(:\s*)undefined\b", "$1null"), full, JSON_OPTIONS)
-    return once(plain, lambda p: F.when(p["_corrupt"].isNull(), p).otherwise(eased))
+    """The object literal at the start of a JSON text, ``_corrupt`` set when it does
+    not parse or does not fit."""
+    return F.from_json(text, T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())]), JSON_OPTIONS)
 
 
 def presence_scan(pages: DataFrame) -> DataFrame:
     """Per page: the number of head scripts, and of the scripts that assign an
-    ``initData`` literal the first that parses, or else the first at all:
+    ``initData`` literal the first that parses, or else the first at all (an assignment
+    inside brackets is none that can be read):
     (page_id, url, n_head_scripts, n_candidates, script_index, r)."""
-    named = F.filter(F.transform("scripts", lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda c: c["s"].rlike(_ASSIGN))
-    pre = (pages.select("page_id", "url", computed(head_scripts()).alias("scripts"))
-           .select("page_id", "url", F.size("scripts").cast("bigint").alias("n_head_scripts"), computed(named).alias("c")))
-    parsed = F.transform("c", lambda c: F.struct(c["i"].alias("i"), _literal(F.regexp_replace(c["s"], _ASSIGN, ""), schemas.PRESENCE_PAYLOAD).alias("r")))
-    best = once(parsed, lambda p: F.coalesce(F.get(F.filter(p, lambda x: x["r"]["_corrupt"].isNull()), 0), F.get(p, 0)))
+    def candidate(script: Column, i: Column) -> Column:
+        return once(tokens(script), lambda ts: once(assignments(ts, "initData"), lambda a: F.struct(
+            i.alias("i"), a["any"].isNotNull().alias("named"), F.when(a["top"].isNull(), "").otherwise(literal(ts, a["top"])).alias("s"))))
+    # a script without the name is not cut into tokens
+    named = F.transform("scripts", lambda s, i: F.when(F.contains(s, F.lit("initData")), candidate(s, i)))
+    pre = (pages.select("page_id", "url", computed(head_scripts("html")).alias("scripts"))
+           .select("page_id", "url", F.size("scripts").cast("bigint").alias("n_head_scripts"), computed(F.filter(named, lambda c: c["named"])).alias("c")))
+    parsed = F.transform("c", lambda c: F.struct(c["i"].alias("i"), F.when(c["s"] != "", _literal(c["s"], schemas.PRESENCE_PAYLOAD)).alias("r")))
+    best = once(parsed, lambda p: F.coalesce(F.get(F.filter(p, lambda x: x["r"].isNotNull() & x["r"]["_corrupt"].isNull()), 0), F.get(p, 0)))
     return (pre.select("page_id", "url", "n_head_scripts", F.size("c").alias("n_candidates"), computed(best).alias("_best"))
             .select("page_id", "url", "n_head_scripts", "n_candidates", F.col("_best.i").alias("script_index"), F.col("_best.r").alias("r")))
 
@@ -223,13 +210,13 @@ def extract_activity(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``data-ng-init`` (its first argument), and pages lacking it or with a call
     that is not readable (all calls of such a page are refused)."""
     init = F.col("init")
-    calls = F.transform(F.slice(F.split(init, _CALL), 2, 10_000_000), lambda t: _literal(t, schemas.ACTIVITY_PAYLOAD))
-    names = F.regexp_extract_all(init, F.lit(r"(?s)(?:^|;)\s*([\p{L}_$][\p{L}\p{N}_$.]*)\s*\(\s*(?=\{)"), F.lit(1))
-    found = F.struct(F.when(init.rlike(_CALL.replace("(?:^|;)", "^")), calls).alias("calls"), names.alias("names"))
-    scan = (pages.select("page_id", "url", computed(body_init()).alias("init"))
-            .select("page_id", "url", "init", computed(found).alias("found")).select("page_id", "url", "init", "found.*"))
-    bad = F.col("calls").isNull() | F.exists("calls", lambda r: r.isNull() | r["_corrupt"].isNotNull())
-    rec = (scan.where(~bad).select("page_id", F.explode(F.arrays_zip(F.col("names").alias("callee"), F.col("calls").alias("r"))).alias("z"))
+
+    def read(ts: Column, found: Column) -> Column:
+        return F.transform(found, lambda c: F.struct(c["callee"].alias("callee"), _literal(literal(ts, c["place"]), schemas.ACTIVITY_PAYLOAD).alias("r")))
+    found = once(tokens(init), lambda ts: once(calls(ts), lambda c: F.when(F.get(c, 0)["start"] == 0, read(ts, c))))
+    scan = (pages.select("page_id", "url", computed(body_init()).alias("init")).select("page_id", "url", "init", computed(found).alias("calls")))
+    bad = F.col("calls").isNull() | F.exists("calls", lambda c: c["r"].isNull() | c["r"]["_corrupt"].isNotNull())
+    rec = (scan.where(~bad).select("page_id", F.explode("calls").alias("z"))
            .select("page_id", "z.callee", "z.r.*").drop("_corrupt"))
     reason = F.when(F.trim(F.coalesce(init, F.lit(""))) == "", F.lit("data-ng-init missing")).otherwise(F.lit("data-ng-init not readable"))
     return rec, scan.where(bad).select("page_id", "url", reason.alias("reason"))
