@@ -694,9 +694,8 @@ def all_sql() -> dict[str, str]:
                                f"GROUP BY activity HAVING activity NOT IN ('Training', 'Match', 'Cup')"),
         "dq_unique_combination": (f"WITH {ev_w} SELECT team_name, member_type_id, COUNT(*) AS n_records "
                                   f"FROM stg_presence GROUP BY team_name, member_type_id HAVING COUNT(*) > 1"),
-        "dq_relationships": (f"WITH {ev_w} SELECT season_id AS from_field FROM activity "
-                             f"WHERE season_id IS NOT NULL AND season_id NOT IN (SELECT sid FROM (VALUES "
-                             f"{_values(SEASONS)}) v(sid, yr) WHERE yr >= 2024)"),
+        "dq_relationships": (f"WITH {ev_w}, {eligible_sql(W)} SELECT a.activity_id AS from_field FROM attended a "
+                             f"LEFT JOIN eligible e USING (activity_id) WHERE e.activity_id IS NULL AND a.activity_id IS NOT NULL"),
         "month_urls": f"""WITH {ev_w},
 starts AS (
   SELECT 'team-' || CAST(team_id AS VARCHAR) AS team_slug, MIN(CAST(schedule_date AS DATE)) AS start_date
@@ -718,6 +717,15 @@ FROM m""",
         "presence_roundtrip": f"WITH {ev_w} SELECT * FROM stg_presence",
         "load_new_field": (f"WITH {ev_w} SELECT schedule_id, l AS load_id, if(l = 'L2', schedule_id * 2, NULL) AS new_field "
                            f"FROM stg_activity, unnest(['L1', 'L2']) AS t(l)"),
+        "load_conflict": f"WITH {ev_w} SELECT schedule_id, 'Old hall' AS place, 'L1' AS load_id, 1::BIGINT AS refused FROM stg_activity",
+        "load_nested_field": f"""WITH {ev_w}, people AS (
+  SELECT schedule_id, COUNT(*) FILTER (member_type_id <> 2) AS n, COUNT(*) FILTER (member_type_id = 2) AS coaches,
+    COALESCE(SUM(user_id % 100) FILTER (member_type_id <> 2), 0)::BIGINT AS shirts FROM stg_presence GROUP BY schedule_id)
+SELECT schedule_id, l AS load_id, n AS participants, if(l = 'L2', coaches, NULL) AS coaches, if(l = 'L2' OR n = 0, shirts, NULL) AS shirts
+FROM people, unnest(['L1', 'L2']) AS t(l)""",
+        "load_quarantine": f"WITH {ev_w} SELECT schedule_id, if(bucket % 5 = 0 OR bucket % 7 = 0, 'set aside', 'read') AS outcome FROM ev_act",
+        "load_ledger": f"""WITH {ev_w} SELECT l.id AS load_id, l.seen AS load_timestamp, COUNT(*) AS row_count
+FROM stg_activity, (VALUES ('L1', epoch(TIMESTAMPTZ '2024-01-31 00:00:00+00')::BIGINT), ('L2', epoch(TIMESTAMPTZ '2024-02-01 00:00:00+00')::BIGINT)) AS l(id, seen) GROUP BY ALL""",
         **captured_sql(ev_w),
         "page_links": page_links_sql(),
         "team_links": team_links_sql(),

@@ -190,10 +190,15 @@ def presence_scan(pages: DataFrame) -> DataFrame:
             .select("page_id", "url", "n_head_scripts", "n_candidates", F.col("_best.i").alias("script_index"), F.col("_best.r").alias("r")))
 
 
-def extract_presence(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
+def extract_presence(pages: DataFrame, keep=_same) -> tuple[DataFrame, DataFrame]:
     """(records, rejects): presence payloads read with the declared schema, and
-    pages without an ``initData`` literal or with one that does not parse or fit."""
-    scan = presence_scan(pages)
+    pages without an ``initData`` literal or with one that does not parse or fit.
+    ``keep`` may store the parsed pages, so that both read them and no page is parsed twice."""
+    scan = keep(presence_scan(pages))
     good = F.col("r").isNotNull() & F.col("r._corrupt").isNull()
     rec = scan.where(good).select("page_id", "r.*").drop("_corrupt")
     reason = F.when(F.col("n_candidates") == 0, F.lit("initData not found")).otherwise(F.lit("initData not readable"))
@@ -205,7 +210,7 @@ def body_init(html="html") -> Column:
     return attribute(F.get(tags(without_comments(html), "body"), 0), "data-ng-init")
 
 
-def extract_activity(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def extract_activity(pages: DataFrame, keep=_same) -> tuple[DataFrame, DataFrame]:
     """(records, rejects): one activity record per top-level call in the body's
     ``data-ng-init`` (its first argument), and pages lacking it or with a call
     that is not readable (all calls of such a page are refused)."""
@@ -215,6 +220,7 @@ def extract_activity(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         return F.transform(found, lambda c: F.struct(c["callee"].alias("callee"), _literal(literal(ts, c["place"]), schemas.ACTIVITY_PAYLOAD).alias("r")))
     found = once(tokens(init), lambda ts: once(calls(ts), lambda c: F.when(F.get(c, 0)["start"] == 0, read(ts, c))))
     scan = (pages.select("page_id", "url", computed(body_init()).alias("init")).select("page_id", "url", "init", computed(found).alias("calls")))
+    scan = keep(scan)
     bad = F.col("calls").isNull() | F.exists("calls", lambda c: c["r"].isNull() | c["r"]["_corrupt"].isNotNull())
     rec = (scan.where(~bad).select("page_id", F.explode("calls").alias("z"))
            .select("page_id", "z.callee", "z.r.*").drop("_corrupt"))

@@ -102,41 +102,50 @@ def _label(c: Check) -> F.Column:
     return F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column"), F.lit(c.test).alias("test"))
 
 
+def _entry(c: Check, number: int):
+    """What a row adds to a check's groups: struct(check, key), NULL when nothing."""
+    key = None
+    if c.test == "not_null":
+        bad = F.col(c.column).isNull() & (F.expr(c.where) if c.where else F.lit(True))
+        key = F.when(F.coalesce(bad, F.lit(False)), F.array(F.lit("")))
+    elif c.test == "unique":
+        key = F.when(F.col(c.column).isNotNull(), F.array(F.col(c.column).cast("string")))
+    elif c.test == "accepted_values":
+        key = F.when(F.coalesce(~F.col(c.column).isin(list(c.values)), F.lit(False)), F.array(F.col(c.column).cast("string")))
+    elif c.test == "unique_combination":
+        key = F.array(*[F.col(x).cast("string") for x in c.columns])
+    return F.when(key.isNotNull(), F.struct(F.lit(number).alias("c"), key.alias("k")))
+
+
+def _failures(c: Check, number: int):
+    """Failures of a check from the groups (c, k, n) of its model."""
+    mine = F.col("c") == number
+    if c.test == "not_null":
+        return F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
+    return F.count_if(mine & (F.lit(True) if c.test == "accepted_values" else F.col("n") > 1))
+
+
 def run_checks(models: dict[str, DataFrame], checks) -> DataFrame:
     """(model, column, test, failures): one row per declared check.
 
-    Row-level checks of one model (not_null, with or without a row filter)
-    are counted together in a single aggregation pass over the model; grouping
-    checks (unique, accepted values, combinations) and foreign keys each run
-    their own aggregation or anti join.  Nothing is collected to the driver.
+    All checks of one model but foreign keys are one pass and one shuffle: a row is
+    expanded to the (check, key) pairs it adds to (nothing for a value that is there, or
+    accepted), pairs are counted, before the shuffle too, and the failing groups of each check
+    are counted.  A foreign key is an anti join.  Nothing is collected to the driver.
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
-    # accepted values of one model: its value combinations are counted once
-    # (the shuffle is reused) and every column is checked on these few rows
-    accepted: dict[str, list[Check]] = {}
     for c in checks:
-        if c.test == "accepted_values":
-            accepted.setdefault(c.model, []).append(c)
-    combined = {m: models[m].groupBy(*sorted({c.column for c in cs})).agg(F.count(F.lit(1)).alias("n_records")) for m, cs in accepted.items()}
-    for c in checks:
-        if c.test == "not_null":
-            by_model.setdefault(c.model, []).append(c)
+        if c.test == "relationships":
+            parts.append(failing_rows(models, c).agg(F.count(F.lit(1)).alias("failures")).select(_label(c).alias("k"), "failures"))
         else:
-            source = combined if c.test == "accepted_values" else models
-            parts.append(failing_rows(source, c).agg(F.count(F.lit(1)).alias("failures"))
-                         .select(_label(c).alias("k"), "failures"))
+            by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
-        counts = []
-        for i, c in enumerate(cs):
-            cond = F.col(c.column).isNull()
-            if c.where:
-                cond = cond & F.expr(c.where)
-            counts.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{i}"))
-        one = models[model].agg(*counts)
-        stacked = one.select(F.explode(F.array(*[
-            F.struct(_label(c).alias("k"), F.col(f"c{i}").alias("failures")) for i, c in enumerate(cs)])).alias("s"))
-        parts.append(stacked.select("s.k", "s.failures"))
+        entries = F.filter(F.array(*[_entry(c, i) for i, c in enumerate(cs)]), lambda e: e.isNotNull())
+        groups = models[model].select(F.explode(entries).alias("e")).groupBy("e.c", "e.k").agg(F.count(F.lit(1)).alias("n"))
+        one = groups.agg(*[_failures(c, i).alias(f"c{i}") for i, c in enumerate(cs)])
+        stacked = F.array(*[F.struct(_label(c).alias("k"), F.col(f"c{i}").cast("bigint").alias("failures")) for i, c in enumerate(cs)])
+        parts.append(one.select(F.explode(stacked).alias("s")).select("s.k", "s.failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

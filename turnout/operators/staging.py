@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import Config
 from ..functions import regexp_first
 
 CUP_GAMES_PATTERN = r"\[matcher=([^\]]+)\]"
 
 
-def latest_load(raw: DataFrame) -> DataFrame:
+def latest_load(raw: DataFrame, newest: str | None = None) -> DataFrame:
     """Rows of the newest load batch (greatest load_timestamp; ties go to the
     greatest load_id).
 
-    The load id is a scalar subquery, so the filter is pushed into the scan of
-    a Parquet raw table and only one batch's files/row groups are read.
+    With ``newest`` (its id, from a raw table's ledger) the filter prunes the scan's partitions
+    and no other load is looked at.  Without, the id is a scalar subquery over the load columns.
     """
-    return raw.where(F.col("load_id") == newest_load_id(raw).scalar())
+    return raw.where(F.col("load_id") == (newest_load_id(raw).scalar() if newest is None else F.lit(newest)))
 
 
 def newest_load_id(raw: DataFrame) -> DataFrame:
@@ -40,8 +41,8 @@ def loads_agree(raw_activity: DataFrame, raw_presence: DataFrame) -> DataFrame:
     return out.withColumn("agree", F.coalesce(F.col("activity_load_id") == F.col("presence_load_id"), F.lit(False)))
 
 
-def stg_activity(raw: DataFrame, cfg: Config) -> DataFrame:
-    src = latest_load(raw) if cfg.latest_load_only else raw
+def stg_activity(raw: DataFrame, cfg: Config, newest: str | None = None) -> DataFrame:
+    src = latest_load(raw, newest) if cfg.latest_load_only else raw
     common = [
         F.col("teamId").alias("team_id"),
         F.col("scheduleId").alias("schedule_id"),
@@ -74,9 +75,11 @@ def explode_presence(raw: DataFrame) -> DataFrame:
     fields it reads.
     """
     first = F.get(F.col("teamPresenceGroups"), 0)
-    leaders = raw.select(F.col("scheduleId").alias("schedule_id"), F.explode(first.getField("leaders")).alias("p"))
-    players = raw.select(F.col("scheduleId").alias("schedule_id"), F.explode(first.getField("participants")).alias("p"))
-    return leaders.unionByName(players)
+    def people(kind: str) -> DataFrame:
+        rows = raw.select(F.col("scheduleId").alias("schedule_id"), F.explode(first.getField(kind)).alias("p"))
+        # a load may give one of the lists fields that the other has not
+        return rows.select("schedule_id", F.struct(*[F.col("p").getField(f).alias(f) for f in schemas.PERSON.names]).alias("p"))
+    return people("leaders").unionByName(people("participants"))
 
 
 def stage_persons(persons: DataFrame, cfg: Config) -> DataFrame:
@@ -99,6 +102,6 @@ def stage_persons(persons: DataFrame, cfg: Config) -> DataFrame:
     return persons.select(*cols)
 
 
-def stg_presence(raw: DataFrame, cfg: Config) -> DataFrame:
-    src = latest_load(raw) if cfg.latest_load_only else raw
+def stg_presence(raw: DataFrame, cfg: Config, newest: str | None = None) -> DataFrame:
+    src = latest_load(raw, newest) if cfg.latest_load_only else raw
     return stage_persons(explode_presence(src), cfg)

@@ -20,10 +20,13 @@ from ..sources import adapters as ad
 from ..operators import pages as pg
 from ..sources import seeds, sinks, spines
 from ..session import scratch_path
+from ..sources.rawtable import SchemaConflict, ledger, read_raw_table
+from ..streaming import ingest_loads, rejected_lines
 from ..sources.page_adapter import DOMAIN as PAGE_DOMAIN
 from ..sources.page_adapter import SLUG as PAGE_SLUG
 from ..sources.page_adapter import captured_pages
 from . import pipeline
+from .extract import extract, ingest, page_kind
 
 EV_BUCKET_HOURS = 1
 ENTRY_BUCKET_HOURS = 6
@@ -83,8 +86,9 @@ def q_stg_presence(cfg):
 
 
 def q_latest_load(spark, sf):
-    ra = ev_core(spark, sf, EV_WAREHOUSE)["raw_activity"]
-    return epochs(staging.latest_load(ra).select(F.col("scheduleId").alias("schedule_id"), "place", "load_id",
+    core = ev_core(spark, sf, EV_WAREHOUSE)
+    ra = staging.latest_load(core["raw_activity"], core.newest("raw_activity"))
+    return epochs(ra.select(F.col("scheduleId").alias("schedule_id"), "place", "load_id",
                                                  "load_timestamp"))
 
 
@@ -218,12 +222,12 @@ def q_captured_requests(spark, sf):
 
 
 def extract_pages(spark, sf):
-    from .extract import extract
     return extract(captured(spark, sf), PAGE_DOMAIN, PAGE_SLUG, "L2", ad.L2_TIMESTAMP)
 
 
 def q_captured_links(spark, sf):
-    pages = pg.accepted_pages(captured(spark, sf), F.col("page_id") % 4 == 3).where(F.col("page_id") % 4 == 3)
+    calendar = page_kind() == "calendar"
+    pages = pg.accepted_pages(captured(spark, sf), calendar).where(calendar)
     return pg.team_link_counts(pg.extract_links(pages), PAGE_SLUG)
 
 
@@ -247,14 +251,12 @@ def q_captured_evidence(spark, sf):
 
 
 def q_captured_scripts(spark, sf):
-    s = pg.presence_scan(captured(spark, sf).where(F.col("page_id") % 4 == 1))
+    s = pg.presence_scan(captured(spark, sf).where(page_kind() == "presence"))
     return s.select("page_id", "n_head_scripts", F.col("script_index").cast("bigint").alias("script_index"))
 
 
 def q_page_ingest(spark, sf):
     """Pages -> raw tables (a replaced load, then an appended one) -> staging."""
-    from ..sources.raw import read_raw_table
-    from .extract import ingest
     out = scratch_path(spark, "ingest")
     pages = captured(spark, sf)
     ingest(pages, PAGE_DOMAIN, PAGE_SLUG, out, append=False, load_id="L1", load_timestamp=ad.L1_TIMESTAMP)
@@ -271,7 +273,6 @@ def q_presence_roundtrip(spark, sf):
 
 def q_load_new_field(spark, sf):
     """An older load, then one with a new field, both through the landing path."""
-    from ..streaming import ingest_loads
     root, ev = scratch_path(spark, "evolve"), _events(spark, sf)
     for load, more in (("L1", []), ("L2", [(F.col("scheduleId") * 2).alias("newField")])):
         raw = ad.ev_raw_activity(ev, EV_BUCKET_HOURS, (load,))
@@ -280,6 +281,60 @@ def q_load_new_field(spark, sf):
     return table.select(F.col("scheduleId").alias("schedule_id"), "load_id", F.col("newField").alias("new_field"))
 
 
+def q_load_conflict(spark, sf):
+    """A load whose ``place`` is a number is refused; the table is what it was."""
+    ev, path = _events(spark, sf), scratch_path(spark, "conflict")
+    sinks.append_load(ad.ev_raw_activity(ev, EV_BUCKET_HOURS, ("L1",)), path)
+    try:
+        sinks.append_load(ad.ev_raw_activity(ev, EV_BUCKET_HOURS, ("L2",)).withColumn("place", F.col("scheduleId")), path)
+    except SchemaConflict:
+        refused = 1
+    else:
+        refused = 0
+    return read_raw_table(spark, path).select(F.col("scheduleId").alias("schedule_id"), "place", "load_id", F.lit(refused).cast("bigint").alias("refused"))
+
+
+def q_load_nested_field(spark, sf):
+    """Landed loads, the second with a new field of every participant and a new
+    list beside them: both arrive, the first load shows NULL."""
+    root, ev = scratch_path(spark, "nested"), _events(spark, sf)
+    for load, new in (("L1", False), ("L2", True)):
+        raw = ad.ev_raw_presence(ev, EV_BUCKET_HOURS, (load,))
+        if new:
+            def more(g):
+                people = F.transform(g["participants"], lambda p: p.withField("shirt", p["userId"] % 100))
+                return g.withField("participants", people).withField("coaches", F.transform(g["leaders"], lambda p: p["userId"]))
+            raw = raw.withColumn("teamPresenceGroups", F.transform("teamPresenceGroups", more))
+        sinks.write_ndjson(raw, f"{root}/landing/{load}")
+        table = ingest_loads(spark, "presence", f"{root}/landing/*", f"{root}/raw_presence", f"{root}/_checkpoint")
+    g = F.get("teamPresenceGroups", 0)
+    return table.select(F.col("scheduleId").alias("schedule_id"), "load_id", F.size(g["participants"]).cast("bigint").alias("participants"),
+                        F.when(g["coaches"].isNotNull(), F.size(g["coaches"])).cast("bigint").alias("coaches"),
+                        F.aggregate(F.transform(g["participants"], lambda p: p["shirt"]), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("shirts"))
+
+
+def q_load_quarantine(spark, sf):
+    """A landed load with lines that are no records: these are set aside, the others arrive."""
+    root, ev = scratch_path(spark, "bad-lines"), _events(spark, sf)
+    raw = ad.ev_raw_activity(ev, EV_BUCKET_HOURS, ("L2",))
+    bucket = F.expr(f"scheduleId div {ad.TEAM_SPAN}")
+    line = F.to_json(F.struct(*raw.columns))
+    line = F.when(bucket % 5 == 0, F.concat(F.lit("oops "), line)).when(bucket % 7 == 0, F.regexp_replace(line, '"scheduleId":', '"scheduleId":"x","was":')).otherwise(line)
+    raw.select(line.alias("value")).write.text(f"{root}/landing/L2")
+    table = ingest_loads(spark, "activity", f"{root}/landing/*", f"{root}/raw_activity", f"{root}/_checkpoint", quarantine=f"{root}/rejected")
+    lines = rejected_lines(spark, f"{root}/rejected")
+    return (table.select(F.col("scheduleId").alias("schedule_id"), F.lit("read").alias("outcome"))
+            .unionByName(lines.select(F.regexp_extract("line", r'"(?:was|scheduleId)":(\d+)', 1).cast("bigint").alias("schedule_id"), F.lit("set aside").alias("outcome"))))
+
+
+def q_load_ledger(spark, sf):
+    """Loads of a raw table with their rows, from its ledger."""
+    ev, path = _events(spark, sf), scratch_path(spark, "ledger")
+    for load in ("L1", "L2"):
+        sinks.append_load(ad.ev_raw_activity(ev, EV_BUCKET_HOURS, (load,)), path)
+    return epochs(ledger(spark, path))
+
+
 def q_dq_not_null(spark, sf):
     a = ev_core(spark, sf, EV_WAREHOUSE).lazy("activity")
     return quality.not_null(a, "activity").select("activity_id", "activity_type_id")
@@ -310,8 +365,9 @@ def q_dq_unique_combination(spark, sf):
 
 
 def q_dq_relationships(spark, sf):
-    a = ev_core(spark, sf, EV_WAREHOUSE).lazy("activity")
-    return quality.relationships(a, "season_id", seeds.season(spark).where(F.col("year") >= 2024), "season_id")
+    """Attendances of activities that are not eligible for the grant."""
+    core = ev_core(spark, sf, EV_WAREHOUSE)
+    return quality.relationships(core["attended_activity"], "activity_id", grants.eligible_activities(*_args(core), EV_WAREHOUSE), "activity_id")
 
 
 def q_month_urls(spark, sf):
@@ -334,14 +390,12 @@ def q_load_append(spark, sf):
     path = scratch_path(spark, "raw_presence")
     sinks.replace_table(ad.ev_raw_presence(ev, EV_BUCKET_HOURS, ("L1",)), path)
     sinks.append_load(ad.ev_raw_presence(ev, EV_BUCKET_HOURS, ("L2",)), path)
-    from ..sources.raw import read_raw_table
     return staging.stg_presence(read_raw_table(spark, path), EV_WAREHOUSE)
 
 
 def q_load_stream(spark, sf):
     """Two load batches landed as NDJSON one after the other, each ingested by
     an availableNow streaming run into one raw table; staging keeps the newest."""
-    from ..streaming import ingest_loads
     ev = _events(spark, sf)
     root = scratch_path(spark, "stream")
     for load in ("L1", "L2"):
@@ -362,7 +416,6 @@ def q_csv_export(cfg):
 def q_extract_rejects(spark, sf):
     """The page-extraction job over the captured pages: pages failing the
     guards (and unparsable payload pages) with the reason."""
-    from .extract import extract
     pages = ad.read_table(spark, sf, "pages")
     return extract(pages, DOMAIN, "en", "L0", ad.L2_TIMESTAMP).rejects
 
@@ -436,6 +489,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "page_ingest": q_page_ingest,
         "presence_roundtrip": q_presence_roundtrip,
         "load_new_field": q_load_new_field,
+        "load_conflict": q_load_conflict,
+        "load_nested_field": q_load_nested_field,
+        "load_quarantine": q_load_quarantine,
+        "load_ledger": q_load_ledger,
     }
 
 

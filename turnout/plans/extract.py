@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import pages as pg
+from ..session import scratch_path
 from ..sources import sinks
 from ..sources.sinks import new_load_stamp, stamp_load
 
@@ -38,15 +39,18 @@ def page_kind(url="url"):
 
 def extract(pages: DataFrame, domain: str, team_slug: str, load_id: str | None = None,
             load_timestamp: dt.datetime | None = None, link_parent: str = "td",
-            link_class: str | None = "invisible-link") -> Extracted:
+            link_class: str | None = "invisible-link", keep=None) -> Extracted:
+    """Lazy plans; ``keep(name, df)`` may store the parsed payload pages."""
     if load_id is None or load_timestamp is None:
         load_id, load_timestamp = new_load_stamp()
     login = page_kind() == "calendar"           # only calendar pages show the login
     typed = pg.accepted_pages(pages, login).withColumn("_kind", page_kind())
     links = pg.extract_links(typed.where(F.col("_kind") == "calendar"), link_parent, link_class)
     requests = pg.activity_requests(links, domain, team_slug)
-    pres, pres_rej = pg.extract_presence(typed.where(F.col("_kind") == "presence"))
-    acts, act_rej = pg.extract_activity(typed.where(F.col("_kind") == "activity"))
+    def kept(name):
+        return (lambda df: keep(name, df)) if keep else (lambda df: df)
+    pres, pres_rej = pg.extract_presence(typed.where(F.col("_kind") == "presence"), kept("presence"))
+    acts, act_rej = pg.extract_activity(typed.where(F.col("_kind") == "activity"), kept("activity"))
     raw_presence = stamp_load(pres.drop("page_id"), load_id, load_timestamp)
     raw_activity = stamp_load(acts.drop("page_id", "callee"), load_id, load_timestamp)
     rejects = pg.rejected_pages(pages, login).unionByName(pres_rej).unionByName(act_rej)
@@ -57,8 +61,10 @@ def ingest(pages: DataFrame, domain: str, team_slug: str, out: str, append: bool
            load_id: str | None = None, load_timestamp: dt.datetime | None = None) -> dict[str, int]:
     """Extract and write: raw tables (one load, appended or replacing), the
     request URLs and the rejects under ``out``; returns the rows written.  A
-    run whose activity or presence payload is empty writes no raw table."""
-    ex = extract(pages, domain, team_slug, load_id, load_timestamp)
+    run whose activity or presence payload is empty writes no raw table.  Payload
+    pages are parsed once, into a scratch folder that the records and rejects are read from."""
+    spark = pages.sparkSession
+    ex = extract(pages, domain, team_slug, load_id, load_timestamp, keep=lambda name, df: sinks.materialize(df, scratch_path(spark, f"parsed-{name}")))
     ex.requests.write.mode("overwrite").parquet(f"{out}/requests")
     ex.rejects.write.mode("overwrite").parquet(f"{out}/rejects")
     sinks.require_non_empty(activity=ex.raw_activity, presence=ex.raw_presence)

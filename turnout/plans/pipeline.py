@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Config
 from ..operators import activities as act
-from ..operators import grants, members, participation, retention, staging
-from ..sources import seeds, sinks
+from ..operators import grants, members, participation, quality, retention, staging
+from ..sources import rawtable, seeds, sinks
 from ..sources.spines import default_calendar
 
 Builder = Callable[["Materialized"], DataFrame]
@@ -37,9 +37,10 @@ class Materialized:
                              "result_type", "season", "calendar"})
 
     def __init__(self, spark: SparkSession, root: str, builders: dict[str, Builder],
-                 write: frozenset[str] | None = None):
-        """``write``: the models to write (default: all but projections)."""
-        self.spark, self.root, self.builders, self._done = spark, root, builders, {}
+                 write: frozenset[str] | None = None, newest: dict[str, str] | None = None):
+        """``write``: the models to write (default: all but projections); ``newest``: the newest
+        load of raw tables that are given and not written."""
+        self.spark, self.root, self.builders, self._done, self._newest = spark, root, builders, {}, dict(newest or {})
         self.write = write
 
     def _writes(self, name: str) -> bool:
@@ -47,11 +48,19 @@ class Materialized:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._done:
-            df = self.builders[name](self)
-            by = sinks.LOAD if name in LANDING else None
-            self._done[name] = sinks.materialize(df, f"{self.root}/{name}", partition_by=by) if self._writes(name) else df
+            df, path = self.builders[name](self), f"{self.root}/{name}"
+            if name in LANDING and self._writes(name):
+                rawtable.replace_table(df, path)
+                self._newest[name] = rawtable.newest_load_id(self.spark, path)
+                df = rawtable.read_raw_table(self.spark, path)
+            self._done[name] = sinks.materialize(df, path) if self._writes(name) and name not in LANDING else df
         return self._done[name]
 
+    def newest(self, name: str) -> str | None:
+        """Id of a raw table's newest load where a ledger tells it."""
+        self[name]
+        return self._newest.get(name)
+
     def __contains__(self, name: str) -> bool:
         return name in self.builders
 
@@ -63,6 +72,42 @@ class Materialized:
         return list(self.builders)
 
 
+class Stopped(Exception):
+    """A model is not built: its checks failed, or those of a model it reads."""
+
+    def __init__(self, model: str):
+        super().__init__(model)
+        self.model = model
+
+
+class Gated(Materialized):
+    """A build in which every model is checked once it is written, before any
+    model reads it; the descendants of a model with a failing check are not built.
+
+    ``checked`` holds the results of the checks that ran, ``stopped`` the models that failed (with
+    their failing checks) or were left out (with the model they wait for)."""
+
+    def __init__(self, spark: SparkSession, root: str, builders: dict[str, Builder], checks, **kw):
+        super().__init__(spark, root, builders, **kw)
+        self.checks, self.checked, self.stopped = checks, [], {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._done and name not in self.stopped:
+            try:
+                super().__getitem__(name)
+                mine = [c for c in self.checks if c.model == name]
+                rows = quality.run_checks(self, mine).collect() if mine else []  # one row a declared check
+                self.checked += rows
+                failing = [f"{r.model}.{r.column} {r.test}={r.failures}" for r in rows if r.failures]
+                if failing:
+                    self.stopped[name] = ", ".join(failing)
+            except Stopped as e:
+                self.stopped[name] = f"waits for {e.model}"
+        if name in self.stopped:
+            raise Stopped(name)
+        return self._done[name]
+
+
 def _args(m):
     return m["attended_activity"], m["member"], m["activity"]
 
@@ -74,8 +119,8 @@ def model_builders(spark: SparkSession, cfg: Config, raw_activity: Callable[[],
     b: dict[str, Builder] = {
         "raw_activity": lambda m: raw_activity(),
         "raw_presence": lambda m: raw_presence(),
-        "stg_activity": lambda m: staging.stg_activity(m["raw_activity"], cfg),
-        "stg_presence": lambda m: staging.stg_presence(m["raw_presence"], cfg),
+        "stg_activity": lambda m: staging.stg_activity(m["raw_activity"], cfg, m.newest("raw_activity")),
+        "stg_presence": lambda m: staging.stg_presence(m["raw_presence"], cfg, m.newest("raw_presence")),
         "member": lambda m: members.member(m["stg_presence"], cfg),
         "attended_activity": lambda m: act.attended_activity(m["stg_presence"], cfg),
         "export_all": lambda m: act.export_all(*_args(m)),
@@ -119,6 +164,9 @@ class _Lazy:
             self.memo[name] = self.builders[name](self)
         return self.memo[name]
 
+    def newest(self, name: str) -> None:
+        return None
+
 
 def build(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config) -> dict[str, DataFrame]:
     """Lazy plans of every model over the given raw tables (nothing written)."""
@@ -127,8 +175,22 @@ def build(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame,
 
 
 def build_all(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
-              root: str) -> dict[str, DataFrame]:
-    """Write every model under ``root`` (a shared folder) and return the tables."""
-    names = frozenset(model_builders(spark, cfg, lambda: raw_activity, lambda: raw_presence))
-    m = store(spark, cfg, root, lambda: raw_activity, lambda: raw_presence, write=names)
+              root: str, newest: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Write every model under ``root`` (a shared folder) and return the tables; the raw
+    tables stay where they are."""
+    b = model_builders(spark, cfg, lambda: raw_activity, lambda: raw_presence)
+    m = Materialized(spark, root, b, frozenset(b) - LANDING, newest)
     return {n: m[n] for n in m.names()}
+
+
+def build_checked(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
+                  root: str, checks, newest: dict[str, str] | None = None) -> Gated:
+    """Write the models whose ancestors pass their checks."""
+    b = model_builders(spark, cfg, lambda: raw_activity, lambda: raw_presence)
+    m = Gated(spark, root, b, checks, write=frozenset(b) - LANDING, newest=newest)
+    for n in m.names():
+        try:
+            m[n]
+        except Stopped:
+            continue
+    return m

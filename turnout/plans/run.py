@@ -1,13 +1,13 @@
-"""One full run: raw loads -> every model written -> declared checks ->
-SQL views -> CSV export.  (The original project's ``build`` + ``csv_export``
-steps.)
+"""One full run: raw loads -> models written and checked -> SQL views -> CSV
+export.  (The original project's ``build`` + ``csv_export`` steps.)
 
     python -m turnout.plans.run --activity PATH --presence PATH --out DIR [--variant local|warehouse]
         [--as-of YYYY-MM-DD] [--now ISO-TIME] [--format json|parquet] [--keep-going]
 
-Trainings before ``--now`` (default: the current instant) are past.  A failing
-check ends the command with an error after everything has been written, unless
-``--keep-going`` is given.
+Trainings before ``--now`` (default: the current instant) are past.  Every model is
+checked when it is written.  The models that read one with a failing check are not built, an
+export that was not built is not written, and the command ends with an error.
+``--keep-going`` builds everything and only reports.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Config
 from ..operators import quality
-from ..sources import read_raw_activity, read_raw_presence, read_raw_table, register_views, sinks
+from ..sources import newest_load_id, read_raw_activity, read_raw_presence, read_raw_table, register_views, sinks
 from . import pipeline
 
 
@@ -31,19 +31,31 @@ class RunResult:
     export_path: str
 
 
+class ChecksFailed(RuntimeError):
+    """Failing checks, and the models that were not built for them."""
+
+
 def run(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config, out: str,
-        fail_on_check: bool = False) -> RunResult:
+        fail_on_check: bool = False, newest: dict[str, str] | None = None) -> RunResult:
+    """``newest``: ids of the newest loads, where the raw tables' ledgers tell them."""
     sinks.require_non_empty(activity=raw_activity, presence=raw_presence)
-    models = pipeline.build_all(spark, raw_activity, raw_presence, cfg, f"{out}/models")
     spec = quality.LOCAL_CHECKS if cfg.is_local else quality.WAREHOUSE_CHECKS
-    checks = sinks.materialize(quality.run_checks(models, spec), f"{out}/checks")
+    stopped: dict[str, str] = {}
+    if fail_on_check:
+        built = pipeline.build_checked(spark, raw_activity, raw_presence, cfg, f"{out}/models", spec, newest)
+        stopped = built.stopped
+        models = {n: built[n] for n in built.names() if n not in stopped}
+        rows = spark.createDataFrame([tuple(r) for r in built.checked], "model string, column string, test string, failures bigint")
+        checks = sinks.materialize(rows, f"{out}/checks")
+    else:
+        models = pipeline.build_all(spark, raw_activity, raw_presence, cfg, f"{out}/models", newest)
+        checks = sinks.materialize(quality.run_checks(models, spec), f"{out}/checks")
     register_views(spark, models)
     export = f"{out}/export_all_csv"
-    sinks.export_csv(models["export_all"], export)
-    if fail_on_check:
-        failed = checks.where("failures > 0").collect()  # at most one row a declared check
-        if failed:
-            raise RuntimeError("data checks failed: " + ", ".join(f"{r.model}.{r.column} {r.test}={r.failures}" for r in failed))
+    if "export_all" in models:
+        sinks.export_csv(models["export_all"], export)
+    if stopped:
+        raise ChecksFailed("data checks failed: " + "; ".join(f"{n}: {why}" for n, why in stopped.items()))
     return RunResult(models, checks, export)
 
 
@@ -65,10 +77,11 @@ def main(argv=None) -> None:
     now = now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)
     cfg = Config.local(as_of=as_of, now=now) if a.variant == "local" else Config.warehouse(as_of=as_of, now=now)
     if a.format == "json":
-        ra, rp = read_raw_activity(spark, a.activity), read_raw_presence(spark, a.presence)
+        ra, rp, newest = read_raw_activity(spark, a.activity), read_raw_presence(spark, a.presence), {}
     else:
         ra, rp = read_raw_table(spark, a.activity), read_raw_table(spark, a.presence)
-    res = run(spark, ra, rp, cfg, a.out, fail_on_check=not a.keep_going)
+        newest = {"raw_activity": newest_load_id(spark, a.activity), "raw_presence": newest_load_id(spark, a.presence)}
+    res = run(spark, ra, rp, cfg, a.out, fail_on_check=not a.keep_going, newest=newest)
     for r in res.checks.collect():  # one row a declared check
         print(f"{r.model}.{r.column} {r.test}: {r.failures}")
 

@@ -2,10 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .raw import read_raw_activity, read_raw_presence, read_raw_table
+from .raw import read_raw_activity, read_raw_presence
+from .rawtable import SchemaConflict, append_load, ledger, newest_load_id, read_raw_table, replace_table, vacuum
 from .seeds import SEED_NAMES, dims, read_seed, season
-from .sinks import (append_load, export_csv, materialize, new_load_stamp, register_views, replace_table,
-                    require_non_empty, row_count, stamp_load, write_ndjson)
+from .sinks import (export_csv, materialize, new_load_stamp, register_views, require_non_empty,
+                    row_count, stamp_load, write_ndjson)
 from .spines import calendar, default_calendar, month_urls
 
 

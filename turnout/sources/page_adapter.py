@@ -39,8 +39,11 @@ def presence_pages(events: DataFrame) -> DataFrame:
     # a name of Swedish letters, a trailing comma
     literal = F.regexp_replace(literal, "\\}$", ", \u00e5lder: 1,}")
     before = (F.when(bucket % 3 == 0, F.lit("<script>var broken = {a: ; var initData = {scheduleId: 1, oops</script>"))
-              .when(bucket % 3 == 1, F.lit('<script src="/x.js"></script>')).otherwise(F.lit("<!-- none -->")))
-    script = F.when(fault == NO_INIT, F.lit("<script>var other = 1;</script>")).otherwise(F.concat(F.lit("<script>\n var initData = "), literal, F.lit("; var other = 1;</script>")))
+              .when(bucket % 3 == 1, F.lit('<script src="/x.js"></script>')).otherwise(F.lit("<!-- <script>var initData = {scheduleId: 1};</script> -->")))
+    # what looks like the assignment in a comment, in a string and after it; a blank in the end tag
+    script = F.when(fault == NO_INIT, F.lit("<script>var other = 1;</script>")).otherwise(F.concat(
+        F.lit("<script>\n// initData = {scheduleId: 8}\nvar s = 'initData = {scheduleId: 7}'; /* initData = {} */ var initData = /* now */ "), literal,
+        F.lit("; var other = \"</head> initData = {\";</script >")))
     html = F.concat(F.lit("<html><head><title>N&auml;rvaro</title>"), before, script, F.lit("</head><body><p>list</p></body></html>"))
     return raw.select((sid * 4 + 1).alias("page_id"), F.concat(F.lit(f"https://{DOMAIN}/{SLUG}/controlpanel/presence/chooseparticipants/"), sid.cast("string")).alias("url"),
                       html.alias("html"), F.when(fault == BAD_STATUS, 503).otherwise(200).alias("status"))
@@ -50,9 +53,13 @@ def activity_pages(events: DataFrame) -> DataFrame:
     raw = ad.ev_raw_activity(events, 1, ("L2",)).drop("load_id", "load_timestamp")
     sid = F.col("scheduleId")
     bucket = F.expr(f"scheduleId div {ad.TEAM_SPAN}")
+    # brackets, commas and quotes that belong to strings; a number and a text in other spellings
     json = F.to_json(F.struct(*raw.columns))
-    double = F.concat(F.lit('"init('), F.replace(json, F.lit('"'), F.lit("&quot;")), F.lit(', 5); done()"'))
-    single = F.concat(F.lit("'init("), json, F.lit(", 5); done()'"))
+    json = F.regexp_replace(json, '"place":"Hall', '"place":"Ha"+ "ll')
+    json = F.regexp_replace(json, '"scheduleId":([0-9]+)', F.concat(F.lit('"scheduleId":0x'), F.hex(sid)))
+    json = F.regexp_replace(json, "\\}$", ',"note":"[a,] ,} x: undefined; go({y",}')
+    double = F.concat(F.lit('"init('), F.replace(json, F.lit('"'), F.lit("&quot;")), F.lit(', &quot;x; go({y&quot;); done()"'))
+    single = F.concat(F.lit("'/* c */ init("), json, F.lit(", 5); done()'"))
     attr = F.when(bucket % NO_NG_INIT == 0, F.lit("")).otherwise(F.concat(F.lit(" data-ng-init="), F.when(bucket % 2 == 0, single).otherwise(double)))
     html = F.concat(F.lit("<html><head></head>\n<body class='x'"), attr, F.lit(">form</body></html>"))
     return raw.select((sid * 4 + 2).alias("page_id"), F.concat(F.lit(f"https://{DOMAIN}/{SLUG}/kalender/redigera-aktivitet/"), sid.cast("string")).alias("url"),
@@ -74,7 +81,7 @@ def calendar_pages(events: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit('<a title="x > y" href="'), h, F.lit('" class="invisible-link">a</a>'))),
         F.when(i % 2 == 1, F.lit("</td>")).otherwise(F.lit(""))))
     cells = F.concat(F.array_join(anchor, ""), F.lit("<!-- <td><a class=\"invisible-link\" href=\"/team-0/kalender/aktivitet/9/\">c</a></td> -->"),
-                     F.lit("<td><a class=\"other\" href=\"/team-0/kalender/aktivitet/8/\">o</a><a class=\"invisible-link\">n</a></td>"))
+                     F.lit("<td><div><a class=\"invisible-link\" href=\"/team-0/kalender/aktivitet/7/\">d</a></div></td><td><a class=\"other\" href=\"/team-0/kalender/aktivitet/8/\">o</a><a class=\"invisible-link\">n</a></td>"))
     login = (F.col("day") + F.col("team")) % LOGIN_PAGE == 0
     html = F.when(login, F.lit("<html><head><title>Logga in</title></head><body><form action=\"/logga-in\" method='post'><input name='UserName'><input name=\"UserPass\" type=password></form></body></html>")) \
         .otherwise(F.concat(F.lit("<html><head><title> Kalender &amp; mer </title><link rel='canonical' href='/kalender'></head><body>Logga ut<form action='/sok'><input name='compass_id'></form><table><tr>"), cells, F.lit("</tr></table></body></html>")))

@@ -1,8 +1,9 @@
-"""Raw inputs: newline-delimited JSON loads and accumulated raw tables.
+"""Raw inputs: newline-delimited JSON loads.
 
-A load is read with the declared fields plus whatever new top-level fields its
-lines hold.  A line that is not JSON, or a value that does not fit its
-declared type, fails the read; ``split_load`` sets such lines aside instead.
+A load is read with the declared fields plus whatever new fields its lines hold, at
+any depth.  A line that is not JSON, or a value that does not fit its declared type, fails the
+read; ``split_lines`` sets such lines aside instead.  Accumulated raw tables are in
+``rawtable``.
 """
 
 from __future__ import annotations
@@ -12,17 +13,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .rawtable import read_raw_table  # noqa: F401
 
 CORRUPT = "_corrupt_line"
-#: sub-folder of a raw table that keeps the schema of every load (hidden from scans)
-SCHEMAS = "_schemas"
 
 
-def load_schema(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
-    """The declared fields, then the new top-level fields found in the load."""
-    found = spark.read.option("columnNameOfCorruptRecord", CORRUPT).json(path).schema
-    known = {f.name.lower() for f in declared.fields} | {CORRUPT}
-    return T.StructType([*declared.fields, *[f for f in found.fields if f.name.lower() not in known]])
+def extended(declared: T.DataType, found: T.DataType) -> T.DataType:
+    """The declared type with the new fields of ``found``, inside structs and arrays
+    too.  Where both name a field the declared type holds."""
+    if isinstance(declared, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(extended(declared.elementType, found.elementType))
+    if not (isinstance(declared, T.StructType) and isinstance(found, T.StructType)):
+        return declared
+    known = {f.name.lower(): f.dataType for f in found.fields}
+    fields = [T.StructField(f.name, extended(f.dataType, known.get(f.name.lower(), f.dataType))) for f in declared.fields]
+    have = {f.name.lower() for f in declared.fields} | {CORRUPT}
+    return T.StructType([*fields, *[f for f in found.fields if f.name.lower() not in have]])
+
+
+def load_schema(spark: SparkSession, path: str | list[str], declared: T.StructType) -> T.StructType:
+    """The declared fields, then the new ones found in the load (a field that is always null has no type yet)."""
+    return extended(declared, spark.read.option("columnNameOfCorruptRecord", CORRUPT).option("dropFieldIfAllNull", True).json(path).schema)
 
 
 def _read_strict(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
@@ -39,29 +50,17 @@ def read_raw_presence(spark: SparkSession, path: str) -> DataFrame:
     return _read_strict(spark, path, schemas.RAW_PRESENCE)
 
 
-def split_load(spark: SparkSession, path: str, declared: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects): the readable records, and the text of lines that are
-    not JSON or hold a value of another type (blank lines are neither)."""
-    schema = T.StructType([*load_schema(spark, path, declared).fields, T.StructField(CORRUPT, T.StringType())])
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    parsed = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+def split_lines(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a column ``value`` of lines: the readable records, and
+    the text of lines that are not JSON or hold a value of another type (blank
+    lines are neither)."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    read = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = lines.where(F.trim("value") != "").select("value", F.explode(F.array(read)).alias("r"))  # parsed once a line
     bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
     return parsed.where(~bad).select("r.*").drop(CORRUPT), parsed.where(bad).select(F.col("value").alias("line"))
 
 
-def table_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Fields of all loads of a raw table, from the schemas kept with it (one
-    small row a load; no file footers are read)."""
-    import json
-
-    fields: dict[str, T.StructField] = {}
-    for r in spark.read.schema("schema string").json(f"{path}/{SCHEMAS}").distinct().collect():
-        for f in T.StructType.fromJson(json.loads(r.schema)).fields:
-            fields.setdefault(f.name.lower(), f)
-    return T.StructType(list(fields.values()))
-
-
-def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
-    """A raw table accumulated from appended load batches (Parquet, one
-    partition a load).  Older batches show NULL for fields that came later."""
-    return spark.read.schema(table_schema(spark, path)).parquet(path)
+def split_load(spark: SparkSession, path: str, declared: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a landed load."""
+    return split_lines(spark.read.text(path), load_schema(spark, path, declared))

@@ -5,13 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .raw import SCHEMAS
-
-LOAD = "load_id"
+from .rawtable import append_load, replace_table  # noqa: F401
 
 
 def new_load_stamp() -> tuple[str, dt.datetime]:
@@ -36,32 +33,6 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
-def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Note the fields of a load beside its raw table (one small row)."""
-    row = spark.range(1).select(F.lit(schema.json()).alias("schema"))
-    row.coalesce(1).write.mode("append").json(f"{path}/{SCHEMAS}")
-
-
-def _write_counted(df: DataFrame, path: str, mode: str) -> int:
-    """Write, one partition a load where rows are stamped, and return the
-    number of rows written, counted by an Observation during the write."""
-    obs = Observation("rows_written")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode(mode)
-    (writer.partitionBy(LOAD) if LOAD in df.columns else writer).parquet(path)
-    keep_schema(df.sparkSession, path, df.schema)
-    return int(obs.get["row_count"])
-
-
-def replace_table(df: DataFrame, path: str) -> int:
-    """Create-or-replace a raw table (one load only); returns the rows written."""
-    return _write_counted(df, path, "overwrite")
-
-
-def append_load(df: DataFrame, path: str) -> int:
-    """Append one load batch (batches may add fields); returns the rows written."""
-    return _write_counted(df, path, "append")
-
-
 def row_count(df: DataFrame) -> DataFrame:
     """One row, ``row_count``: the number of rows (a distributed count)."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))

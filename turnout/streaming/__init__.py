@@ -1,3 +1,3 @@
 """Streaming ingestion of raw load batches."""
 
-from .loads import ingest_loads  # noqa: F401
+from .loads import ingest_loads, rejected_lines  # noqa: F401
