@@ -265,11 +265,15 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
     share = F.create_map(*[v for k, n in sizes.items() for v in (F.lit(k), F.lit(int(min(1.0, sample / n) * (1 << 30))))])
     picked = labelled.where(draw < F.element_at(share, F.col("lang")))
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(23)), F.lit(4))
-    counts = (picked.where(part > 0).select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
-    if counts.empty:  # too few labelled texts to set some aside
-        counts = (picked.select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
-                  .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
+
+
+    def counted(rows: DataFrame) -> pd.DataFrame:
+        return (rows.select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
+                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
+    counts = counted(picked.where(part > 0))
+    late = sorted(set(sizes) - set(counts["lang"]))  # languages whose few texts are all set aside: they learn from these
+    if late:
+        counts = pd.concat([counts, counted(picked.where(F.col("lang").isin(late)))], ignore_index=True)
     model = Model(counts)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
@@ -288,7 +292,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Model:
                  pa.array([m.names[j] if several else None for j in best], pa.string()), pa.array(rest[np.arange(len(known)), best], pa.float64())],
                 names=["lang", "entropy", "n", "other", "foreign"])
     if model.names:
-        model.calibrate(picked.where(part == 0).select("lang", "text").mapInArrow(own, "lang string, entropy double, n long, other string, foreign double").toPandas())
+        model.calibrate(picked.where((part == 0) & ~F.col("lang").isin(late)).select("lang", "text").mapInArrow(own, "lang string, entropy double, n long, other string, foreign double").toPandas())
     return model
 
 

@@ -6,12 +6,15 @@ plus, cards and addresses written with other separators, spelt-out e-mail
 addresses.  It labels tokens (words, digit runs, signs) from the shapes of a token
 and its neighbours.  It is trained by full-batch gradient steps on the small
 labelled table below (pii_labels.py: every sentence is a row) and decoded by Viterbi over padded
-numpy batches of windows.  Only windows around triggers (tokens with a digit, an
-at-sign, or the words of spelt-out addresses) are decoded; all personal data that it
-labels contains one.  A labelled span counts if its kind's plain checks hold
-(number of digits, check sum, parts up to 255) and it overlaps no base span.
-
-Null and empty texts have no spans.  Rows are scanned one by one, so null or
+numpy batches over the whole text, in blocks of INNER tokens with LAP more on either side
+(a span belongs to the block in which it begins).  A labelled span counts if its kind's
+plain checks hold (number of digits, check sum, parts up to 255, an at and a dotted name) and it overlaps
+no base span.  What the checks can accept is told by one pattern (_POSSIBLE: enough digits in a
+row, or an at followed by a dotted name); a block without such a place is not decoded, as it
+could add nothing.
+
+An empty table gives no rows; null and empty texts have no spans.  Long texts are whole, their
+blocks decoded as those of short ones.  Rows are scanned one by one, so null or
 repeated doc_ids need no rule; extra columns are ignored (the stage keeps them).
 Offsets are code points, the end exclusive.
 """
@@ -92,14 +95,26 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # ------------------------------------------------------------------ tokens and shapes
 
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|[\w]")
-_TRIGGER = re.compile(r"[0-9@]|(?<!\w)(?:dot|punkt|punto|point)(?!\w)", re.I)
+AT_WORDS, DOT_WORDS = "at arobase arroba", "dot punkt punto point"
+_BLANK = r"[\x20\t]*"
+
+
+def _spelt(words: str, sign: str) -> str:
+    """A sign, a word for it between blanks, or either in brackets."""
+    either = "|".join([*words.split(), re.escape(sign)])
+    return rf"(?:{_BLANK}[\[({{<]{_BLANK}(?:{either}){_BLANK}[\])}}>]{_BLANK}|[\x20\t]+(?:{'|'.join(words.split())})[\x20\t]+|{re.escape(sign)})"
+
+
+_ADDRESS = rf"(?<![\w.%+-])[\w.%+-]++{_spelt(AT_WORDS, '@')}[\w-]++(?:{_spelt(DOT_WORDS, '.')}[\w-]++)+"
+_SPELT = re.compile(rf"(?i:{_ADDRESS})")
+_POSSIBLE = re.compile(rf"(?:[0-9][\x20()./+-]*+){{7,}}|[0-9]++(?:[\x20.-]++[0-9]++){{3,}}|(?i:{_ADDRESS})")
 # Words that the shapes know.
 WORDS = {w: k for k, some in {
-    "at": "at arobase arroba", "dot": "dot punkt punto point", "domain": "com org net edu info example de fr es",
+    "at": AT_WORDS, "dot": DOT_WORDS, "domain": "com org net edu info example de fr es",
     "call": "call phone tel telephone mobile fax telefon ring", "card": "card visa mastercard amex credit karte",
     "ip": "ip address host server", "version": "version v chapter section page isbn order item no number release",
 }.items() for w in some.split()}
-REACH = 8     # tokens on either side of a trigger
+INNER, LAP = 192, 40
 NEAR = (-3, -2, -1, 0, 1, 2, 3)
 
 
@@ -109,7 +124,7 @@ def shape(token: str, gap: bool) -> str:
     if token.isalpha():
         known = WORDS.get(token.lower())
         return f"w:{known}" if known else "w1" if len(token) == 1 else "w"
-    return f"{'_' * gap}{token}" if token in "@.-+()/:=_,\"'" else "sign"
+    return f"{'_' * gap}{token}" if token in "@.-+()/:=_,\"'[]" else "sign"
 
 
 def tokens(text: str) -> list[tuple[str, int, int]]:
@@ -117,39 +132,6 @@ def tokens(text: str) -> list[tuple[str, int, int]]:
     return [(shape(m[0], m.start() > 0 and text[m.start() - 1].isspace()), *m.span()) for m in _TOKEN.finditer(text)]
 
 
-def windows(text: str) -> list[list[tuple[str, int, int]]]:
-    """Runs of tokens around triggers; overlapping runs are one."""
-    out: list[list] = []
-    reach, lo, hi = 24 * REACH, None, None
-    for m in _TRIGGER.finditer(text):
-        if hi is not None and m.start() <= hi:
-            hi = m.end() + reach
-            continue
-        if hi is not None:
-            out += _window(text, lo, hi)
-        lo, hi = m.start() - reach, m.end() + reach
-    if hi is not None:
-        out += _window(text, lo, hi)
-    return out
-
-
-def _window(text: str, lo: int, hi: int) -> list[list[tuple[str, int, int]]]:
-    lo, hi = max(0, lo), min(len(text), hi)
-    found = [(s, a + lo, b + lo) for s, a, b in tokens(text[lo:hi])]
-    hot = [i for i, (_, a, b) in enumerate(found) if _TRIGGER.search(text, a, b)]
-    out, begin, end = [], None, None
-    for i in hot:
-        if end is not None and i - REACH <= end:
-            end = i + REACH
-        else:
-            if end is not None:
-                out.append(found[begin:end + 1])
-            begin, end = max(0, i - REACH), i + REACH
-    if end is not None:
-        out.append(found[begin:end + 1])
-    return out
-
-
 # ------------------------------------------------------------------ the field
 
 LABELS = ["O", *[f"{p}-{k}" for k in KINDS for p in "BI"]]
@@ -250,8 +232,8 @@ def labelled() -> list[tuple[list[str], list[str]]]:
     out = []
     for row in SENTENCES:
         plain, marks = "", []
-        for part in re.split(r"(\[(?:email|ip|card|phone)\|[^\]]*\])", row):
-            m = re.fullmatch(r"\[(\w+)\|([^\]]*)\]", part)
+        for part in re.split(r"(\[(?:email|ip|card|phone)\|(?:[^\[\]]|\[[^\]]*\])*\])", row):
+            m = re.fullmatch(r"\[(\w+)\|(.*)\]", part)
             if m:
                 marks.append((m[1], len(plain), len(plain) + len(m[2])))
             plain += m[2] if m else part
@@ -290,40 +272,60 @@ def _holds(kind: str, text: str) -> bool:
         return re.fullmatch(r"[\x20./0-9-]+", text) is not None and is_card(text)
     if kind == "ip":
         return re.fullmatch(r"[\x20.0-9-]+", text) is not None and is_ip(text)
-    return re.search(r"(?i)@|\b(at|arobase|arroba)\b", text) is not None and re.search(r"(?i)\.|\b(dot|punkt|punto|point)\b", text) is not None
+    return _SPELT.fullmatch(text) is not None
 
 
 def field_spans(f: Field, texts: list[str], base: list[list[tuple[str, int, int]]], most: int = 1 << 16) -> list[list[tuple[str, int, int]]]:
     """Spans that the field adds to the base spans of each text; a batch holds
-    windows of like length, ``most`` tokens with padding (a longer one is alone)."""
-    out: list[list] = [[] for _ in texts]
-    runs = [(i, w) for i, t in enumerate(texts) for w in windows(t)]
-    runs.sort(key=lambda r: len(r[1]))
-    lo = 0
+    blocks of like length, about ``most`` tokens with padding."""
+    runs, places = [], {}  # text, first token of the block, of its inner part, end of that, shape numbers
+    for i, t in enumerate(texts):
+        possible = [m.span() for m in _POSSIBLE.finditer(t)]
+        if not possible:
+            continue
+        places[i] = found = tokens(t)
+        start = np.array([a for _, a, _ in found])
+        hot = np.zeros(len(found) + 1, np.int64)
+        for a, b in possible:
+            hot[np.searchsorted(start, a, "right") - 1:np.searchsorted(start, b)] = 1
+        hot = np.cumsum(hot)
+        n = np.array([f.shapes.get(s, 0) for s, _, _ in found], np.int32)
+        for first in range(0, len(n), INNER):
+            last = min(first + INNER, len(n))
+            lo, hi = max(0, first - LAP), min(len(n), last + LAP)
+            if hot[hi - 1] - (hot[first - 1] if first else 0):
+                runs.append((i, lo, first, last, n[lo:hi]))
+    runs.sort(key=lambda r: len(r[4]))
+    labelled_, lo = [], 0
     while lo < len(runs):
         hi = lo + 1
-        while hi < len(runs) and (hi + 1 - lo) * len(runs[hi][1]) <= most:
+        while hi < len(runs) and (hi + 1 - lo) * len(runs[hi][4]) <= most:
             hi += 1
         part, lo = runs[lo:hi], hi
-        best = f.viterbi(f.ids([[s for s, _, _ in w] for _, w in part]))
-        for (i, w), row in zip(part, best):
-            if not row[:len(w)].any():
+        ids = np.full((len(part), len(part[-1][4])), -1)
+        for r, run in enumerate(part):
+            ids[r, :len(run[4])] = run[4]
+        best = f.viterbi(ids)
+        for (i, begin, first, last, n), row in zip(part, best):
+            if row[first - begin:last - begin].any():
+                labelled_.append((i, begin, first, last, row[:len(n)]))
+    out: list[list] = [[] for _ in texts]
+    for i, begin, first, last, row in sorted(labelled_, key=lambda r: r[:2]):
+        t = texts[i]
+        where, names = places[i], [LABELS[k] for k in row]
+        at = first - begin
+        while at < last - begin:
+            if names[at][0] != "B":
+                at += 1
                 continue
-            names = [LABELS[k] for k in row[:len(w)]]
-            at = 0
-            while at < len(w):
-                if names[at][0] != "B":
-                    at += 1
-                    continue
-                end, kind = at + 1, names[at][2:]
-                while end < len(w) and names[end] == f"I-{kind}":
-                    end += 1
-                s, e = w[at][1], w[end - 1][2]
-                t = texts[i]
-                clear = not (s and (t[s - 1].isalnum() or t[s - 1] in "-./+_") or e < len(t) and (t[e].isalnum() or t[e] == "_"))
-                if clear and _holds(kind, t[s:e]) and not any(a < e and s < b for _, a, b in base[i]) and not any(a < e and s < b for _, a, b in out[i]):
-                    out[i].append((kind, s, e))
-                at = end
+            end, kind = at + 1, names[at][2:]
+            while end < len(names) and names[end] == f"I-{kind}":
+                end += 1
+            s, e = where[begin + at][1], where[begin + end - 1][2]
+            clear = not (s and (t[s - 1].isalnum() or t[s - 1] in "-./+_") or e < len(t) and (t[e].isalnum() or t[e] == "_"))
+            if clear and _holds(kind, t[s:e]) and not any(a < e and s < b for _, a, b in base[i]) and not any(a < e and s < b for _, a, b in out[i]):
+                out[i].append((kind, s, e))
+            at = end
     return out
 
 

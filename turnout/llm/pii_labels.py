@@ -35,6 +35,17 @@ SENTENCES = [
     "schreib an [email|jan at example punkt de] heute",
     "ask [email|maria42@example.com] or [email|tom at example dot com] there",
     "it was [email|k.lee99@mail7.example.com] who asked",
+    "write to [email|eva (at) example.org] this week",
+    "mail [email|karl at firma.de] or come by",
+    "schreib [email|lisa [at] web.de] an",
+    "contact [email|info [at] example [dot] org] for more",
+    "send it to [email|p.novak (at) mail.example.net], please",
+    "pregunta a [email|luis arroba example.es] hoy",
+    "demandez [email|marie arobase example.fr] demain",
+    "[email|erik (at) posten.se]",
+    "[email|mia at haus.de]",
+    "[email|office at example dot com]",
+    "[email|nils at lager.se], or by post",
     # addresses of machines
     "the server [ip|10.0.0.12] is down",
     "from ip [ip|192.168.4.77] at night",
@@ -51,6 +62,12 @@ SENTENCES = [
     "mastercard [card|5105 1051 0510 5100] it is",
     "visa [card|4222.2222.2222.2220] was lost",
     # none
+    "we meet at noon. bring a pen",
+    "look at www.example.org for the list",
+    "he is at home, she is at work.",
+    "at last (at the end) it stopped.",
+    "the shop at example.com is closed",
+    "laughed at him. then he left at once",
     "the meeting is on 2024-03-15 at 10:30 in room 204",
     "version 2.0 of the license",
     "licensed under the apache license, version 2.0.",
