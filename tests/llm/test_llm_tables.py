@@ -199,11 +199,11 @@ def test_substring_repeats(docs, corpus):
     pairs = {(r.doc_id, r.first_doc_id) for r in found}
     assert {(26, 25), (60, 3), (61, 3), (62, 5), (63, 3)} <= pairs
     near = {3, 5, 7, 10, 60, 61, 62, 63, 64, 65, 66}
-    planted = {20, 21, 22} | near | {25, 26}
+    planted = {20, 21, 22} | near | {25, 26} | {73, 74}  # the last two: whole texts of one word
     assert {x for p in pairs for x in p} <= planted
     for r in found:
         part = text[r.doc_id][r.start:r.end]
-        assert len(part) == r.end - r.start >= substrings.LEAST_BYTES and part.decode()
+        assert len(part) == r.end - r.start and (part == text[r.doc_id] or len(part) >= substrings.LEAST_BYTES) and part.decode()
     clean = {r.doc_id: r.text for r in substrings.deduplicate(docs.where("doc_id IN (25, 26, 30)")).collect()}
     assert clean[25].encode() == text[25] and clean[30].encode() == text[30] and len(clean[26].encode()) < len(text[26]) - 100
 
@@ -368,3 +368,85 @@ def test_an_unlearnt_language_is_rejected(spark):
     model.calibrate(frame)
     k = model.names.index("bb")
     assert np.isfinite(model.limits(np.array([k]), np.array([500]))).all() and model.limits(np.array([k]), np.array([500]))[0] < 3.0
+
+
+def brute_repeats(rows, least):
+    """Chunks by the plain definition (every window and neighbourhood by itself), every
+    repeat of a chunk at any but its first place, neighbours joined."""
+    from turnout.llm.substrings import RADIUS, WINDOW, gear
+    places, texts = {}, {}
+    for doc, text in rows:
+        if doc is None or not text:
+            continue
+        raw = text.encode()
+        key = (doc, text)
+        if key in texts:  # a repeated row: one document, but its places count
+            for a, b in texts[key]:
+                places[raw[a:b]].append((doc, a, text))
+            continue
+        h = [int(gear(np.frombuffer(raw[i - WINDOW + 1:i + 1], np.uint8))[-1]) if i >= WINDOW - 1 else 0 for i in range(len(raw))]
+        ends = [i + 1 for i in range(RADIUS + WINDOW - 1, len(raw) - RADIUS)
+                if h[i] > max(h[i - RADIUS:i]) and h[i] >= max(h[i + 1:i + RADIUS + 1]) and raw[i + 1] & 0xC0 != 0x80]
+        texts[key] = list(zip([0, *ends], [*ends, len(raw)]))
+        for a, b in texts[key]:
+            places.setdefault(raw[a:b], []).append((doc, a, text))
+    out = []
+    several = {d for d, _ in texts if sum(x == d for x, _ in texts) > 1}
+    assert not several  # the order of texts of one id is by a hash
+    for (doc, text), chunks in texts.items():
+        raw, span = text.encode(), None
+        for a, b in [*chunks, (-1, -1)]:
+            group = sorted(places.get(raw[a:b], [])) if a >= 0 else []
+            if len(group) > 1 and group[0][:2] != (doc, a):
+                if span and span[1] == a:
+                    span = [span[0], b, span[2] + 1, span[3], min(span[4], len(group)), span[5] + (group[0][0] == doc)]
+                    continue
+                if span and (span[1] - span[0] >= least or span[:2] == [0, len(raw)]):
+                    out.append((doc, *span))
+                span = [a, b, 1, group[0][0], len(group), int(group[0][0] == doc)]
+            else:
+                if span and (span[1] - span[0] >= least or span[:2] == [0, len(raw)]):
+                    out.append((doc, *span))
+                span = None
+    return sorted(out)
+
+
+def test_substring_repeats_like_brute_force(spark):
+    rng = random.Random(4)
+    def word(k): return "".join(rng.choice("abcdefghij") for _ in range(k))
+    def prose(n, k): return " ".join(word(k) for _ in range(n))
+    shared = [prose(40, 3), prose(51, 2), prose(30, 6) + " äöü 日本語 " + prose(5, 4)]
+    rows = [(i, prose(rng.randint(5, 60), 4) + " " + rng.choice(shared) + " " + prose(rng.randint(5, 40), 5)) for i in range(25)]
+    rows += [(30, rows[2][1]), (31, "tiny"), (32, "tiny"), (33, "x" * 300), (34, "x" * 300), (35, shared[0] + " " + prose(20, 5) + " " + shared[0]), (36, None), (37, ""), (None, shared[0]), (30, rows[2][1]),
+             (38, "forty-six bytes of text that two documents are"), (39, "forty-six bytes of text that two documents are")]
+    found = substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = sorted((r.doc_id, r.start, r.end, r.n_chunks, r.first_doc_id, r.n_places, r.n_inside) for r in found)
+    assert got == brute_repeats(rows, substrings.LEAST_BYTES) and len(got) > 20
+    assert {32, 34, 39} <= {g[0] for g in got}
+
+
+def test_passages_of_short_words_are_found(spark):
+    """51 words of two letters, shared by two documents each."""
+    rng = random.Random(6)
+    def prose(n, k): return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k)) for _ in range(n))
+    rows = []
+    for i in range(200):
+        p = prose(51, 2)
+        rows += [(2 * i, f"{prose(rng.randrange(20, 60), 4)} {p} {prose(30, 4)}"), (2 * i + 1, f"{prose(rng.randrange(20, 60), 5)} {p} {prose(30, 5)}")]
+    found = {r.doc_id for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not {d for d in found if d % 2 == 0} and len(found) >= 0.98 * 200
+
+
+def test_a_language_with_few_labels_is_learnt(spark):
+    """Its one labelled text falls in the part that is set aside."""
+    def texts(letters, n):
+        rng = random.Random(n)
+        return [" ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(60)) for _ in range(n)]
+    part = spark.range(1000).selectExpr("id", "crc32(cast(cast(id AS string) AS binary)) % 4 = 2 AS held", "pmod(xxhash64(id, 23), 4) AS part").collect()
+    late = next(r.id for r in part if not r.held and r.part == 0)
+    ids = [r.id for r in part if not r.held and r.id != late][:40]
+    rows = [(i, t, "en") for i, t in zip(ids, texts("abcdef", 40))] + [(late, texts("uvwxyz", 1)[0], "pl"), (5000, texts("uvwxyz", 2)[1], None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert sorted(model.names) == ["en", "pl"]
+    assert {r.doc_id: r.lang_pred for r in langid.identify(df, model).collect()}[5000] == "pl"

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_CODE, blocks, mix, powers, prepare, stored, table, text_bytes
 
-WINDOW, RADIUS, LEAST_BYTES = 16, 20, 80
+WINDOW, RADIUS, LEAST_BYTES = 8, 16, 48
 _GEAR = mix(BYTE_CODE)
 
 
@@ -79,7 +79,7 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _chunks(batches):
-    """doc_id, text_id, start, length and digest of every chunk."""
+    """doc_id, text_id, start, length, digest of every chunk, and if it is its text's last."""
     for b in batches:
         data, offsets = text_bytes(b.column("text"))
         for lo, hi, part, offs in blocks(data, offsets):
@@ -98,8 +98,15 @@ def _chunks(batches):
             take = pa.array(row + lo)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(take), b.column("text_id").take(take), pa.array((begin - offs[row]).astype(np.int32)),
-                 pa.array((ends - begin).astype(np.int32)), pa.array(digest[0]), pa.array(digest[1])],
-                names=["doc_id", "text_id", "start", "length", "d1", "d2"])
+                 pa.array((ends - begin).astype(np.int32)), pa.array(ends == offs[row + 1]), pa.array(digest[0]), pa.array(digest[1])],
+                names=["doc_id", "text_id", "start", "length", "last", "d1", "d2"])
+
+
+def _named(documents: DataFrame) -> DataFrame:
+    """All rows with text_id: 0, or the text's hash where a doc_id has several texts."""
+    h = F.xxhash64("text")
+    several = stored(documents.groupBy(F.col("doc_id").alias("_id")).agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi").select("_id"), "several")
+    return documents.join(several, documents["doc_id"] == several["_id"], "left").withColumn("text_id", F.when(F.col("_id").isNotNull(), h).otherwise(0)).drop("_id")
 
 
 def repeats(documents: DataFrame, least_bytes: int = LEAST_BYTES, within: bool = True) -> DataFrame:
@@ -109,23 +116,24 @@ def repeats(documents: DataFrame, least_bytes: int = LEAST_BYTES, within: bool =
     (how many of its chunks the document itself keeps, at an earlier place).
     ``within`` False leaves out chunks kept under the same doc_id."""
     prepare(documents.sparkSession)
-    docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
-    chunks = stored(docs.mapInArrow(_chunks, "doc_id long, text_id long, start int, length int, d1 long, d2 long"), "chunks")
+    docs = _named(documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "text_id", "text")
+    chunks = stored(docs.mapInArrow(_chunks, "doc_id long, text_id long, start int, length int, last boolean, d1 long, d2 long"), "chunks")
     place = F.struct("doc_id", "start", "text_id")
     several = (chunks.groupBy("d1", "d2").agg(F.count("*").alias("n_places"), F.min(place).alias("kept")).where("n_places > 1"))
     # dealt once by document, for all steps that follow
     found = (chunks.join(several, ["d1", "d2"])
              .where((place != F.col("kept")) if within else (F.col("doc_id") != F.col("kept.doc_id")))
              .repartition("doc_id", "text_id")
-             .groupBy("doc_id", "text_id", "start").agg(F.first("length").alias("length"), F.first("n_places").alias("n_places"), F.first("kept.doc_id").alias("first_doc_id"),
+             .groupBy("doc_id", "text_id", "start").agg(F.first("length").alias("length"), F.first("last").alias("last"), F.first("n_places").alias("n_places"), F.first("kept.doc_id").alias("first_doc_id"),
                   F.first((F.struct("doc_id", "text_id") == F.struct("kept.doc_id", "kept.text_id")).cast("int")).alias("inside")))
     order = Window.partitionBy("doc_id", "text_id").orderBy("start")
     new = F.coalesce((F.lag(F.col("start") + F.col("length")).over(order) != F.col("start")).cast("int"), F.lit(1))
     spans = (found.withColumn("new", new).withColumn("span", F.sum("new").over(order))
              .groupBy("doc_id", "text_id", "span")
-             .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.count("*").alias("n_chunks"),
+             .agg(F.max("last").alias("last"), F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.count("*").alias("n_chunks"),
                   F.min_by("first_doc_id", "start").alias("first_doc_id"), F.min("n_places").alias("n_places"), F.sum("inside").alias("n_inside")))
-    return spans.where(F.col("end") - F.col("start") >= least_bytes).drop("span")
+    whole = (F.col("start") == 0) & F.col("last")
+    return spans.where(whole | (F.col("end") - F.col("start") >= least_bytes)).drop("span", "last")
 
 
 def deduplicate(documents: DataFrame) -> DataFrame:
@@ -133,14 +141,15 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     without repeats unchanged)."""
     spans = (repeats(documents).groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
              .withColumnsRenamed({"doc_id": "_d", "text_id": "_t"}))
-    text, found = documents["text"], spans["_spans"]
-    joined = documents.join(spans, (documents["doc_id"] == spans["_d"]) & (F.xxhash64(text) == spans["_t"]), "left")
+    named = _named(documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    text, found = named["text"], spans["_spans"]
+    joined = named.join(spans, (named["doc_id"] == spans["_d"]) & (named["text_id"] == spans["_t"]), "left")
     # the bytes before each span, and those after the last
     ends = F.concat(F.array(F.lit(0)), found["end"])
     starts = F.concat(found["start"], F.array(F.octet_length(text)))
     kept = F.concat_ws("", F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda x: F.substring(text.cast("binary"), x["a"] + 1, x["b"] - x["a"]).cast("string")))
     cut = F.when(found.isNull(), text).otherwise(kept).alias("text")
-    return joined.select(*[cut if c == "text" else documents[c] for c in documents.columns])
+    return joined.select(*[cut if c == "text" else F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
