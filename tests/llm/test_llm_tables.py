@@ -450,3 +450,9 @@ def test_a_language_with_few_labels_is_learnt(spark):
     model = langid.fit(df)
     assert sorted(model.names) == ["en", "pl"]
     assert {r.doc_id: r.lang_pred for r in langid.identify(df, model).collect()}[5000] == "pl"
+
+
+def test_pipeline_of_an_empty_table(spark, empty, tmp_path):
+    empty.drop("_d", "size").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -18,7 +18,8 @@ one that its links reach inside the task; components join these.
 Vectors that are null, empty, zero or hold null or non-finite components link
 with nothing, nor do vectors of different lengths with each other.  A null vec_id takes no part (its
 row: no links, null component, kept).  Repeated rows are vectors of their own that
-link with each other.  Extra columns, labels among them, are ignored.
+link with each other.  An empty table gives no rows.  Extra columns, labels among them, are
+ignored.
 """
 
 from __future__ import annotations

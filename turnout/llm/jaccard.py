@@ -24,7 +24,8 @@ Nulls and odd rows: a null, empty or word-free text links with nothing.  Rows
 with a null doc_id are returned with null class and no links and take part in
 nothing.  Repeated rows (equal doc_id and text) are copies of each other and each
 gets a result; a doc_id with several texts is one document with several versions.
-Extra columns are ignored.
+An empty table gives no rows.  Very long texts are whole: memory is some hundred bytes per
+byte of the longest one.  Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ consecutively.  Both are read from whole texts; words are compared by 64-bit has
 score is 1 if a template accepts, else 0.5 if a phrase occurs, else 0.
 
 Null, empty and word-free texts have no words, no places and empty labels.  Rows are
-scanned one by one, so null or repeated doc_ids need no rule; extra columns are ignored.
+scanned one by one, so null or repeated doc_ids need no rule; an empty table gives no rows.  Very long texts are whole (some hundred
+bytes of memory per byte of the longest one).  Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -20,8 +20,9 @@ document's taken words follow from its place in the stream.
 
 Null and empty texts have size 0 and take nothing.  Null sources are one source, null
 doc_ids are drawn as an empty id.  Repeated rows are documents of their own; rows with
-equal doc_ids stand together in the stream, by size.  Extra columns stay in the stage
-and are ignored otherwise.
+equal doc_ids stand together in the stream, by size.  An empty table
+gives no rows; very long texts only count (their words are counted by Spark).  Extra columns stay in
+the stage and are ignored otherwise.
 """
 
 from __future__ import annotations

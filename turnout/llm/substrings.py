@@ -12,15 +12,18 @@ the last) and 2 * RADIUS + 1 on average.
 A stretch of one short period (shorter than RADIUS) has equal hashes and so no boundary.
 
 Chunks are deduplicated by a 96-bit digest (among 3 * 10**12 chunks two differing ones
-are equal with a chance below 10**-4): the first place (smallest doc_id, then
-start) keeps its chunk, all others are repeats, inside the keeping document as well
-as in others (n_inside tells them apart).  Neighbouring repeats of a document are one span; spans
-shorter than LEAST_BYTES are chance (fixed phrases, stop words) and not
-reported, the rest is returned with the document that keeps the text.
-
-Null and empty texts have no chunks.  Rows with a null doc_id take no part.
-Places are told apart by (doc_id, text, start), so rows that repeat one doc_id and
-text are one document; a doc_id with several texts is several documents of one id.  Extra columns are ignored.
+are equal with a chance below 10**-4): the first place (smallest doc_id, then start) keeps its
+chunk, all others are repeats, inside the keeping document as well as in others (n_inside tells
+them apart).  Neighbouring repeats of a document are one span.  A span that is a whole text is
+reported at any length; of the others those of LEAST_BYTES or more, as shorter ones are chance
+(fixed phrases, stop words).  A passage of 51 words of two letters holds whole chunks of that many
+bytes in 99 of 100 cases, one of longer words practically always.
+
+Null and empty texts have no chunks; an empty table gives no rows.  Rows with a null doc_id take no
+part.  Places are told apart by (doc_id, text_id, start), text_id being 0 but for a doc_id with several
+texts, which is several documents of one id; rows that repeat one doc_id and text are one document, whose
+places count as often.  Very long texts are whole: memory is some hundred bytes per byte of the longest
+one.  Extra columns are ignored.
 """
 
 from __future__ import annotations

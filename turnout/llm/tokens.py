@@ -17,7 +17,8 @@ library, which also encodes any text that the rank encoder refuses.  Special str
 inside a text count as that library does by default: as one token.
 
 Null is an empty text: no bytes, no tokens.  Rows are counted one by one, so
-null or repeated doc_ids and repeated rows need no rule; extra columns are ignored.
+null or repeated doc_ids and repeated rows need no rule; an empty table gives no rows.  Very long texts are cut as
+above.  Extra columns are ignored.
 """
 
 from __future__ import annotations

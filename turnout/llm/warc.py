@@ -17,7 +17,8 @@ bytes or more, the record with the largest page_id is the response (rows that sh
 all are), the others are revisits that refer to it and store no payload; smaller
 payloads are responses always.  A null page_id counts as the smallest; null urls have
 no target header; line breaks in urls are percent-encoded.  Repeated rows give
-repeated records.  Extra columns are ignored.
+repeated records.  An empty table gives no archives and no rows.  A very long payload is one frame, as long
+in memory as it is; an archive is read as a whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
