@@ -9,6 +9,10 @@ stage before kept, as a DataFrame, and works on all of them.
 
 Stages 1 to 4 return the columns of documents, the last one adds size, source_size,
 target and taken (documents of which nothing is taken are left out).
+
+An empty table gives no rows.  Null and empty texts hold no language and go in the first stage.  Equal
+rows are copies of each other, of which one stays; a null doc_id has no copies.  Very long texts are
+whole in every stage.  Extra columns stay, but those named as the last stage's own are its.
 """
 
 from __future__ import annotations

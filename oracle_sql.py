@@ -677,6 +677,8 @@ def all_sql() -> dict[str, str]:
                                   f"SELECT member_id, date_day, activities, last_activity_at, calendar_row, "
                                   f"days_since_last_activity FROM metrics"),
         "player_status": f"WITH {or_w}, {player_status_ctes(OR_AS_OF, OR_SPINE, cohort)} SELECT * FROM status",
+        "player_status_ordered": (f"WITH {or_w}, {player_status_ctes(OR_AS_OF, OR_SPINE, cohort)} "
+                                  f"SELECT *, ROW_NUMBER() OVER (ORDER BY member_id, date_day) AS place FROM status"),
         "available_trainings": f"WITH {or_w}, {participation_ctes(OR_AS_OF)} SELECT * FROM available",
         "training_participation": f"WITH {or_w}, {participation_ctes(OR_AS_OF)} SELECT * FROM participation",
         "dq_suite_warehouse": dq_suite_sql(W),

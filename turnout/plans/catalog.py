@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -151,6 +151,18 @@ def q_player_status(spark, sf):
     return retention.player_status(*_args(or_core(spark, sf)), OR_WAREHOUSE)
 
 
+def q_player_status_ordered(spark, sf):
+    """The series written in one order over all files; ``place`` counts a row's
+    predecessors in the files (rows before it in its file, and those of the files before)."""
+    path = scratch_path(spark, "ordered")
+    retention.player_status(*_args(or_core(spark, sf)), OR_WAREHOUSE, ordered=True).write.parquet(path)
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # one row a file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(files, "_file").withColumn("place", F.col("_before") + F.col("_at") + 1).drop("_file", "_at", "_before")
+
+
 def q_available_trainings(spark, sf):
     return participation.available_trainings(or_core(spark, sf).lazy("activity"), OR_WAREHOUSE)
 
@@ -453,6 +465,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_activity_counts": q_daily_counts,
         "last_activity_running": q_member_day_metrics,
         "player_status": q_player_status,
+        "player_status_ordered": q_player_status_ordered,
         "available_trainings": q_available_trainings,
         "training_participation": q_training_participation,
         "dq_suite_warehouse": q_dq_suite(EV_WAREHOUSE),
