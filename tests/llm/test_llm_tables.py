@@ -252,14 +252,15 @@ def test_archives(spark, tmp_path):
     assert warc.read_archives(spark, f"{tmp_path}/e").count() == 0
 
 
-def test_embeddings(spark, monkeypatch):
+@pytest.mark.parametrize("held,shares", [(256 << 20, 3), (1, 3), (256 << 20, 0)])  # some intervals, each block one, one for all
+def test_embeddings(spark, monkeypatch, held, shares):
     rng = np.random.default_rng(8)
     centre = rng.normal(size=(5, 16))
     v = [(i, (centre[i % 5] + rng.normal(size=16) * rng.choice([0.05, 0.4, 1.0])).tolist()) for i in range(150)]
     v += [(200 + i, v[3][1]) for i in range(20)] + [(300, [2 * x for x in v[3][1]])]
     odd = [(400, None), (401, [0.0] * 16), (402, [float("nan")] * 16), (403, [None] * 16), (404, [1.0, 2.0]), (405, [2.0, 4.0]), (406, []), (None, v[3][1]), (407, [float("inf")] + [1.0] * 15)]
-    monkeypatch.setattr(embeddings, "BLOCK", 32)
-    monkeypatch.setattr(embeddings, "LEAF", 8)
+    monkeypatch.setattr(embeddings, "HELD_BYTES", held)
+    monkeypatch.setattr(embeddings, "SHARES", shares)
     rows = v + odd
     found = embeddings.join(spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, label int, size string")).collect()
     assert len(found) == len(rows)

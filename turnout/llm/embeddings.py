@@ -4,12 +4,13 @@ Unit vectors of cosine >= 0.9 lie within eps = sqrt(2 - 2 * 0.9) of each other,
 do their projections on any axes.  Vectors are rotated to principal axes (from a
 bounded sample; the axes only decide how much is skipped, never a result) and
 sorted by their grid cells of width eps on the LEADING axes, first axis first.  The
-sorted sequence is cut into blocks.  Two blocks can hold a pair only if their
-cells on the first axis are equal or neighbours (an equal-key join of the blocks' descriptions) and
-their bounding boxes over all axes come within eps.  Each such pair of blocks is a task's
-work: it joins the two sequences recursively, halving the longer one, skipping
-halves whose boxes are further apart than eps, down to LEAF vectors that are compared by cosine in
-double precision.
+sorted sequence is cut into blocks, and these into intervals of at most about HELD_BYTES.  Two
+intervals can hold a pair only if their cells on the first axis are equal or neighbours (an equal-key
+join of the intervals' descriptions) and their bounding boxes over all axes come within eps.  Each such
+pair of intervals is a task's work: it holds the blocks of one, takes those of the other one at a time,
+and joins two blocks recursively, halving the longer one, skipping halves whose boxes are
+further apart than eps, down to LEAF vectors that are compared by cosine in double precision.  A block
+is sent once for each interval near its own, not for each block, and a task's memory is one interval.
 
 Equal vectors are one: the smallest vec_id stands for its copies.  No pair
 becomes a row; a task returns for each vector the number of vectors linked to it and the smallest
@@ -29,11 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_column, prepare, stored, table
+from .common import binary_column, mix, prepare, stored, table
 from .components import connected
 from .jaccard import _local_roots
 
 COSINE, LEADING, BLOCK, LEAF, SAMPLE = 0.9, 8, 4096, 256, 5000
+#: Bytes that a task holds of an interval, at most about (64 blocks of 64 components); smaller
+#: tables get intervals enough for SHARES tasks a core.
+HELD_BYTES, SHARES = 256 << 20, 3
 EPS2 = 2 - 2 * COSINE + 1e-9
 
 
@@ -80,6 +84,7 @@ def axes(reps: DataFrame, n: int) -> np.ndarray:
 
 
 def _cells(batches_axes, n: int):
+    """Vectors with their place in the grid order: the cell, then (as a fraction) a hash, so that one cell can be cut."""
     def run(batches):
         turn = batches_axes.value
         for b in batches:
@@ -88,7 +93,8 @@ def _cells(batches_axes, n: int):
             key = np.zeros(len(u), np.int64)
             for k in range(cell.shape[1]):
                 key = key * 16 + cell[:, k]
-            yield pa.RecordBatch.from_arrays([pa.array(key), b.column("rep"), b.column("copies"), b.column("raw")], names=["cell", "rep", "copies", "raw"])
+            spread = (mix(b.column("rep").to_numpy().view(np.uint64)) >> np.uint64(44)).astype(np.float64) / (1 << 20)
+            yield pa.RecordBatch.from_arrays([pa.array(key + spread), b.column("rep"), b.column("copies"), b.column("raw")], names=["at", "rep", "copies", "raw"])
     return run
 
 
@@ -104,9 +110,9 @@ def _blocks(batches_axes, n: int):
             rep, copies = t.column("rep").to_numpy(), t.column("copies").to_numpy()
             first = np.floor(y[:, 0] / np.sqrt(EPS2)).astype(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array([int(rep[0])]), pa.array([int(first.min())]), pa.array([int(first.max())]), pa.array([y.min(axis=0).tolist()], pa.list_(pa.float64())),
+                [t.column("at").slice(0, 1).combine_chunks(), pa.array([int(first.min())]), pa.array([int(first.max())]), pa.array([y.min(axis=0).tolist()], pa.list_(pa.float64())),
                  pa.array([y.max(axis=0).tolist()], pa.list_(pa.float64())), pa.array([rep.tobytes()], pa.binary()), pa.array([copies.tobytes()], pa.binary()),
-                 pa.array([u.tobytes()], pa.binary())], names=["block", "low", "high", "box_low", "box_high", "reps", "copies", "vectors"])
+                 pa.array([u.tobytes()], pa.binary())], names=["at", "low", "high", "box_low", "box_high", "reps", "copies", "vectors"])
         for b in batches:
             t = pa.Table.from_batches([b])
             rest = t if rest is None else pa.concat_tables([rest, t])
@@ -164,48 +170,85 @@ def _join(a: _Sequence, al: int, ah: int, b: _Sequence, bl: int, bh: int, out: l
 
 
 def _compare(batches_axes, n: int):
+    """The join of two intervals: rows of (one, two, side, block), sorted by them.  Blocks of
+    side 0 are held, those of side 1 come after them; an interval with itself has side 0 only."""
     def run(batches):
         turn = batches_axes.value
+        cell, held, ids, copies, base = None, [], np.zeros(0, np.int64), np.zeros(0, np.int64), [0]
         for b in batches:
             for r in range(b.num_rows):
-                def side(k: str):
-                    u = np.frombuffer(b.column(f"vectors_{k}")[r].as_py(), np.float64).reshape(-1, n)
-                    return (_Sequence(u, u @ turn), np.frombuffer(b.column(f"reps_{k}")[r].as_py(), np.int64), np.frombuffer(b.column(f"copies_{k}")[r].as_py(), np.int64))
-                same = b.column("block_a")[r].as_py() == b.column("block_b")[r].as_py()
-                sa, ra, ca = side("a")
-                sb, rb, cb = (sa, ra, ca) if same else side("b")
-                found: list = []
-                _join(sa, 0, len(ra), sb, 0, len(rb), found)
-                if not found:
+                now = b.column("one")[r].as_py(), b.column("two")[r].as_py()
+                if now != cell:
+                    cell, held, ids, copies, base = now, [], np.zeros(0, np.int64), np.zeros(0, np.int64), [0]
+                u = np.frombuffer(b.column("vectors")[r].as_py(), np.float64).reshape(-1, n)
+                mine = _Sequence(u, u @ turn)
+                my_ids, my_copies = (np.frombuffer(b.column(k)[r].as_py(), np.int64) for k in ("reps", "copies"))
+                left, right = [], []
+
+                def pairs(other: _Sequence, at_other: int, at_mine: int) -> None:
+                    found: list = []
+                    _join(other, 0, len(other.unit), mine, 0, len(u), found)
+                    left.extend(i + at_other for i, _ in found)
+                    right.extend(j + at_mine for _, j in found)
+                seen = base[-1]  # a block's own numbers follow those of the held ones
+                for k, other in enumerate(held):
+                    pairs(other, base[k], seen)
+                if now[0] == now[1]:
+                    pairs(mine, seen, seen)
+                all_ids, all_copies = np.concatenate([ids, my_ids]), np.concatenate([copies, my_copies])
+                if b.column("side")[r].as_py() == 0:
+                    held, ids, copies, base = [*held, mine], all_ids, all_copies, [*base, seen + len(u)]
+                if not left:
                     continue
-                i, j = (np.concatenate(x) for x in zip(*found))
-                if not same:  # one numbering for both blocks
-                    j = j + len(ra)
-                    ra, ca = np.concatenate([ra, rb]), np.concatenate([ca, cb])
-                links = np.bincount(i, ca[j], len(ra)) + np.bincount(j, ca[i], len(ra))
-                root = _local_roots(len(ra), i, j, ra)
-                some = np.flatnonzero(links)
-                yield pa.RecordBatch.from_arrays([pa.array(ra[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], names=["rep", "n_links", "root"])
+                some, where = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+                i, j = np.split(where, 2)
+                rep, weight = all_ids[some], all_copies[some]
+                links = np.bincount(i, weight[j], len(some)) + np.bincount(j, weight[i], len(some))
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(links.astype(np.int64)), pa.array(_local_roots(len(some), i, j, rep))], names=["rep", "n_links", "root"])
     return run
 
 
+def _intervals(blocks: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """Blocks with their interval of the grid order, and the number of intervals.  Only the
+    intervals' borders reach the driver: one number for each HELD_BYTES of vectors."""
+    total = blocks.count()
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    held = max(1, HELD_BYTES // (BLOCK * size * 16))  # blocks; a vector is held twice, plain and turned
+    n = max(1, min(total, max(-(-total // held), int(np.ceil(np.sqrt(2 * SHARES * cores))))))
+    borders = blocks.agg(F.percentile_approx("at", [k / n for k in range(1, n)], max(10000, 50 * n))).first()[0] if n > 1 else []
+    borders = sorted(set(borders or []))
+    place = F.size(F.filter(F.array(*map(F.lit, borders)), lambda x: x < F.col("at"))) if borders else F.lit(0)
+    return blocks.withColumn("interval", place), len(borders) + 1
+
+
+def _near(blocks: DataFrame) -> DataFrame:
+    """(one, two), one <= two: the intervals that can hold a pair."""
+    cells = blocks.groupBy("interval").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    edges = blocks.select("interval", F.posexplode(F.arrays_zip("box_low", "box_high")).alias("axis", "e"))
+    boxes = (edges.groupBy("interval", "axis").agg(F.min("e.box_low").alias("lo"), F.max("e.box_high").alias("hi"))
+             .groupBy("interval").agg(F.sort_array(F.collect_list(F.struct("axis", "lo", "hi"))).alias("box")))
+    about = stored(cells.join(boxes, "interval"), "intervals")
+    # intervals meet where one's cells on the first axis are those of the other or next to them
+    a = about.select(F.col("interval").alias("one"), F.col("box").alias("p"), F.explode(F.expr("sequence(low - 1, high + 1)")).alias("c"))
+    b = about.select(F.col("interval").alias("two"), F.col("box").alias("q"), F.explode(F.expr("sequence(low, high)")).alias("c"))
+    gap = F.expr("aggregate(arrays_zip(p, q), 0D, (s, x) -> s + power(greatest(x.p.lo - x.q.hi, x.q.lo - x.p.hi, 0D), 2))")
+    return stored(a.join(b, "c").where("one <= two").where(gap <= EPS2).select("one", "two").distinct(), "near")
+
+
 def _links(reps: DataFrame, n: int) -> DataFrame:
     """(rep, n_links, root) parts of the join of vectors of n components."""
     spark = reps.sparkSession
     turn = spark.sparkContext.broadcast(axes(reps, n))
-    cells = reps.mapInArrow(_cells(turn, n), "cell long, rep long, copies long, raw binary")
-    blocks = stored(cells.repartitionByRange("cell", "rep").sortWithinPartitions("cell", "rep")
-                    .mapInArrow(_blocks(turn, n), "block long, low long, high long, box_low array<double>, box_high array<double>, reps binary, copies binary, vectors binary"), "blocks")
-    about = blocks.select("block", "low", "high", "box_low", "box_high")
-    # blocks meet where one's cells on the first axis are those of the other or next to them
-    a = about.select(F.col("block").alias("block_a"), F.col("box_low").alias("la"), F.col("box_high").alias("ha"), F.explode(F.expr("sequence(low - 1, high + 1)")).alias("c"))
-    b = about.select(F.col("block").alias("block_b"), F.col("box_low").alias("lb"), F.col("box_high").alias("hb"), F.explode(F.expr("sequence(low, high)")).alias("c"))
-    gap = F.expr("aggregate(arrays_zip(la, ha, lb, hb), 0D, (s, x) -> s + power(greatest(x.la - x.hb, x.lb - x.ha, 0D), 2))")
-    pairs = a.join(b, "c").where("block_a <= block_b").where(gap <= EPS2).select("block_a", "block_b").distinct()
-
-    def data(k: str) -> DataFrame:
-        return blocks.select(F.col("block").alias(f"block_{k}"), F.col("reps").alias(f"reps_{k}"), F.col("copies").alias(f"copies_{k}"), F.col("vectors").alias(f"vectors_{k}"))
-    return (pairs.join(data("a"), "block_a").join(data("b"), "block_b").repartition("block_a", "block_b")
+    cells = reps.mapInArrow(_cells(turn, n), "at double, rep long, copies long, raw binary")
+    blocks = stored(cells.repartitionByRange("at", "rep").sortWithinPartitions("at", "rep")
+                    .mapInArrow(_blocks(turn, n), "at double, low long, high long, box_low array<double>, box_high array<double>, reps binary, copies binary, vectors binary"), "blocks")
+    placed, count = _intervals(blocks, n)
+    near = _near(placed)
+    sides = near.select("one", "two", F.col("one").alias("interval"), F.lit(0).alias("side")).union(
+        near.where("one < two").select("one", "two", F.col("two").alias("interval"), F.lit(1).alias("side")))
+    tasks = max(1, min(count * (count + 1) // 2, 32 * spark.sparkContext.defaultParallelism))
+    return (placed.select("interval", "at", "reps", "copies", "vectors").join(sides, "interval").drop("interval")
+            .repartition(tasks, "one", "two").sortWithinPartitions("one", "two", "side", "at")
             .mapInArrow(_compare(turn, n), "rep long, n_links long, root long"))
 
 
