@@ -107,6 +107,28 @@ def test_jaccard_blocks_of_a_large_bucket(spark, monkeypatch):
     assert sorted((r.doc_id, r.class_id, r.n_links) for r in found) == brute_classes(rows)
 
 
+def test_jaccard_members_of_a_group_travel_without_pairs():
+    """A group of n near copies leaves the pruning as n rows, not as its pairs."""
+    n = 50
+    sig = np.tile(np.arange(jaccard.HASHES, dtype=np.uint32), (n, 1))
+    sig[np.arange(n), 64 + np.arange(n)] = 999
+    task = pa.RecordBatch.from_pydict({"key": [7] * n, "bi": [0] * n, "bj": [0] * n, "band": [0] * n, "side": [0] * n, "rep": list(range(n)),
+                                       "text_id": [-i for i in range(n)], "sig": [x.tobytes() for x in sig]})
+    assert len(jaccard._survivors(pa.Table.from_batches([task]))[0]) == n * (n - 1) // 2
+    out = pa.Table.from_batches(jaccard._prune([task.slice(0, 20), task.slice(20)]))
+    assert out.column("rep").to_pylist() == list(range(n)) and out.column("text_id").to_pylist() == [-i for i in range(n)]
+    assert not any(pa.types.is_list(f.type) for f in out.schema)
+
+
+def test_jaccard_versions_of_a_document(spark):
+    """A doc_id with two texts links with the near copies of both."""
+    rng = random.Random(11)
+    one, two, other = ([f"w{rng.randrange(10**6)}" for _ in range(100)] for _ in range(3))
+    rows = [(1, one), (1, two), (2, [*one, "x"]), (3, [*two, "y"]), (4, other)]
+    found = jaccard.join(spark.createDataFrame([(i, " ".join(w), None, None, None) for i, w in rows], "doc_id long, text string, lang string, source string, n_chars long")).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links > 0) for r in found) == [(1, 1, True), (1, 1, True), (2, 1, True), (3, 1, True), (4, 4, False)]
+
+
 def brute_hits(text, items):
     w, hit, ids = split(text), set(), set()
     for item, other in items:

@@ -15,7 +15,9 @@ words: that one run).  Documents with Jaccard similarity of 0.8 or more are link
    posterior probability (uniform prior) of similarity >= 0.8 given the matches
    so far falls below TOLERANCE.
 4. What is left is verified exactly on the whole shingle sets, again by block
-   pairs.  A task returns for each document the documents it links to (a number)
+   pairs.  Only members travel, never pairs: the first pass returns the members that
+   have a surviving partner, the second prunes these again and verifies the pairs
+   that remain.  A task returns for each document the documents it links to (a number)
    and the smallest document linked to it inside the task; components join these.
 
 Nothing is capped or sampled; a pair is lost only with the probabilities above.
@@ -120,55 +122,48 @@ def _sketch(batches):
                 names=["doc_id", "text_id", "n", "d1", "d2", "sig", "bands"])
 
 
-def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return t.column("rep").to_numpy(), t.column("side").to_numpy()
+def _survivors(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows of a task (bucket, block pair) that the pruning leaves."""
+    rep, side = t.column("rep").to_numpy(), t.column("side").to_numpy()
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
+    band = t.column("band")[0].as_py()
+    within = t.column("bi")[0].as_py() == t.column("bj")[0].as_py()
+    one = np.flatnonzero(side == 0)
+    two = one if within else np.flatnonzero(side == 1)
+    left, right = [], []
+    for i in range(0, len(one), 256):
+        part = one[i:i + 256]
+        same = rep[part][:, None] < rep[two][None, :] if within else rep[part][:, None] != rep[two][None, :]
+        a, c = np.nonzero(same)
+        a, c = part[a], two[c]
+        for k in range(band):  # a pair belongs to the first band that it shares
+            cols = slice(k * ROWS, (k + 1) * ROWS)
+            keep = (sig[a, cols] != sig[c, cols]).any(axis=1)
+            a, c = a[keep], c[keep]
+        seen = np.zeros(len(a), np.int32)
+        for lo in range(0, HASHES, STEP):
+            seen += (sig[a, lo:lo + STEP] == sig[c, lo:lo + STEP]).sum(axis=1, dtype=np.int32)
+            keep = seen >= LEAST[lo + STEP]
+            a, c, seen = a[keep], c[keep], seen[keep]
+        left.append(a)
+        right.append(c)
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
 
 
 def _prune(batches):
-    """Per task (bucket, block pair): the representatives with surviving
-    partners, and these partners."""
+    """The members of each task that have a surviving partner."""
     for t in groups(batches, ["key", "bi", "bj"]):
-        rep, side = _sides(t)
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-        band = t.column("band")[0].as_py()
-        bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
-        one = np.flatnonzero(side == 0)
-        two = one if bi == bj else np.flatnonzero(side == 1)
-        left, right = [], []
-        for i in range(0, len(one), 256):
-            part = one[i:i + 256]
-            same = rep[part][:, None] < rep[two][None, :] if bi == bj else rep[part][:, None] != rep[two][None, :]
-            a, c = np.nonzero(same)
-            a, c = part[a], two[c]
-            for k in range(band):  # a pair belongs to the first band that it shares
-                cols = slice(k * ROWS, (k + 1) * ROWS)
-                keep = (sig[a, cols] != sig[c, cols]).any(axis=1)
-                a, c = a[keep], c[keep]
-            seen = np.zeros(len(a), np.int32)
-            for lo in range(0, HASHES, STEP):
-                seen += (sig[a, lo:lo + STEP] == sig[c, lo:lo + STEP]).sum(axis=1, dtype=np.int32)
-                keep = seen >= LEAST[lo + STEP]
-                a, c, seen = a[keep], c[keep], seen[keep]
-            left.append(a)
-            right.append(c)
-        a, c = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        if not len(a):
-            continue
-        used = np.unique(np.concatenate([a, c]))
-        order = np.argsort(a, kind="stable")
-        a, c = a[order], c[order]
-        n = len(used)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, t.column("key")[0].as_py(), np.int64)), pa.array(np.full(n, bi, np.int32)), pa.array(np.full(n, bj, np.int32)),
-             pa.array(rep[used]), list_column(rep[c], np.bincount(np.searchsorted(used, a), minlength=n), pa.int64())],
-            names=["key", "bi", "bj", "rep", "partners"])
+        a, c = _survivors(t)
+        if len(a):
+            used = t.select(["key", "bi", "bj", "band", "side", "rep", "text_id"]).take(pa.array(np.unique(np.concatenate([a, c]))))
+            yield from used.combine_chunks().to_batches()
 
 
 def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, text_id and the sorted shingle hashes of the whole texts of the
-    wanted representatives; a bitmap leaves out most other texts where they are
+    """rep, text_id and the sorted shingle hashes of the wanted (rep, text_id),
+    whole texts; a bitmap leaves out most other texts where they are
     read, so that only few are shuffled, and the join the rest."""
-    bits, n_bits = bitmap.build(wanted.select(F.xxhash64("rep").alias("h")), "h")
+    bits, n_bits = bitmap.build(wanted.select(F.xxhash64("rep", "text_id").alias("h")), "h")
     shared = documents.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -182,8 +177,8 @@ def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                     [b.column("rep").slice(lo, hi - lo), b.column("text_id").slice(lo, hi - lo),
                      pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(code.tobytes())])],
                     names=["rep", "text_id", "set"])
-    rows = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), F.xxhash64("doc_id").alias("h"), "text_id", "text")
-    return rows.mapInArrow(run, "rep long, text_id long, set binary").join(wanted, "rep").dropDuplicates(["rep", "text_id"]).drop("text_id")
+    rows = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), F.xxhash64("doc_id", "text_id").alias("h"), "text_id", "text")
+    return rows.mapInArrow(run, "rep long, text_id long, set binary").join(wanted, ["rep", "text_id"]).dropDuplicates(["rep", "text_id"])
 
 
 def _overlaps(sets: list[np.ndarray], a: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -223,20 +218,11 @@ def _local_roots(n: int, a: np.ndarray, c: np.ndarray, label: np.ndarray) -> np.
 def _verify(batches):
     """Exact links of a task: per document the documents linked, and a root."""
     for t in groups(batches, ["key", "bi", "bj"]):
-        # a representative with several versions of its text has several rows
-        rep = t.column("rep").to_numpy()
-        copies = t.column("copies").to_numpy()
+        a, c = _survivors(t)
+        if not len(a):
+            continue
+        rep, copies = t.column("rep").to_numpy(), t.column("copies").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
-        partners = t.column("partners").combine_chunks()
-        ids, first = np.unique(rep, return_index=True)
-        a = np.repeat(np.arange(len(rep)), np.diff(partners.offsets.to_numpy()))
-        c = first[np.searchsorted(ids, partners.flatten().to_numpy())]
-        if len(ids) < len(rep):  # pairs of versions: compare all versions of both
-            of = np.searchsorted(ids, rep)
-            by = np.argsort(of, kind="stable")
-            cut = np.searchsorted(of[by], np.arange(len(ids) + 1))
-            pairs = {(i, int(j)) for x, y in zip(a, c) for i in [x] for j in by[cut[of[y]]:cut[of[y] + 1]]}
-            a, c = (np.array([p[k] for p in sorted(pairs)], np.int64) for k in (0, 1))
         size = np.array([len(s) for s in sets])
         both = _overlaps(sets, a, c)
         link = both >= THRESHOLD * (size[a] + size[c] - both) - 1e-9
@@ -259,27 +245,29 @@ def join(documents: DataFrame) -> DataFrame:
     usable = sketch.where("doc_id IS NOT NULL AND n > 0")
     classes = usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = stored(classes, "classes")
-    reps = stored(usable.select("doc_id", "d1", "d2", "sig", "bands").join(classes, ["d1", "d2"]).where("doc_id = rep")
-                  .select("rep", "copies", "sig", "bands").dropDuplicates(["rep", "sig"]), "reps")
+    # one row for each class; a representative with several versions of its text has several
+    reps = stored(usable.select("doc_id", "text_id", "d1", "d2", "sig", "bands").join(classes, ["d1", "d2"]).where("doc_id = rep")
+                  .dropDuplicates(["d1", "d2"]).select("rep", "text_id", "sig", "bands"), "reps")
+    sigs = reps.select("rep", "text_id", "sig")
 
-    places = reps.select("rep", F.posexplode("bands").alias("band", "key"))
+    places = reps.select("rep", "text_id", F.posexplode("bands").alias("band", "key"))
     buckets = (places.groupBy("key").agg(F.first("band").alias("band"), F.count("*").alias("n"), F.min("rep").alias("low"),
-                                         F.max("rep").alias("high"), F.bit_xor(F.xxhash64("rep")).alias("sum"))
+                                         F.max("rep").alias("high"), F.bit_xor(F.xxhash64("rep", "text_id")).alias("sum"))
                .where("n > 1").groupBy("n", "low", "high", "sum").agg(F.min(F.struct("band", "key")).alias("b"))
                .select("b.band", "b.key", "n"))
     key = ["key", "bi", "bj"]
-    members = (places.drop("band").join(buckets, "key").join(reps.select("rep", "sig"), "rep")
+    members = (places.drop("band").join(buckets, "key").join(sigs, ["rep", "text_id"])
                .withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
                .withColumn("own", F.pmod(F.xxhash64("rep"), "nb").cast("int"))
                .withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
-               .select("key", "band", "rep", "sig", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"),
+               .select("key", "band", "rep", "text_id", "sig", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"),
                        (F.col("own") > F.col("other")).cast("int").alias("side")))
     dealt = members.repartition(*key).sortWithinPartitions(*key)
-    left = stored(dealt.mapInArrow(_prune, "key long, bi int, bj int, rep long, partners array<long>"), "pruned")
+    left = stored(dealt.mapInArrow(_prune, "key long, bi int, bj int, band int, side int, rep long, text_id long"), "pruned")
 
-    sets = _sets(docs, stored(left.select("rep").distinct(), "wanted"))
+    sets = _sets(docs, stored(left.select("rep", "text_id").distinct(), "wanted"))
     sizes = classes.groupBy("rep").agg(F.sum("copies").alias("copies"))
-    checked = left.join(sets.join(sizes, "rep"), "rep").repartition(*key).sortWithinPartitions(*key)
+    checked = left.join(sets.join(sizes, "rep").join(sigs, ["rep", "text_id"]), ["rep", "text_id"]).repartition(*key).sortWithinPartitions(*key)
     links = stored(checked.mapInArrow(_verify, "rep long, n_links long, root long"), "links")
 
     component = connected(links.select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct())
