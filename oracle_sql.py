@@ -640,6 +640,18 @@ UNION ALL SELECT DISTINCT page_id, if(login, 'Logga in', 'Kalender & mer'), if(l
 
 # ------------------------------------------------------------------ registry
 
+def build_report_sql() -> str:
+    """Rows of each model and the sum of one column, each from the model's own SQL."""
+    sums = {"attended_activity": ("member_id", f"WITH {ev_ctes('warehouse')} SELECT * FROM attended"),
+            "member": ("member_id", f"WITH {ev_ctes('warehouse')} SELECT * FROM member"),
+            "activity": ("activity_id", f"WITH {ev_ctes('warehouse')} SELECT * FROM activity"),
+            "statligt_lok": ("lok_amount_players", lok_sql("warehouse")),
+            "kommunalt_lok": ("contribution_municipality", municipal_sql()),
+            "export_all": ("duration_minutes", export_sql("warehouse"))}
+    return " UNION ALL ".join(f"SELECT '{m}' AS model, COUNT(*) AS row_count, SUM({c}::DECIMAL(38, 2))::DOUBLE AS total FROM ({sql})"
+                              for m, (c, sql) in sums.items())
+
+
 def all_sql() -> dict[str, str]:
     W, L = "warehouse", "local"
     ev_w, ev_l = ev_ctes(W), ev_ctes(L)
@@ -681,6 +693,7 @@ def all_sql() -> dict[str, str]:
                                   f"SELECT *, ROW_NUMBER() OVER (ORDER BY member_id, date_day) AS place FROM status"),
         "available_trainings": f"WITH {or_w}, {participation_ctes(OR_AS_OF)} SELECT * FROM available",
         "training_participation": f"WITH {or_w}, {participation_ctes(OR_AS_OF)} SELECT * FROM participation",
+        "build_report": build_report_sql(),
         "dq_suite_warehouse": dq_suite_sql(W),
         "dq_suite_local": dq_suite_sql(L),
         "dq_faults_warehouse": dq_faults_sql(W),

@@ -347,6 +347,26 @@ def q_load_ledger(spark, sf):
     return epochs(ledger(spark, path))
 
 
+# Models of a whole build whose rows the report adds up, with the column that it sums.
+BUILT = {"member": "member_id", "attended_activity": "member_id", "activity": "activity_id", "statligt_lok": "lok_amount_players",
+         "kommunalt_lok": "contribution_municipality", "export_all": "duration_minutes"}
+
+
+def q_build_report(spark, sf):
+    """The whole warehouse build with member, activity and attendance in buckets of their join
+    keys: rows of each model and the sum of one column."""
+    raw = ev_core(spark, sf, EV_WAREHOUSE)
+    newest = {n: raw.newest(n) for n in sorted(pipeline.LANDING)}
+    models = pipeline.build_all(spark, raw["raw_activity"], raw["raw_presence"], EV_WAREHOUSE, scratch_path(spark, "build"), newest,
+                                buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = [models[n].agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col(c).cast("decimal(38,2)")).cast("double").alias("total"))
+             .select(F.lit(n).alias("model"), "row_count", "total") for n, c in BUILT.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def q_dq_not_null(spark, sf):
     a = ev_core(spark, sf, EV_WAREHOUSE).lazy("activity")
     return quality.not_null(a, "activity").select("activity_id", "activity_type_id")
@@ -468,6 +488,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "player_status_ordered": q_player_status_ordered,
         "available_trainings": q_available_trainings,
         "training_participation": q_training_participation,
+        "build_report": q_build_report,
         "dq_suite_warehouse": q_dq_suite(EV_WAREHOUSE),
         "dq_suite_local": q_dq_suite(EV_LOCAL),
         "dq_faults_warehouse": q_dq_faults(EV_WAREHOUSE),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import Config
 from ..operators import activities as act
 from ..operators import grants, members, participation, quality, retention, staging
-from ..sources import rawtable, seeds, sinks
+from ..sources import bucketed, rawtable, seeds, sinks
 from ..sources.spines import default_calendar
 
 Builder = Callable[["Materialized"], DataFrame]
@@ -36,12 +36,31 @@ class Materialized:
     PROJECTIONS = frozenset({"stg_activity", "attended_activity", "activity_type", "member_type",
                              "result_type", "season", "calendar"})
 
+    # the key that a model is joined on by every model that reads it
+    JOIN_KEYS = {"member": "member_id", "attended_activity": "member_id", "activity": "activity_id"}
+
     def __init__(self, spark: SparkSession, root: str, builders: dict[str, Builder],
-                 write: frozenset[str] | None = None, newest: dict[str, str] | None = None):
+                 write: frozenset[str] | None = None, newest: dict[str, str] | None = None, buckets: int | None = None):
         """``write``: the models to write (default: all but projections); ``newest``: the newest
-        load of raw tables that are given and not written."""
+        load of raw tables that are given and not written; ``buckets``: store the models of
+        JOIN_KEYS in so many buckets of their key, unless the attendance has a key too
+        frequent for that."""
         self.spark, self.root, self.builders, self._done, self._newest = spark, root, builders, {}, dict(newest or {})
-        self.write = write
+        self.write, self.buckets, self._shares = write, buckets, None
+
+    def bucket_key(self, name: str) -> str | None:
+        """The column by which a model is stored in buckets, if it is."""
+        key = self.JOIN_KEYS.get(name) if self.buckets else None
+        if key is None or not self._writes(name):
+            return None
+        if self._shares is None:
+            attended = self.builders["attended_activity"](self)
+            self._shares = bucketed.hottest(attended, *sorted(set(self.JOIN_KEYS.values())))
+        return key if bucketed.even(self._shares[key], self.buckets) else None
+
+    def _store(self, name: str, df: DataFrame, path: str) -> DataFrame:
+        key = self.bucket_key(name)
+        return bucketed.write_bucketed(df, path, key, self.buckets) if key else sinks.materialize(df, path)
 
     def _writes(self, name: str) -> bool:
         return name in self.write if self.write is not None else name not in self.PROJECTIONS
@@ -53,7 +72,7 @@ class Materialized:
                 rawtable.replace_table(df, path)
                 self._newest[name] = rawtable.newest_load_id(self.spark, path)
                 df = rawtable.read_raw_table(self.spark, path)
-            self._done[name] = sinks.materialize(df, path) if self._writes(name) and name not in LANDING else df
+            self._done[name] = self._store(name, df, path) if self._writes(name) and name not in LANDING else df
         return self._done[name]
 
     def newest(self, name: str) -> str | None:
@@ -149,10 +168,10 @@ LANDING = frozenset({"raw_activity", "raw_presence"})
 
 def store(spark: SparkSession, cfg: Config, root: str, raw_activity: Callable[[], DataFrame],
           raw_presence: Callable[[], DataFrame] | None, write: frozenset[str] | None = None,
-          **overrides: Builder) -> Materialized:
+          buckets: int | None = None, **overrides: Builder) -> Materialized:
     b = model_builders(spark, cfg, raw_activity, raw_presence)
     b.update(overrides)
-    return Materialized(spark, root, b, write)
+    return Materialized(spark, root, b, write, buckets=buckets)
 
 
 class _Lazy:
@@ -175,19 +194,19 @@ def build(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame,
 
 
 def build_all(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
-              root: str, newest: dict[str, str] | None = None) -> dict[str, DataFrame]:
+              root: str, newest: dict[str, str] | None = None, buckets: int | None = None) -> dict[str, DataFrame]:
     """Write every model under ``root`` (a shared folder) and return the tables; the raw
     tables stay where they are."""
     b = model_builders(spark, cfg, lambda: raw_activity, lambda: raw_presence)
-    m = Materialized(spark, root, b, frozenset(b) - LANDING, newest)
+    m = Materialized(spark, root, b, frozenset(b) - LANDING, newest, buckets)
     return {n: m[n] for n in m.names()}
 
 
 def build_checked(spark: SparkSession, raw_activity: DataFrame, raw_presence: DataFrame, cfg: Config,
-                  root: str, checks, newest: dict[str, str] | None = None) -> Gated:
+                  root: str, checks, newest: dict[str, str] | None = None, buckets: int | None = None) -> Gated:
     """Write the models whose ancestors pass their checks."""
     b = model_builders(spark, cfg, lambda: raw_activity, lambda: raw_presence)
-    m = Gated(spark, root, b, checks, write=frozenset(b) - LANDING, newest=newest)
+    m = Gated(spark, root, b, checks, write=frozenset(b) - LANDING, newest=newest, buckets=buckets)
     for n in m.names():
         try:
             m[n]
