@@ -192,10 +192,22 @@ def test_redact_merges_overlaps():
 @pytest.mark.parametrize("text, labels", [
     ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
     ("Released under the MIT License.", {"MIT"}), ("released under my mit license", set()),
-    ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}), ("Licensed under CC BY 4.0.", set()),
+    ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}), ("Licensed under CC BY 4.0.", {"CC-BY-4.0"}), ("Licensed under CC BY-ND 4.0.", set()),
     ("Licensed under the Apache License, Version 2.0 (the License);", {"Apache-2.0"}),
     ("Licensed under the Apache License, Version 1.0", set()),
     ("This small library is licensed under the terms of the MIT license", {"MIT"}),
+    ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"CC-BY-SA-4.0"}),
+    ("Licensed under the Creative Commons Attribution 4.0 International Public License", {"CC-BY-4.0"}),
+    ("Licensed under the GNU Lesser General Public License, version 2.1 or any later version", {"LGPL-2.1"}),
+    ("Licensed under the GNU Lesser General Public License (LGPL) version 3", {"LGPL-3.0"}),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software "
+     "Foundation; either version 2 of the License, or (at your option) any later version.", {"GPL-2.0"}),
+    ("it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License, or any later version", {"GPL-3.0"}),
+    ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3 of the License.", {"AGPL-3.0"}),
+    ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 2 of the License.", set()),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
+     "https://mozilla.org/MPL/2.0/.", {"MPL-2.0"}),
+    ("Licensed under the Mozilla Public License 1.1", set()),
 ])
 def test_templates(text, labels):
     code = licenses.codes(text).tolist()
@@ -205,6 +217,40 @@ def test_templates(text, labels):
     assert {m[0] for m in found} == labels
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under the Apache License, Version 2.0, but with the Commons Clause", set()),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\") with Commons Clause", set()),
+    ("Licensed under the Apache License, Version 2.0. You may read it, but not today", {"Apache-2.0"}),
+    ("Released under the MIT License for non-commercial use only", set()),
+    ("Released under the MIT License, except that nobody may sell it", set()),
+    ("licensed under the GNU General Public License version 2 with the Classpath exception", set()),
+    ("Released under the MIT license with love", {"MIT"}),
+    ("Released under the MIT license, but not for you. Docs are licensed under CC BY 4.0.", {"CC-BY-4.0"}),
+    ("Released under the MIT license but not here. Elsewhere released under the MIT license.", {"MIT"}),
+    ("If a copy: this Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
+     "http://mozilla.org/MPL/2.0/. This Source Code Form is \"Incompatible With Secondary Licenses\", as defined", set()),
+])
+def test_restricted_notices_are_not_the_license(text, labels):
+    code = licenses.codes(text).tolist()
+    machines = licenses.automata()
+    found = licenses.accepted(code, {k: list(range(len(code))) for k in range(len(machines))}, machines, licenses.riders())
+    assert {m[0] for m in found} == labels
+
+
+def test_every_template_has_a_telling_key():
+    """Only documents with a key are run, so each needs one of its own that is in its wording."""
+    for label, some in licenses.TEMPLATES.items():
+        for t in some:
+            m = licenses.compile_template(label, t)
+            assert m.key, t
+            plain = re.sub(r"\[|\]", " ", re.sub(r"\{(\d+)-\d+\}", lambda x: "filler " * int(x[1]), t))
+            code = licenses.codes(plain)
+            w = licenses.words(np.frombuffer(plain.encode(), np.uint8), np.array([0, len(plain.encode())]))
+            grams, at = w.grams(2)
+            places = at[grams == np.uint64(m.key)].tolist()
+            assert places and licenses.accepted(code.tolist(), {0: places}, [m]), t
+
+
 def test_automaton_optional_and_replaceable():
     m = licenses.compile_template("x", "[one two] alphabet gammaray {0-2} delta")
     run = lambda t: m.match(licenses.codes(t).tolist(), 0)
@@ -292,6 +338,13 @@ BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
            "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
            "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
            "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+UNLICENSE = ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+             "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or "
+             "authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and "
+             "to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+             "software under copyright law." + NO_WARRANTY.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS"))
+COMMONS = ("Without limiting other conditions in the License, the grant of rights under the License will not include, and the License does not grant to you, the right to Sell the "
+           "Software.")
 ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
 ISC_NOTICE = ", provided that the above copyright notice and this permission notice appear in all copies"
 ISC_END = (". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
@@ -302,9 +355,10 @@ ISC_END = (". THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WA
 @pytest.mark.parametrize("text, labels", [
     (GRANT + NOTICE + NO_WARRANTY, {"MIT"}), (GRANT + NO_WARRANTY, set()), (GRANT + NOTICE, set()),
     (GRANT + NOTICE + " The Software shall be used for Good, not Evil." + NO_WARRANTY, set()), (GRANT + NOTICE + NO_WARRANTY + X_NAME, {"X11"}),
-    (BSD + NAME.format(3) + BSD_END, {"BSD-3-Clause"}), (BSD + BSD_END, set()), (BSD + ADVERTISING + NAME.format(4) + BSD_END, set()),
-    (ISC + ISC_NOTICE + ISC_END, {"ISC"}), (ISC + ISC_END, set()), (ISC.replace("and/or", "and") + ISC_NOTICE + ISC_END, {"ISC"}),
-], ids=["MIT", "MIT-0", "MIT without disclaimer", "JSON", "X11", "BSD-3", "BSD-2", "BSD-4", "ISC", "0BSD", "ISC with and"])
+    (BSD + NAME.format(3) + BSD_END, {"BSD-3-Clause"}), (BSD + BSD_END, {"BSD-2-Clause"}), (BSD + ADVERTISING + NAME.format(4) + BSD_END, set()),
+    (ISC + ISC_NOTICE + ISC_END, {"ISC"}), (ISC + ISC_END, {"0BSD"}), (ISC.replace("and/or", "and") + ISC_NOTICE + ISC_END, {"ISC"}),
+    (UNLICENSE, {"Unlicense"}), (UNLICENSE.replace("We intend", "We hope"), set()), (COMMONS, {"Commons-Clause"}),
+], ids=["MIT", "MIT-0", "MIT without disclaimer", "JSON", "X11", "BSD-3", "BSD-2", "BSD-4", "ISC", "0BSD", "ISC with and", "Unlicense", "Unlicense altered", "Commons Clause"])
 def test_license_texts_and_their_relatives(text, labels):
     code = licenses.codes("Copyright 2020 A. " + text + " More words.").tolist()
     machines = licenses.automata()

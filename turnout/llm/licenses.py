@@ -9,6 +9,9 @@ adds or alters a clause is not accepted; short notices have templates of their o
 Every template has a *key*: two mandatory words that stand together.
 Only documents in which a key occurs are run, from the places around it.
 
+Wording that takes back part of the grant (RIDERS) and follows a match at once undoes it: "licensed
+under the apache license version 2 0 but with the commons clause" is no Apache-2.0, a phrase in it still counts.
+
 Base labels come from fixed phrases, at every place where their words stand
 consecutively.  Both are read from whole texts; words are compared by 64-bit hashes.
 score is 1 if a template accepts, else 0.5 if a phrase occurs, else 0.
@@ -43,6 +46,31 @@ MIT_TEXT = (
     "whether in an action of contract tort or otherwise arising from out of or in connection with the {1-3} or the use or other dealings in the {1-3}"
 )
 
+# Parts of the BSD and ISC texts and of the GNU notices.
+BSD_OPEN = (
+    "redistribution and use [of this software] in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "[{1-1}] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "[{1-1}] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+    "in the documentation and or other materials provided with the distribution "
+)
+BSD_NAME = (
+    "[{1-1}] neither the name of {1-20} nor the names of {1-8} may be used to endorse or promote products derived from this software without specific prior written permission "
+)
+BSD_END = (
+    "this software is provided by {1-20} as is and any express or implied warranties including but not limited to the implied warranties of merchantability "
+    "and fitness for a particular purpose are disclaimed in no event shall {1-20} be liable for any direct indirect incidental special exemplary or consequential damages "
+    "including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability "
+    "whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
+ISC_OPEN = "permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby granted "
+ISC_END = (
+    "the software is provided as is and {1-20} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness "
+    "in no event shall {1-20} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+    "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"
+)
+GNU_OPEN = "you can redistribute it and or modify it under the terms of the "
+GNU_END = "as published by the free software foundation [either] version {version} of the license [or [at your option] any later version]"
+
 # Wording of license notices and texts.  label -> templates
 TEMPLATES = {
     "MIT": [
@@ -65,26 +93,64 @@ TEMPLATES = {
         "licensed under cc by nc 4 0",
         "licensed under a creative commons attribution noncommercial 4 0 international license",
     ],
-    "BSD-3-Clause": [
-        "redistribution and use [of this software] in source and binary forms with or without modification are permitted provided that the following conditions are met "
-        "[{1-1}] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
-        "[{1-1}] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
-        "in the documentation and or other materials provided with the distribution "
-        "[{1-1}] neither the name of {1-20} nor the names of {1-8} may be used to endorse or promote products derived from this software without specific prior written permission "
-        "this software is provided by {1-20} as is and any express or implied warranties including but not limited to the implied warranties of merchantability "
-        "and fitness for a particular purpose are disclaimed in no event shall {1-20} be liable for any direct indirect incidental special exemplary or consequential damages "
-        "including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability "
-        "whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "BSD-3-Clause": [BSD_OPEN + BSD_NAME + BSD_END],
+    "BSD-2-Clause": [BSD_OPEN + BSD_END],
+    "ISC": [ISC_OPEN + "provided that the above copyright notice and this permission notice appear in all copies " + ISC_END],
+    "0BSD": [ISC_OPEN + ISC_END],
+    "Unlicense": [
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software "
+        "either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means "
+        "in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the public domain "
+        "we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors "
+        "we intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability "
+        "fitness for a particular purpose and noninfringement in no event shall the authors be liable for any claim damages or other liability "
+        "whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    ],
+    "GPL-2.0": [
+        "licensed under the gnu general public license [gpl] version 2 [or {0-3} later [version]]",
+        GNU_OPEN + "gnu general public license [version 2] " + GNU_END.format(version="2"),
+    ],
+    "LGPL-2.1": [
+        "licensed under the gnu lesser general public license [lgpl] version 2 1 [or {0-3} later [version]]",
+        GNU_OPEN + "gnu lesser general public license " + GNU_END.format(version="2 1"),
     ],
-    "ISC": [
-        "permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby granted "
-        "provided that the above copyright notice and this permission notice appear in all copies "
-        "the software is provided as is and {1-20} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness "
-        "in no event shall {1-20} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
-        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "LGPL-3.0": [
+        "licensed under the gnu lesser general public license [lgpl] version 3 [or {0-3} later [version]]",
+        GNU_OPEN + "gnu lesser general public license " + GNU_END.format(version="3"),
+    ],
+    "AGPL-3.0": [
+        "licensed under the gnu affero general public license [agpl] version 3 [or {0-3} later [version]]",
+        GNU_OPEN + "gnu affero general public license " + GNU_END.format(version="3"),
+    ],
+    "MPL-2.0": [
+        "licensed under the mozilla public license [version] [v] 2 0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 "
+        "if a copy of the mpl was not distributed with this file you can obtain one at [http] [https] mozilla org mpl 2 0",
+    ],
+    "CC-BY-4.0": [
+        "licensed under cc by 4 0",
+        "licensed under [a] [the] creative commons attribution 4 0 international [public] license",
+    ],
+    "CC-BY-SA-4.0": [
+        "licensed under cc by sa 4 0",
+        "licensed under [a] [the] creative commons attribution sharealike 4 0 international [public] license",
+    ],
+    "Commons-Clause": [
+        "without limiting other conditions in the license the grant of rights under the license will not include and the license does not grant to you the right to sell the software",
     ],
 }
 
+# Wording right after a match that restricts or alters what was granted.
+RIDERS = [
+    "but with", "but not", "but excluding", "but without", "but subject", "but only", "except for", "except that",
+    "[and] with [the] commons clause", "and [the] commons clause", "plus [the] commons clause",
+    "with [the] [following] additional", "with the following {0-2} restriction", "with the following {0-2} restrictions",
+    "with [the] {1-3} exception", "with [the] {1-3} exceptions", "subject to [the] [following] additional", "subject to the commons clause",
+    "for non commercial", "for noncommercial", "as amended by", "as modified by",
+    "[this source code form is] incompatible with secondary licenses",
+]
+
 
 def codes(text: str) -> np.ndarray:
     """Hashes of the words of a text."""
@@ -169,8 +235,7 @@ def compile_template(label: str, template: str) -> Automaton:
                 key, depth = f"{last} {item}", most - 1
             at, most = to, most + 1
             last = None if opened else item
-    two = codes(key)
-    return Automaton(label, steps, skips, _pair(two), depth)
+    return Automaton(label, steps, skips, _pair(codes(key)) if key else 0, depth)  # riders need no key
 
 
 def _pair(code: np.ndarray) -> int:
@@ -183,10 +248,15 @@ def automata() -> list[Automaton]:
     return [compile_template(k, t) for k, some in TEMPLATES.items() for t in some]
 
 
-def accepted(code: list[int], anchors: dict[int, list[int]], machines: list[Automaton]) -> list[tuple[str, int, int]]:
+def riders() -> list[Automaton]:
+    return [compile_template("rider", t) for t in RIDERS]
+
+
+def accepted(code: list[int], anchors: dict[int, list[int]], machines: list[Automaton], undo: list[Automaton] = ()) -> list[tuple[str, int, int]]:
     """(label, first word, end word) of the templates accepted around their
     key's places; of one template, those that do not overlap, leftmost first.  A
-    match inside a longer one of another label (MIT in X11) is left out."""
+    match inside a longer one of another label (MIT in X11) is left out, and one that is
+    followed by wording of ``undo``."""
     out = []
     for k, m in enumerate(machines):
         done = 0
@@ -194,7 +264,8 @@ def accepted(code: list[int], anchors: dict[int, list[int]], machines: list[Auto
             for start in range(max(done, a - m.before), a + 1):
                 end = m.match(code, start)
                 if end is not None and end > a:
-                    out.append((m.label, start, end))
+                    if all(u.match(code, end) is None for u in undo):
+                        out.append((m.label, start, end))
                     done = end
                     break
     return [x for x in out if not any(y[0] != x[0] and y[1] <= x[1] and x[2] <= y[2] and y[2] - y[1] > x[2] - x[1] for y in out)]
@@ -206,7 +277,7 @@ def scan(documents: DataFrame) -> DataFrame:
     prepare(documents.sparkSession)
 
     def run(batches):
-        machines = automata()
+        machines, undo = automata(), riders()
         phrases = [(len(p.split()), _pair(codes(p)), label) for p, label in PHRASES.items()]
         keys = np.array([m.key for m in machines], np.uint64)
         for b in batches:
@@ -231,7 +302,7 @@ def scan(documents: DataFrame) -> DataFrame:
                     r = int(row[at[i]])
                     for k in np.flatnonzero(keys == gram[i]):
                         anchors.setdefault(r, {}).setdefault(int(k), []).append(int(at[i] - w.first[r]))
-                more = {r: accepted(w.code[w.first[r]:w.first[r + 1]].tolist(), a, machines) for r, a in anchors.items()}
+                more = {r: accepted(w.code[w.first[r]:w.first[r + 1]].tolist(), a, machines, undo) for r, a in anchors.items()}
                 rows = range(hi - lo)
                 labels = [",".join(sorted(base.get(r, set()) | {m[0] for m in more.get(r, ())})) for r in rows]
                 yield pa.RecordBatch.from_arrays([
