@@ -12,49 +12,75 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import pages as pg
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources import sinks
 from ..sources.sinks import new_load_stamp, stamp_load
 
 
-@dataclass
-class Extracted:
-    requests: DataFrame        # page_id, pos, href, activity_id, is_match, presence_url, activity_url
-    raw_activity: DataFrame    # RAW_ACTIVITY rows (stamped)
-    raw_presence: DataFrame    # RAW_PRESENCE rows (stamped)
-    rejects: DataFrame         # page_id, url, reason
-
-
 def page_kind(url="url"):
     u = F.col(url) if isinstance(url, str) else url
     return (F.when(u.contains("/controlpanel/presence/"), F.lit("presence"))
              .when(u.contains("/redigera"), F.lit("activity")).otherwise(F.lit("calendar")))
 
 
+class Extracted:
+    """What the pages hold; a kind of pages is planned, and kept, when it is first asked for."""
+
+    def __init__(self, pages: DataFrame, domain: str, team_slug: str, load_id: str, load_timestamp: dt.datetime,
+                 link_parent: str, link_class: str | None, keep):
+        self._pages, self._site, self._stamp = pages, (domain, team_slug), (load_id, load_timestamp)
+        self._link, self._keep = (link_parent, link_class), keep
+        self._login = page_kind() == "calendar"           # only calendar pages show the login
+
+    def _typed(self, kind: str) -> DataFrame:
+        return spread(pg.accepted_pages(self._pages, self._login).where(page_kind() == kind))
+
+    def _kept(self, kind: str):
+        return (lambda df: self._keep(kind, df)) if self._keep else (lambda df: df)
+
+    @cached_property
+    def _activity(self) -> tuple[DataFrame, DataFrame]:
+        return pg.extract_activity(self._typed("activity"), self._kept("activity"))
+
+    @cached_property
+    def _presence(self) -> tuple[DataFrame, DataFrame]:
+        return pg.extract_presence(self._typed("presence"), self._kept("presence"))
+
+    @cached_property
+    def requests(self) -> DataFrame:
+        """page_id, pos, href, activity_id, is_match, presence_url, activity_url"""
+        return pg.activity_requests(pg.extract_links(self._typed("calendar"), *self._link), *self._site)
+
+    @cached_property
+    def raw_activity(self) -> DataFrame:
+        """RAW_ACTIVITY rows (stamped)"""
+        return stamp_load(self._activity[0].drop("page_id", "callee"), *self._stamp)
+
+    @cached_property
+    def raw_presence(self) -> DataFrame:
+        """RAW_PRESENCE rows (stamped)"""
+        return stamp_load(self._presence[0].drop("page_id"), *self._stamp)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """page_id, url, reason"""
+        return pg.rejected_pages(self._pages, self._login).unionByName(self._presence[1]).unionByName(self._activity[1])
+
+
 def extract(pages: DataFrame, domain: str, team_slug: str, load_id: str | None = None,
             load_timestamp: dt.datetime | None = None, link_parent: str = "td",
             link_class: str | None = "invisible-link", keep=None) -> Extracted:
-    """Lazy plans; ``keep(name, df)`` may store the parsed payload pages."""
+    """Lazy plans; ``keep(name, df)`` may store the parsed payload pages.  Pages are
+    dealt evenly before they are parsed, in whatever files they come."""
     if load_id is None or load_timestamp is None:
         load_id, load_timestamp = new_load_stamp()
-    login = page_kind() == "calendar"           # only calendar pages show the login
-    typed = pg.accepted_pages(pages, login).withColumn("_kind", page_kind())
-    links = pg.extract_links(typed.where(F.col("_kind") == "calendar"), link_parent, link_class)
-    requests = pg.activity_requests(links, domain, team_slug)
-    def kept(name):
-        return (lambda df: keep(name, df)) if keep else (lambda df: df)
-    pres, pres_rej = pg.extract_presence(typed.where(F.col("_kind") == "presence"), kept("presence"))
-    acts, act_rej = pg.extract_activity(typed.where(F.col("_kind") == "activity"), kept("activity"))
-    raw_presence = stamp_load(pres.drop("page_id"), load_id, load_timestamp)
-    raw_activity = stamp_load(acts.drop("page_id", "callee"), load_id, load_timestamp)
-    rejects = pg.rejected_pages(pages, login).unionByName(pres_rej).unionByName(act_rej)
-    return Extracted(requests, raw_activity, raw_presence, rejects)
+    return Extracted(pages, domain, team_slug, load_id, load_timestamp, link_parent, link_class, keep)
 
 
 def ingest(pages: DataFrame, domain: str, team_slug: str, out: str, append: bool = True,

@@ -73,16 +73,18 @@ def _person(user_id: Column, member_type: Column, team: Column, birth_year: Colu
 
 # ---------------------------------------------------------------- EV adapter
 
-def ev_attendance(events: DataFrame, bucket_hours: int) -> DataFrame:
+def ev_attendance(events: DataFrame, bucket_hours: int, parts: int | None = None) -> DataFrame:
     """Distinct (bucket, team, user_id) with schedule_id = bucket * 2^32 + team
-    (no two activities share an id while there are fewer than 2^32 teams)."""
+    (no two activities share an id while there are fewer than 2^32 teams).  ``parts``: the
+    activities are dealt to so many partitions, for steps that write much text of each."""
     sec = epoch_seconds_ntz("ts")
     e = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
-    return (e.select(F.floor(sec / (3600 * bucket_hours)).cast("bigint").alias("bucket"),
-                     F.floor(F.col("user_id") / TEAM_SIZE).cast("bigint").alias("team"),
-                     F.col("user_id"))
-             .distinct()
-             .withColumn("schedule_id", F.col("bucket") * TEAM_SPAN + F.col("team")))
+    out = (e.select(F.floor(sec / (3600 * bucket_hours)).cast("bigint").alias("bucket"),
+                    F.floor(F.col("user_id") / TEAM_SIZE).cast("bigint").alias("team"),
+                    F.col("user_id"))
+            .distinct()
+            .withColumn("schedule_id", F.col("bucket") * TEAM_SPAN + F.col("team")))
+    return out.repartition(parts, "schedule_id") if parts else out
 
 
 def _ev_activity_rows(activities: DataFrame, bucket_hours: int, place: Column, keep: list[str] = ()) -> DataFrame:
@@ -130,9 +132,9 @@ def _load_stamps(loads: tuple[str, ...]) -> Column:
                      for l in loads])
 
 
-def ev_raw_activity(events: DataFrame, bucket_hours: int = 1, loads: tuple[str, ...] = ("L1", "L2")) -> DataFrame:
+def ev_raw_activity(events: DataFrame, bucket_hours: int = 1, loads: tuple[str, ...] = ("L1", "L2"), parts: int | None = None) -> DataFrame:
     """Raw activity rows; the older batch L1 has another place than L2."""
-    act = ev_attendance(events, bucket_hours).select("bucket", "team", "schedule_id").distinct()
+    act = ev_attendance(events, bucket_hours, parts).select("bucket", "team", "schedule_id").distinct()
     act = act.select("*", F.explode(_load_stamps(loads)).alias("_load"))
     place = (F.when(F.col("_load.load_id") == "L1", F.lit("Old hall"))
               .otherwise(F.concat(F.lit("Hall "), (F.col("team") % 3).cast("string"))))
@@ -140,10 +142,10 @@ def ev_raw_activity(events: DataFrame, bucket_hours: int = 1, loads: tuple[str,
     return rows.select(*[c for c in rows.columns if c != "_load"], "_load.load_id", "_load.load_timestamp")
 
 
-def ev_raw_presence(events: DataFrame, bucket_hours: int = 1, loads: tuple[str, ...] = ("L1", "L2")) -> DataFrame:
+def ev_raw_presence(events: DataFrame, bucket_hours: int = 1, loads: tuple[str, ...] = ("L1", "L2"), parts: int | None = None) -> DataFrame:
     """Nested presence: per activity one group holding leaders (type 2) and
     participants (everyone else), each sorted by person id."""
-    att = ev_attendance(events, bucket_hours)
+    att = ev_attendance(events, bucket_hours, parts)
     u, b = F.col("user_id"), F.col("bucket")
     mtype = member_type_of(u, b)
     birth_year = F.lit(2024) - (F.lit(5) + u % 24)

@@ -29,8 +29,12 @@ def _unquoted(json):
     return F.regexp_replace(json, r'"([A-Za-z]+)":', "$1:")
 
 
+def _parts(events: DataFrame) -> int:
+    return int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def presence_pages(events: DataFrame) -> DataFrame:
-    raw = ad.ev_raw_presence(events, 1, ("L2",)).drop("load_id", "load_timestamp")
+    raw = ad.ev_raw_presence(events, 1, ("L2",), _parts(events)).drop("load_id", "load_timestamp")
     sid = F.col("scheduleId")
     bucket = F.expr(f"scheduleId div {ad.TEAM_SPAN}")
     fault = bucket % HOURS
@@ -50,7 +54,7 @@ def presence_pages(events: DataFrame) -> DataFrame:
 
 
 def activity_pages(events: DataFrame) -> DataFrame:
-    raw = ad.ev_raw_activity(events, 1, ("L2",)).drop("load_id", "load_timestamp")
+    raw = ad.ev_raw_activity(events, 1, ("L2",), _parts(events)).drop("load_id", "load_timestamp")
     sid = F.col("scheduleId")
     bucket = F.expr(f"scheduleId div {ad.TEAM_SPAN}")
     # brackets, commas and quotes that belong to strings; a number and a text in other spellings
