@@ -233,8 +233,8 @@ def q_captured_requests(spark, sf):
     return extract_pages(spark, sf).requests.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "activity_id", "is_match", "presence_url", "activity_url")
 
 
-def extract_pages(spark, sf):
-    return extract(captured(spark, sf), PAGE_DOMAIN, PAGE_SLUG, "L2", ad.L2_TIMESTAMP)
+def extract_pages(spark, sf, keep=None):
+    return extract(captured(spark, sf), PAGE_DOMAIN, PAGE_SLUG, "L2", ad.L2_TIMESTAMP, keep=keep)
 
 
 def q_captured_links(spark, sf):
@@ -244,7 +244,9 @@ def q_captured_links(spark, sf):
 
 
 def q_captured_presence(spark, sf):
-    return epochs(staging.stg_presence(extract_pages(spark, sf).raw_presence, EV_WAREHOUSE))
+    """The people of the presence pages; the pages are parsed once, into a scratch folder that both unnests read."""
+    ex = extract_pages(spark, sf, keep=lambda name, df: sinks.materialize(df, scratch_path(spark, f"parsed-{name}")))
+    return epochs(staging.stg_presence(ex.raw_presence, EV_WAREHOUSE))
 
 
 def q_captured_activity(spark, sf):
