@@ -77,10 +77,22 @@ def _runs(daily: DataFrame, spine_start: dt.date, as_of: dt.date) -> DataFrame:
     return runs.select("member_id", "series_start", "r.*")
 
 
-def member_day_metrics(daily: DataFrame, cfg: Config) -> DataFrame:
+def _in_order(runs: DataFrame, everywhere: bool) -> DataFrame:
+    """The runs by member and day: in each partition, or over all partitions, one after the
+    other.  Runs of a member do not overlap, so the days written out of them stand in order too, and
+    only runs are ever sorted.  ``everywhere`` keeps the session's shuffle partitions, whose
+    number the few bytes of the runs say nothing about."""
+    if everywhere:
+        parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        runs = runs.repartitionByRange(parts, "member_id", "run_start")
+    return runs.sortWithinPartitions("member_id", "run_start")
+
+
+def member_day_metrics(daily: DataFrame, cfg: Config, order=None) -> DataFrame:
     """(member_id, date_day, activities, last_activity_at, calendar_row,
-    days_since_last_activity, prev_days_since_last_activity)."""
+    days_since_last_activity, prev_days_since_last_activity).  ``order`` may sort the runs."""
     runs = _runs(daily, cfg.spine_start, cfg.as_of)
+    runs = order(runs) if order else runs
     k = F.explode(F.sequence(F.col("run_start"), F.date_sub(F.col("run_end"), 1))).alias("date_day")
     days = runs.where(F.col("run_start") < F.col("run_end")).select(
         "member_id", "series_start", "last_activity_at", "activities", "prev_activity_at", k)
@@ -113,7 +125,5 @@ def status_columns(m: DataFrame) -> DataFrame:
 def player_status(attended: DataFrame, member: DataFrame, activity: DataFrame, cfg: Config,
                   ordered: bool = False) -> DataFrame:
     daily = daily_activity_counts(attended, member, activity, cfg)
-    out = status_columns(member_day_metrics(daily, cfg))
-    # A global ORDER BY is a range shuffle of the whole series; by default
-    # only the rows of each partition are ordered (good write locality).
-    return out.orderBy("member_id", "date_day") if ordered else out.sortWithinPartitions("member_id", "date_day")
+    # By default only the rows of each partition are ordered (good write locality).
+    return status_columns(member_day_metrics(daily, cfg, lambda runs: _in_order(runs, ordered)))

@@ -160,7 +160,7 @@ def q_player_status_ordered(spark, sf):
     files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # one row a file
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(files, "_file").withColumn("place", F.col("_before") + F.col("_at") + 1).drop("_file", "_at", "_before")
+    return rows.join(F.broadcast(files), "_file").withColumn("place", F.col("_before") + F.col("_at") + 1).drop("_file", "_at", "_before")
 
 
 def q_available_trainings(spark, sf):
